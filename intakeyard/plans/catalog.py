@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
-from intakeyard.operators import profile, rules
+from intakeyard.operators import compare, profile, rules
 from intakeyard.plans.vendor import vendor_lines, vendor_prepared
 from intakeyard.session import configure
-from intakeyard.sources import tables
+from intakeyard.sources import standins, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,3 +131,44 @@ def vendor_profile(spark, sf_dir):
 @query
 def sample_records(spark, sf_dir, k: int = 3):
     return vendor_lines(spark, sf_dir).filter(F.col("line_no") <= k)
+
+
+# ---- C. cross-representation compare --------------------------------------
+
+def _compare_rows(spark, sf_dir, window=None):
+    csv = standins.standin(spark, sf_dir, "vendor_csv")
+    return compare.joined(csv, vendor_prepared(spark, sf_dir), standins.CSV_HEADER,
+                          window=window)
+
+
+@query
+def positional_compare(spark, sf_dir):
+    return compare.positional_compare(_compare_rows(spark, sf_dir), standins.CSV_HEADER)
+
+
+@query
+def field_mismatches(spark, sf_dir):
+    return compare.field_mismatches(_compare_rows(spark, sf_dir), standins.CSV_HEADER)
+
+
+@query
+def compare_summary(spark, sf_dir):
+    csv = standins.standin(spark, sf_dir, "vendor_csv")
+    return compare.summary(_compare_rows(spark, sf_dir), csv, vendor_prepared(spark, sf_dir))
+
+
+@query
+def first_divergence(spark, sf_dir):
+    return compare.first_divergence(_compare_rows(spark, sf_dir))
+
+
+@query
+def compare_window(spark, sf_dir, window: int = 1000):
+    return compare.field_mismatches(_compare_rows(spark, sf_dir, window=window),
+                                    standins.CSV_HEADER)
+
+
+@query
+def csv_normalized(spark, sf_dir):
+    return compare.csv_normalized(standins.standin(spark, sf_dir, "vendor_csv"),
+                                  standins.CSV_HEADER)

@@ -119,3 +119,79 @@ SELECT count(*) AS n_rows, count(*) FILTER (WHERE id IS NULL OR id = '') AS miss
     + " FROM strict",
     "sample_records": _vendor() + "\nSELECT line_no, value FROM vendor_json WHERE line_no <= 3",
 })
+
+
+# ---- C. compare -------------------------------------------------------------
+
+CSV_HEADER = ("country", "founded", "id", "industry", "linkedin_url", "locality", "name",
+              "region", "size", "website")
+
+
+def _eq_sql(f: str) -> str:
+    t = f"json_type(jv, '$.{f}')"
+    if f == "founded":
+        cv = "TRY_CAST(nullif(c.founded, '') AS INTEGER)"
+        jd = (f"CASE WHEN {t} = 'BOOLEAN' THEN CASE WHEN json_extract_string(jv, '$.{f}') = 'true'"
+              f" THEN 1.0 ELSE 0.0 END ELSE TRY_CAST(json_extract_string(jv, '$.{f}') AS DOUBLE) END")
+        typed = f"{t} IN ('UBIGINT', 'BIGINT', 'HUGEINT', 'DOUBLE', 'BOOLEAN') AND CAST({cv} AS DOUBLE) = {jd}"
+    else:
+        cv = f"nullif(c.{f}, '')"
+        typed = f"{t} = 'VARCHAR' AND {cv} = json_extract_string(jv, '$.{f}')"
+    return (f"coalesce(CASE WHEN {cv} IS NULL THEN ({t} IS NULL OR {t} = 'NULL') "
+            f"ELSE ({typed}) END, false)")
+
+
+def _compare_ctes(window: int | None = None) -> str:
+    wf = f" WHERE c.pos <= {window}" if window else ""
+    id_match = ("coalesce(CASE WHEN c.id IS NULL THEN (json_type(jv, '$.id') IS NULL OR "
+                "json_type(jv, '$.id') = 'NULL') ELSE (json_type(jv, '$.id') = 'VARCHAR' AND "
+                "c.id = json_extract_string(jv, '$.id')) END, false)")
+    eqs = ", ".join(f"{_eq_sql(f)} AS eq_{f}" for f in CSV_HEADER)
+    structured = " + ".join(
+        f"CASE WHEN json_type(jv, '$.{f}') IN ('ARRAY', 'OBJECT') THEN 1 ELSE 0 END" for f in CSV_HEADER)
+    mms = ", ".join(f"(id_match AND NOT eq_{f}) AS mm_{f}" for f in CSV_HEADER)
+    return (with_clause(("vendor_rec", "vendor_json", "vendor_csv")) + f""",
+j AS (SELECT line_no AS pos, CASE WHEN json_valid(value) AND json_type(value) = 'OBJECT'
+        THEN value ELSE '{{}}' END AS jv FROM vendor_json),
+b AS (SELECT c.pos, c.n_cells, {id_match} AS id_match, {eqs},
+        (nullif(c.founded, '') IS NOT NULL AND TRY_CAST(nullif(c.founded, '') AS INTEGER) IS NULL)
+          AS bad_founded,
+        {structured} AS structured,
+        CASE WHEN json_type(jv, '$.id') = 'VARCHAR' THEN json_extract_string(jv, '$.id') END AS json_id
+      FROM vendor_csv c JOIN j ON j.pos = c.pos{wf}),
+r AS (SELECT *, {mms}, (id_match AND bad_founded) AS founded_not_integer FROM b)""")
+
+
+def _field_mismatch_sql(window: int | None = None) -> str:
+    return _compare_ctes(window) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS field, count(*) AS n FROM r WHERE mm_{f}" for f in CSV_HEADER
+    ).replace("count(*) AS n FROM r WHERE", "count(*) AS n FROM r WHERE") + ""
+
+
+def _nonzero(sql: str) -> str:
+    return f"SELECT * FROM ({sql}) WHERE n > 0"
+
+
+ORACLE.update({
+    "positional_compare": _compare_ctes() + "\nSELECT pos, id_match, concat_ws(',', "
+    + ", ".join(f"CASE WHEN mm_{f} THEN '{f}' END" for f in sorted(CSV_HEADER))
+    + ") AS mismatched_fields FROM r",
+    "compare_summary": _compare_ctes() + """
+SELECT count(*) AS records_compared, count(*) FILTER (WHERE NOT id_match) AS id_mismatches,
+  count(*) FILTER (WHERE n_cells > 10) AS malformed_csv_rows,
+  count(*) FILTER (WHERE founded_not_integer) AS founded_not_integer,
+  CAST(coalesce(sum(structured), 0) AS BIGINT) AS structured_values,
+  count(json_id) - count(DISTINCT json_id) AS duplicate_json_ids,
+  (SELECT count(*) FROM vendor_csv) AS csv_records,
+  (SELECT count(*) FROM vendor_json) AS json_records
+FROM r""",
+    "first_divergence": _compare_ctes() + """
+SELECT min(pos) FILTER (WHERE n_cells > 10) AS first_malformed_row,
+  min(pos) FILTER (WHERE NOT id_match) AS first_id_mismatch FROM r""",
+    "csv_normalized": with_clause(("vendor_rec", "vendor_csv")) + "\nSELECT pos, " + ", ".join(
+        (f"TRY_CAST(nullif({f}, '') AS INTEGER) AS {f}" if f == "founded" else f"nullif({f}, '') AS {f}")
+        for f in CSV_HEADER) + ", (nullif(founded, '') IS NOT NULL AND TRY_CAST(nullif(founded, '') AS"
+    " INTEGER) IS NULL) AS founded_not_integer FROM vendor_csv",
+})
+ORACLE["field_mismatches"] = _nonzero(_field_mismatch_sql())
+ORACLE["compare_window"] = _nonzero(_field_mismatch_sql(1000))
