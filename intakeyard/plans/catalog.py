@@ -6,12 +6,13 @@ Each reads the given tables (or files Spark derives from them) in full.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
-from intakeyard.operators import compare, profile, rules
+from intakeyard.operators import compare, ledger, profile, rules
 from intakeyard.plans.vendor import vendor_lines, vendor_prepared
 from intakeyard.session import configure
 from intakeyard.sources import standins, tables
@@ -172,3 +173,164 @@ def compare_window(spark, sf_dir, window: int = 1000):
 def csv_normalized(spark, sf_dir):
     return compare.csv_normalized(standins.standin(spark, sf_dir, "vendor_csv"),
                                   standins.CSV_HEADER)
+
+
+# ---- D. provenance ledger ---------------------------------------------------
+
+SUPERSEDE_TARGET = "t7"
+
+
+def _reg(spark, sf_dir, name):
+    return standins.standin(spark, sf_dir, name)
+
+
+@query
+def resolve_artifact(spark, sf_dir, snapshot_id: str | None = None, fmt: str = "txt"):
+    """Each requested file's archived original (same hash and size, known snapshot);
+    the optional snapshot filter is added only when given."""
+    stored = _reg(spark, sf_dir, "reg_stored")
+    conds = [F.col("format") == fmt]
+    if snapshot_id is not None:
+        conds.append(F.col("snapshot_id") == snapshot_id)
+    cand = stored.filter(reduce(lambda a, b: a & b, conds)).join(
+        _reg(spark, sf_dir, "reg_snapshots"), "snapshot_id", "left_semi")
+    one = cand.groupBy("sha256", "byte_size").agg(
+        F.min(F.struct("snapshot_id", "file_id")).alias("_s"))
+    req = _reg(spark, sf_dir, "reg_requested").select(
+        F.col("file_id").alias("request_file_id"), "sha256", "byte_size")
+    return req.join(one, ["sha256", "byte_size"]).select(
+        "request_file_id", "_s.snapshot_id", "_s.file_id")
+
+
+def _matched(spark, sf_dir):
+    return ledger.match_summaries(_reg(spark, sf_dir, "reg_requested"),
+                                  _reg(spark, sf_dir, "reg_stored"))
+
+
+@query
+def artifact_collisions(spark, sf_dir):
+    return ledger.collisions(_matched(spark, sf_dir))
+
+
+@query
+def ledger_reconcile(spark, sf_dir):
+    return ledger.reconcile(_matched(spark, sf_dir), _reg(spark, sf_dir, "reg_snapshots"))
+
+
+@query
+def unexpected_roles(spark, sf_dir):
+    return ledger.unexpected_roles(_reg(spark, sf_dir, "reg_requested"),
+                                   _reg(spark, sf_dir, "reg_stored"))
+
+
+@query
+def register_files(spark, sf_dir):
+    return ledger.register(_reg(spark, sf_dir, "reg_requested"), _reg(spark, sf_dir, "reg_stored"))
+
+
+@query
+def supersede_runs(spark, sf_dir):
+    return ledger.supersede(_reg(spark, sf_dir, "runs"), SUPERSEDE_TARGET)
+
+
+@query
+def finish_run(spark, sf_dir):
+    """Every run asks to finish: succeeded with its returned-line count, or failed."""
+    li = tables.load(spark, sf_dir, "lineitem")
+    loaded = li.groupBy(F.col("l_orderkey").alias("run_id")).agg(
+        F.count_if(F.col("l_returnflag") == "R").alias("n"))
+    runs = _reg(spark, sf_dir, "runs")
+    req = runs.select("run_id").join(loaded, "run_id", "left").select(
+        "run_id",
+        F.when(F.coalesce(F.col("n"), F.lit(0)) > 0, "succeeded").otherwise("failed").alias("new_status"),
+        F.coalesce(F.col("n"), F.lit(0)).alias("row_count"),
+        F.concat(F.lit("no returned lines for run "), F.col("run_id").cast("string")).alias("error"))
+    return ledger.finish(runs, req)
+
+
+@query
+def current_version(spark, sf_dir):
+    return ledger.current_version(_reg(spark, sf_dir, "runs"))
+
+
+@query
+def lineage(spark, sf_dir):
+    cur = ledger.current_version(_reg(spark, sf_dir, "runs")).withColumn(
+        "snapshot_id", F.concat(F.lit("src"), F.expr("substr(target, 2)")))
+    files = _reg(spark, sf_dir, "reg_stored").groupBy("snapshot_id").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("byte_size").alias("total_bytes"))
+    return cur.join(files, "snapshot_id", "left").select(
+        "target", "run_id", "snapshot_id", F.coalesce("n_files", F.lit(0)).alias("n_files"),
+        F.coalesce("total_bytes", F.lit(0)).cast("bigint").alias("total_bytes"))
+
+
+@query
+def fk_orphans(spark, sf_dir):
+    t = lambda n: tables.load(spark, sf_dir, n)
+    return ledger.union_all([
+        ledger.orphans(t("lineitem"), "l_orderkey",
+                       t("orders").filter(F.col("o_orderstatus") != "P"), "o_orderkey",
+                       "lineitem.l_orderkey -> orders[o_orderstatus <> P]"),
+        ledger.orphans(t("orders"), "o_custkey", t("customer"), "c_custkey",
+                       "orders.o_custkey -> customer"),
+        ledger.orphans(t("labels"), "doc_id", t("documents"), "doc_id", "labels.doc_id -> documents"),
+        ledger.orphans(_reg(spark, sf_dir, "reg_requested"), "snapshot_id",
+                       _reg(spark, sf_dir, "reg_snapshots"), "snapshot_id",
+                       "reg_requested.snapshot_id -> reg_snapshots"),
+    ])
+
+
+@query
+def checksum_ledger(spark, sf_dir):
+    """Bundled (requested) entries against recorded (stored) ones by version."""
+    exp = _reg(spark, sf_dir, "reg_requested").select(
+        F.col("file_id").alias("version"), F.col("filename").alias("e_name"),
+        F.col("sha256").alias("e_sha"))
+    rec = _reg(spark, sf_dir, "reg_stored").select(
+        F.col("file_id").alias("version"), F.col("filename").alias("r_name"),
+        F.col("sha256").alias("r_sha"))
+    j = exp.join(rec, "version", "left")  # recorded-but-not-bundled is ignored
+    status = (F.when(F.col("r_name").isNull() & F.col("r_sha").isNull(), "pending")
+              .when(F.col("e_name").eqNullSafe(F.col("r_name")) & F.col("e_sha").eqNullSafe(F.col("r_sha")),
+                    "applied").otherwise("changed"))
+    return j.select("version", status.alias("status"))
+
+
+def _surplus(df, cols, check):
+    per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    return per.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("n_violations")) \
+        .select(F.lit(check).alias("check"), "n_violations")
+
+
+@query
+def ledger_expectations(spark, sf_dir):
+    """F13 + uniqueness as data: one conditional pass per table plus one keyed aggregate
+    per uniqueness rule."""
+    files = _reg(spark, sf_dir, "reg_stored")
+    runs = _reg(spark, sf_dir, "runs")
+    empty = lambda c: F.col(c).isNull() | (F.col(c) == "")
+    f_checks = {
+        "files.sha256_not_hex64": ~F.coalesce(F.col("sha256").rlike("^[0-9a-f]{64}$"), F.lit(False)),
+        "files.negative_byte_size": F.coalesce(F.col("byte_size") < 0, F.lit(True)),
+        "files.empty_text": empty("snapshot_id") | empty("role") | empty("filename")
+        | empty("object_key") | empty("format"),
+    }
+    r_checks = {
+        "runs.unknown_status": ~F.coalesce(F.col("status").isin(*ledger.RUN_STATES), F.lit(False)),
+        "runs.negative_row_count": F.coalesce(F.col("row_count") < 0, F.lit(False)),
+    }
+
+    def cond_counts(df, checks):
+        agg = df.agg(*[F.count_if(c).alias(k) for k, c in checks.items()])
+        return agg.select(F.explode(F.array(*[
+            F.struct(F.lit(k).alias("check"), F.col(f"`{k}`").alias("n_violations"))
+            for k in checks])).alias("s")).select("s.check", "s.n_violations")
+
+    return ledger.union_all([
+        cond_counts(files, f_checks), cond_counts(runs, r_checks),
+        _surplus(files, ["sha256"], "files.surplus_sha256"),
+        _surplus(files, ["object_key"], "files.surplus_object_key"),
+        _surplus(files, ["snapshot_id", "role"], "files.surplus_snapshot_role"),
+        _surplus(files, ["file_id"], "files.surplus_file_id"),
+        _surplus(runs, ["run_id"], "runs.surplus_run_id"),
+    ])

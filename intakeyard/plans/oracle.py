@@ -195,3 +195,108 @@ SELECT min(pos) FILTER (WHERE n_cells > 10) AS first_malformed_row,
 })
 ORACLE["field_mismatches"] = _nonzero(_field_mismatch_sql())
 ORACLE["compare_window"] = _nonzero(_field_mismatch_sql(1000))
+
+
+# ---- D. ledger ---------------------------------------------------------------
+
+REG = with_clause(("reg_stored", "reg_requested", "reg_snapshots", "runs"))
+DIFFERS = " OR ".join(f"s.{f} IS DISTINCT FROM r.{f}" for f in (
+    "snapshot_id", "role", "filename", "object_key", "format", "sha256", "byte_size"))
+SHARES = "(s.sha256 = r.sha256 OR s.object_key = r.object_key)"
+
+ORACLE.update({
+    "resolve_artifact": REG + """
+SELECT request_file_id, snapshot_id, file_id FROM (
+  SELECT r.file_id AS request_file_id, s.snapshot_id, s.file_id,
+    row_number() OVER (PARTITION BY r.file_id ORDER BY s.snapshot_id, s.file_id) AS rn
+  FROM reg_requested r JOIN reg_stored s ON s.sha256 = r.sha256 AND s.byte_size = r.byte_size
+  WHERE s.format = 'txt' AND s.snapshot_id IN (SELECT snapshot_id FROM reg_snapshots)) WHERE rn = 1""",
+    "artifact_collisions": REG + f"""
+SELECT * FROM (SELECT r.file_id,
+  (SELECT count(*) FROM reg_stored s WHERE s.sha256 = r.sha256) AS hash_matches,
+  (SELECT count(*) FROM reg_stored s WHERE s.object_key = r.object_key) AS key_matches,
+  EXISTS (SELECT 1 FROM reg_stored s WHERE {SHARES} AND s.snapshot_id <> r.snapshot_id) AS other_snapshot
+  FROM reg_requested r) WHERE hash_matches > 0 OR key_matches > 0""",
+    "ledger_reconcile": REG + f"""
+SELECT r.file_id, CASE
+  WHEN NOT EXISTS (SELECT 1 FROM reg_stored s WHERE {SHARES}) THEN 'new'
+  WHEN r.snapshot_id NOT IN (SELECT snapshot_id FROM reg_snapshots) THEN 'collision'
+  WHEN NOT EXISTS (SELECT 1 FROM reg_stored s WHERE {SHARES} AND ({DIFFERS})) THEN 'verified'
+  ELSE 'conflict' END AS status
+FROM reg_requested r""",
+    "unexpected_roles": REG + """
+SELECT s.snapshot_id, s.role FROM reg_stored s
+WHERE s.snapshot_id IN (SELECT snapshot_id FROM reg_requested)
+  AND NOT EXISTS (SELECT 1 FROM reg_requested r WHERE r.snapshot_id = s.snapshot_id AND r.role = s.role)""",
+    "register_files": REG + f"""
+SELECT r.file_id, r.snapshot_id, r.role,
+  CASE WHEN EXISTS (SELECT 1 FROM reg_stored s WHERE s.snapshot_id = r.snapshot_id AND s.role = r.role)
+       THEN 'verify' ELSE 'insert' END AS action,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM reg_stored s WHERE s.snapshot_id = r.snapshot_id AND s.role = r.role)
+       THEN NULL
+       ELSE NOT EXISTS (SELECT 1 FROM reg_stored s WHERE s.snapshot_id = r.snapshot_id AND s.role = r.role
+                        AND ({DIFFERS})) END AS matches_stored
+FROM reg_requested r""",
+    "supersede_runs": REG + """
+SELECT run_id, target,
+  CASE WHEN status = 'running' AND target = 't7' THEN 'failed' ELSE status END AS status,
+  CASE WHEN status = 'running' AND target = 't7'
+       THEN 'Superseded after a prior importer process ended' END AS error
+FROM runs""",
+    "finish_run": REG + """, n AS (SELECT l_orderkey AS run_id, count(*) FILTER (WHERE l_returnflag = 'R') AS n
+  FROM lineitem GROUP BY l_orderkey),
+q AS (SELECT runs.run_id, runs.status AS prior_status, coalesce(n.n, 0) AS cnt FROM runs LEFT JOIN n USING (run_id))
+SELECT run_id, prior_status,
+  CASE WHEN prior_status = 'running' THEN CASE WHEN cnt > 0 THEN 'succeeded' ELSE 'failed' END
+       ELSE prior_status END AS status,
+  CASE WHEN prior_status = 'running' AND cnt > 0 THEN cnt END AS row_count,
+  CASE WHEN prior_status = 'running' AND cnt = 0 THEN 'no returned lines for run ' || CAST(run_id AS VARCHAR) END AS error,
+  prior_status = 'running' AS applied
+FROM q""",
+    "current_version": REG + """
+SELECT target, run_id, CAST(started_at AS VARCHAR) AS started_at, row_count FROM runs
+WHERE status = 'succeeded'
+QUALIFY row_number() OVER (PARTITION BY target ORDER BY started_at DESC, run_id DESC) = 1""",
+    "lineage": REG + """, cur AS (SELECT target, run_id FROM runs WHERE status = 'succeeded'
+  QUALIFY row_number() OVER (PARTITION BY target ORDER BY started_at DESC, run_id DESC) = 1),
+f AS (SELECT snapshot_id, count(*) AS n_files, CAST(sum(byte_size) AS BIGINT) AS total_bytes
+  FROM reg_stored GROUP BY snapshot_id)
+SELECT cur.target, cur.run_id, 'src' || substr(cur.target, 2) AS snapshot_id,
+  coalesce(f.n_files, 0) AS n_files, coalesce(f.total_bytes, 0) AS total_bytes
+FROM cur LEFT JOIN f ON f.snapshot_id = 'src' || substr(cur.target, 2)""",
+    "fk_orphans": REG + """
+SELECT 'lineitem.l_orderkey -> orders[o_orderstatus <> P]' AS edge, count(*) AS child_rows,
+  count(*) FILTER (WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN
+    (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey IS NOT NULL)) AS orphan_rows
+FROM lineitem
+UNION ALL
+SELECT 'orders.o_custkey -> customer', count(*), count(*) FILTER (WHERE o_custkey IS NOT NULL AND
+  o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)) FROM orders
+UNION ALL
+SELECT 'labels.doc_id -> documents', count(*), count(*) FILTER (WHERE doc_id IS NOT NULL AND
+  doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL)) FROM labels
+UNION ALL
+SELECT 'reg_requested.snapshot_id -> reg_snapshots', count(*), count(*) FILTER (WHERE snapshot_id IS NOT NULL
+  AND snapshot_id NOT IN (SELECT snapshot_id FROM reg_snapshots WHERE snapshot_id IS NOT NULL))
+FROM reg_requested""",
+    "checksum_ledger": REG + """
+SELECT e.file_id AS version, CASE WHEN s.file_id IS NULL THEN 'pending'
+  WHEN e.filename IS NOT DISTINCT FROM s.filename AND e.sha256 IS NOT DISTINCT FROM s.sha256 THEN 'applied'
+  ELSE 'changed' END AS status
+FROM reg_requested e LEFT JOIN reg_stored s ON s.file_id = e.file_id""",
+    "ledger_expectations": REG + """
+SELECT 'files.sha256_not_hex64' AS "check",
+  count(*) FILTER (WHERE NOT coalesce(regexp_full_match(sha256, '[0-9a-f]{64}'), false)) AS n_violations
+FROM reg_stored
+UNION ALL SELECT 'files.negative_byte_size', count(*) FILTER (WHERE coalesce(byte_size < 0, true)) FROM reg_stored
+UNION ALL SELECT 'files.empty_text', count(*) FILTER (WHERE coalesce(snapshot_id, '') = '' OR
+  coalesce(role, '') = '' OR coalesce(filename, '') = '' OR coalesce(object_key, '') = '' OR
+  coalesce(format, '') = '') FROM reg_stored
+UNION ALL SELECT 'runs.unknown_status', count(*) FILTER (WHERE NOT coalesce(status IN ('running', 'succeeded', 'failed'), false)) FROM runs
+UNION ALL SELECT 'runs.negative_row_count', count(*) FILTER (WHERE coalesce(row_count < 0, false)) FROM runs
+UNION ALL SELECT 'files.surplus_sha256', count(*) - (SELECT count(*) FROM (SELECT DISTINCT sha256 FROM reg_stored)) FROM reg_stored
+UNION ALL SELECT 'files.surplus_object_key', count(*) - (SELECT count(*) FROM (SELECT DISTINCT object_key FROM reg_stored)) FROM reg_stored
+UNION ALL SELECT 'files.surplus_snapshot_role', count(*) - (SELECT count(*) FROM (SELECT DISTINCT snapshot_id, role FROM reg_stored)) FROM reg_stored
+UNION ALL SELECT 'files.surplus_file_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT file_id FROM reg_stored)) FROM reg_stored
+UNION ALL SELECT 'runs.surplus_run_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT run_id FROM runs)) FROM runs""",
+})
