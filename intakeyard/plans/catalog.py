@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
-from intakeyard.operators import compare, ledger, profile, rules
+from intakeyard.functions import scalars
+from intakeyard.operators import compare, ledger, profile, publish, rules
 from intakeyard.plans.vendor import vendor_lines, vendor_prepared
 from intakeyard.session import configure
-from intakeyard.sources import standins, tables
+from intakeyard.sources import files, positions, standins, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -334,3 +335,155 @@ def ledger_expectations(spark, sf_dir):
         _surplus(files, ["file_id"], "files.surplus_file_id"),
         _surplus(runs, ["run_id"], "runs.surplus_run_id"),
     ])
+
+
+# ---- K. stage, verdict, publish ----------------------------------------------
+
+COMPANIES_TARGET = "companies"
+
+
+def _clean_jsonl(spark, sf_dir):
+    """The vendor feed without defects (Spark's own JSON writer), written once."""
+    rec = standins.standin(spark, sf_dir, "vendor_rec")
+    lines = rec.select("line_no", F.to_json(F.struct(*standins.JSON_FIELDS),
+                                            {"ignoreNullFields": "false"}).alias("value"))
+    return files.write_lines(spark, lines, files.fixture_dir(spark, sf_dir, "vendor_clean_jsonl"))
+
+
+def _warehouse(spark, sf_dir):
+    root = files.fixture_dir(spark, sf_dir, "warehouse")
+    return f"{root}/companies", f"{root}/ledger/runs"
+
+
+@query
+def load_verdict(spark, sf_dir):
+    return publish.load_verdict(vendor_prepared(spark, sf_dir))
+
+
+@query
+def publish_roundtrip(spark, sf_dir):
+    """The defect feed is rejected (ledger row ``failed``, nothing staged); the clean feed
+    is staged, counted twice and committed; the current version is read back whole."""
+    configure(spark)
+    table_root, ledger_path = _warehouse(spark, sf_dir)
+    bad = vendor_prepared(spark, sf_dir)
+    publish.publish(spark, rules.accepted_rows(bad), bad, table_root, ledger_path,
+                    target=COMPANIES_TARGET, snapshot_id="vendor-defects")
+    good = rules.VENDOR.prepare(positions.read_lines(spark, _clean_jsonl(spark, sf_dir)))
+    publish.publish(spark, rules.accepted_rows(good), good, table_root, ledger_path,
+                    target=COMPANIES_TARGET, snapshot_id="vendor-clean")
+    path = publish.current_path(spark, table_root, ledger_path, COMPANIES_TARGET)
+    return spark.read.schema(publish.COMPANIES_SCHEMA).parquet(path)
+
+
+def _current_companies(spark, sf_dir):
+    table_root, ledger_path = _warehouse(spark, sf_dir)
+    path = (publish.current_path(spark, table_root, ledger_path, COMPANIES_TARGET)
+            if files.exists(spark, ledger_path) else None)
+    if path is None:
+        return publish_roundtrip(spark, sf_dir)
+    return spark.read.schema(publish.COMPANIES_SCHEMA).parquet(path)
+
+
+@query
+def point_lookup(spark, sf_dir):
+    """equality lookups on id, website, linkedin_url (pushed into the Parquet scan;
+    the table is clustered by id and carries bloom filters on the other two)."""
+    t = _current_companies(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [
+        t.filter(F.col("id") == "7").withColumn("lookup", F.lit("id")),
+        t.filter(F.col("website") == "c8.example.com").withColumn("lookup", F.lit("website")),
+        t.filter(F.col("linkedin_url") == "linkedin.com/company/10").withColumn("lookup", F.lit("linkedin_url")),
+    ])
+
+
+@query
+def orphan_stages(spark, sf_dir):
+    """K3 over the run ledger: every run staged a folder; only succeeded runs are referenced."""
+    runs = _reg(spark, sf_dir, "runs")
+    return publish.orphan_stages(runs.select("run_id", "target", "status"), runs)
+
+
+# ---- X. scalar functions over the given tables ---------------------------------
+
+@query
+def format_bytes(spark, sf_dir):
+    d = tables.load(spark, sf_dir, "documents")
+    return d.select("doc_id", *[scalars.format_bytes(F.col("n_chars") * m).alias(f"size_x{m}")
+                                for m in (1, 1000, 1000000, 1000000000)])
+
+
+@query
+def row_fingerprint(spark, sf_dir):
+    d = tables.load(spark, sf_dir, "documents")
+    return d.select("doc_id", F.sha2(F.col("text"), 256).alias("sha256"))
+
+
+REDACT_SECRETS = ("der", "que", "und")
+
+
+@query
+def redact_literals(spark, sf_dir):
+    d = tables.load(spark, sf_dir, "documents")
+    red = scalars.redact(F.col("text"), REDACT_SECRETS)
+    return d.select("doc_id", F.length(red).alias("n_chars_after"),
+                    F.sha2(red, 256).alias("sha256_after"))
+
+
+@query
+def url_target(spark, sf_dir):
+    p = tables.load(spark, sf_dir, "pages")
+    parts = scalars.url_parts(F.col("url"))
+    return p.select("page_id", parts["scheme"].alias("scheme"), parts["host"].alias("host"),
+                    parts["path"].alias("path"), parts["userinfo"].isNotNull().alias("has_credentials"),
+                    scalars.url_target(F.col("url")).alias("target"))
+
+
+@query
+def acquired_at_utc(spark, sf_dir):
+    configure(spark)
+    o = tables.load(spark, sf_dir, "orders")
+    hh = F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0")
+    day = F.col("o_orderdate").cast("date").cast("string")
+    suffix = (F.when(F.col("o_orderkey") % 97 == 0, F.lit("-xx"))
+              .when(F.col("o_orderkey") % 5 == 0, F.lit(""))
+              .when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("T"), hh, F.lit(":30:00Z")))
+              .when(F.col("o_orderkey") % 5 == 2, F.concat(F.lit("T"), hh, F.lit(":30:00+02:00")))
+              .when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("T"), hh, F.lit(":30:00-05:00")))
+              .otherwise(F.concat(F.lit("T"), hh, F.lit(":30:00"))))
+    text = F.concat(day, suffix)
+    ts = scalars.acquired_at_utc(text)
+    return o.select("o_orderkey", text.alias("acquired_at"),
+                    F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("acquired_at_utc"))
+
+
+@query
+def versioned_names(spark, sf_dir):
+    o = tables.load(spark, sf_dir, "orders")
+    v = scalars.versioned_name(F.col("o_orderpriority"), sep="-")
+    return (o.select("o_orderpriority", v["version"].alias("version"), v["name"].alias("name"),
+                     v["valid"].alias("valid"))
+            .groupBy("o_orderpriority", "version", "name", "valid").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def render_values(spark, sf_dir):
+    d = tables.load(spark, sf_dir, "documents")
+    return d.select("doc_id", scalars.render_value(scalars.json_string(F.col("text"))).alias("rendered"))
+
+
+@query
+def object_keys(spark, sf_dir):
+    e = tables.load(spark, sf_dir, "events")
+    return e.select("event_id", F.concat_ws("/", F.lit("events"), F.col("event_type"),
+                                            F.date_format("ts", "yyyy-MM-dd"),
+                                            F.concat(F.col("event_id").cast("string"), F.lit(".json")))
+                    .alias("object_key"))
+
+
+@query
+def error_tail(spark, sf_dir):
+    c = tables.load(spark, sf_dir, "conversations")
+    tail = scalars.error_tail(F.col("text"), 4000)
+    return c.select("conv_id", "turn", F.length(tail).alias("tail_chars"),
+                    F.sha2(tail, 256).alias("tail_sha256"))

@@ -300,3 +300,88 @@ UNION ALL SELECT 'files.surplus_snapshot_role', count(*) - (SELECT count(*) FROM
 UNION ALL SELECT 'files.surplus_file_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT file_id FROM reg_stored)) FROM reg_stored
 UNION ALL SELECT 'runs.surplus_run_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT run_id FROM runs)) FROM runs""",
 })
+
+
+# ---- K. verdict and publish ----------------------------------------------------
+
+_VALID_KEY = f"CASE WHEN ({FIRST_RULE_CASE}) = 'valid' THEN CASE WHEN k % 97 = 17 THEN '0' ELSE id END END"
+COMPANY_COLS = ", ".join(ALL_FIELDS)
+
+ORACLE.update({
+    "load_verdict": _vendor() + f""", v AS (SELECT line_no, {FIRST_RULE_CASE} AS rule, {_VALID_KEY} AS key
+  FROM vendor_rec),
+m AS (SELECT count(*) AS lines, count(*) FILTER (WHERE rule = 'blank line skipped') AS blank_lines,
+  count(*) FILTER (WHERE rule = 'valid') AS valid_rows,
+  count(*) FILTER (WHERE rule NOT IN ('valid', 'blank line skipped')) AS violations,
+  min(line_no) FILTER (WHERE rule NOT IN ('valid', 'blank line skipped')) AS first_violation_line,
+  arg_min(rule, line_no) FILTER (WHERE rule NOT IN ('valid', 'blank line skipped')) AS first_violation,
+  count(*) FILTER (WHERE rule = 'valid' AND (key IS NULL OR key = '')) AS missing_ids FROM v),
+d AS (SELECT count(key) - count(DISTINCT key) AS duplicate_ids FROM v)
+SELECT m.*, d.duplicate_ids,
+  CASE WHEN violations > 0 OR valid_rows = 0 OR duplicate_ids > 0 THEN 'reject' ELSE 'accept' END AS verdict,
+  CASE WHEN violations > 0 THEN 'line ' || CAST(first_violation_line AS VARCHAR) || ': ' || first_violation
+       WHEN valid_rows = 0 THEN 'import produced no rows'
+       WHEN duplicate_ids > 0 THEN CAST(duplicate_ids AS VARCHAR) || ' duplicate ids' END AS reason
+FROM m, d""",
+    "publish_roundtrip": with_clause(("vendor_rec",)) + f"\nSELECT {COMPANY_COLS} FROM vendor_rec",
+    "point_lookup": with_clause(("vendor_rec",)) + f"""
+SELECT {COMPANY_COLS}, 'id' AS lookup FROM vendor_rec WHERE id = '7'
+UNION ALL SELECT {COMPANY_COLS}, 'website' FROM vendor_rec WHERE website = 'c8.example.com'
+UNION ALL SELECT {COMPANY_COLS}, 'linkedin_url' FROM vendor_rec WHERE linkedin_url = 'linkedin.com/company/10'""",
+    "orphan_stages": REG + "\nSELECT run_id, target, status FROM runs WHERE status <> 'succeeded'",
+})
+
+
+# ---- X. scalars ------------------------------------------------------------------
+
+def _fb(x: str) -> str:
+    units = [("KiB", 1024), ("MiB", 1024 ** 2), ("GiB", 1024 ** 3)]
+    sql = f"CASE WHEN {x} < 0 THEN NULL WHEN {x} < 1024 THEN CAST({x} AS VARCHAR) || ' B' "
+    for (u, d), nxt in zip(units, [1024 ** 2, 1024 ** 3, 1024 ** 4]):
+        sql += f"WHEN {x} < {nxt} THEN printf('%.2f', {x} / {d}) || ' {u}' "
+    return sql + f"ELSE printf('%.2f', {x} / {1024 ** 4}) || ' TiB' END"
+
+
+ISO = r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?"
+SCHEME = "[A-Za-z][A-Za-z0-9+.-]*"
+
+ORACLE.update({
+    "format_bytes": "SELECT doc_id, " + ", ".join(
+        f"{_fb(f'(n_chars * {m})')} AS size_x{m}" for m in (1, 1000, 1000000, 1000000000)) + " FROM documents",
+    "row_fingerprint": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
+    "redact_literals": """SELECT doc_id, length(r) AS n_chars_after, sha256(r) AS sha256_after FROM (
+  SELECT doc_id, replace(replace(replace(text, 'der', '[redacted]'), 'que', '[redacted]'), 'und', '[redacted]') AS r
+  FROM documents)""",
+    "url_target": f"""SELECT page_id, scheme, host, path, has_credentials,
+  regexp_replace(scheme || '://' || host || path, '/+$', '') AS target FROM (
+  SELECT page_id, regexp_extract(url, '^({SCHEME})://', 1) AS scheme,
+    regexp_extract(url, '^{SCHEME}://(?:[^@/?#]*@)?([^:/?#]*)', 1) AS host,
+    regexp_extract(url, '^{SCHEME}://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_matches(url, '^{SCHEME}://[^/?#]*@') AS has_credentials FROM pages)""",
+    "acquired_at_utc": f"""SELECT o_orderkey, t AS acquired_at,
+  CASE WHEN regexp_full_match(t, '{ISO}') THEN strftime(
+    CAST(replace(substr(t, 1, 19), 'T', ' ') AS TIMESTAMP) - to_minutes(
+      CASE WHEN length(t) > 19 AND substr(t, 20, 1) IN ('+', '-')
+           THEN (CASE WHEN substr(t, 20, 1) = '-' THEN -1 ELSE 1 END)
+                * (CAST(substr(t, 21, 2) AS INTEGER) * 60 + CAST(substr(t, 24, 2) AS INTEGER))
+           ELSE 0 END), '%Y-%m-%d %H:%M:%S') END AS acquired_at_utc
+FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || CASE
+    WHEN o_orderkey % 97 = 0 THEN '-xx' WHEN o_orderkey % 5 = 0 THEN ''
+    WHEN o_orderkey % 5 = 1 THEN 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30:00Z'
+    WHEN o_orderkey % 5 = 2 THEN 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30:00+02:00'
+    WHEN o_orderkey % 5 = 3 THEN 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30:00-05:00'
+    ELSE 'T' || lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':30:00' END AS t FROM orders)""",
+    "versioned_names": """SELECT o_orderpriority,
+  CASE WHEN regexp_matches(o_orderpriority, '^([0-9]+)-(.*)$')
+       THEN CAST(regexp_extract(o_orderpriority, '^([0-9]+)-(.*)$', 1) AS BIGINT) END AS version,
+  CASE WHEN regexp_matches(o_orderpriority, '^([0-9]+)-(.*)$')
+       THEN regexp_extract(o_orderpriority, '^([0-9]+)-(.*)$', 2) END AS name,
+  regexp_matches(o_orderpriority, '^([0-9]+)-(.*)$') AS valid, count(*) AS n
+FROM orders GROUP BY ALL""",
+    "render_values": """SELECT doc_id, CASE WHEN length(j) <= 80 THEN j ELSE substr(j, 1, 79) || '…' END AS rendered
+FROM (SELECT doc_id, CAST(to_json(text) AS VARCHAR) AS j FROM documents)""",
+    "object_keys": """SELECT event_id, 'events/' || event_type || '/' || strftime(ts, '%Y-%m-%d') || '/'
+  || CAST(event_id AS VARCHAR) || '.json' AS object_key FROM events""",
+    "error_tail": """SELECT conv_id, turn, length(right(text, 4000)) AS tail_chars,
+  sha256(right(text, 4000)) AS tail_sha256 FROM conversations""",
+})
