@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
-from intakeyard.operators import compare, ledger, profile, publish, rules
+from intakeyard.operators import compare, inventory, ledger, profile, publish, rules
 from intakeyard.plans.vendor import vendor_lines, vendor_prepared
 from intakeyard.session import configure
 from intakeyard.sources import files, positions, standins, tables
@@ -487,3 +487,78 @@ def error_tail(spark, sf_dir):
     tail = scalars.error_tail(F.col("text"), 4000)
     return c.select("conv_id", "turn", F.length(tail).alias("tail_chars"),
                     F.sha2(tail, 256).alias("tail_sha256"))
+
+
+# ---- E. inventory ---------------------------------------------------------------
+
+def _frames(spark, sf_dir):
+    return {t: tables.load(spark, sf_dir, t) for t in tables.TABLES}
+
+
+@query
+def inv_relations(spark, sf_dir):
+    return inventory.relations(spark, _frames(spark, sf_dir))
+
+
+@query
+def inv_columns(spark, sf_dir):
+    return inventory.columns(spark, _frames(spark, sf_dir))
+
+
+@query
+def inv_exact_counts(spark, sf_dir):
+    return inventory.exact_counts(_frames(spark, sf_dir))
+
+
+@query
+def inv_candidate_keys(spark, sf_dir):
+    return inventory.candidate_keys(spark, _frames(spark, sf_dir))
+
+
+@query
+def inv_bounded_counts(spark, sf_dir, timeout_s: float = 120.0):
+    return inventory.bounded_counts(spark, _frames(spark, sf_dir), timeout_s)
+
+
+def _sizes(spark, sf_dir):
+    return inventory.sizes(spark, {t: tables.table_path(sf_dir, t) for t in tables.TABLES})
+
+
+@query
+def inv_sizes(spark, sf_dir):
+    return _sizes(spark, sf_dir)
+
+
+@query
+def inv_estimates(spark, sf_dir):
+    return inventory.estimates(spark, _frames(spark, sf_dir))
+
+
+@query
+def inv_empty_but_large(spark, sf_dir):
+    return inventory.empty_but_large(inventory.exact_counts(_frames(spark, sf_dir)),
+                                     _sizes(spark, sf_dir))
+
+
+@query
+def inv_summary(spark, sf_dir):
+    return _sizes(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_relations"),
+                                     F.sum("total_bytes").cast("bigint").alias("total_bytes"))
+
+
+@query
+def inv_nested(spark, sf_dir):
+    fr = _frames(spark, sf_dir)
+    return inventory.nested(inventory.columns(spark, fr), inventory.candidate_keys(spark, fr))
+
+
+@query
+def inv_schema_counts(spark, sf_dir):
+    """Relations per database; databases without relations keep 0 (left join)."""
+    dbs = spark.createDataFrame([(d.name,) for d in spark.catalog.listDatabases()], "database string")
+    rels = spark.createDataFrame(
+        [(t.namespace[0] if t.namespace else None, t.name, t.tableType)
+         for d in spark.catalog.listDatabases() for t in spark.catalog.listTables(d.name)],
+        "database string, name string, kind string")
+    return dbs.join(rels, "database", "left").groupBy("database").agg(
+        F.count_if(F.col("kind").isin("MANAGED", "EXTERNAL", "VIEW")).alias("relation_count"))

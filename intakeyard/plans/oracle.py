@@ -385,3 +385,59 @@ FROM (SELECT doc_id, CAST(to_json(text) AS VARCHAR) AS j FROM documents)""",
     "error_tail": """SELECT conv_id, turn, length(right(text, 4000)) AS tail_chars,
   sha256(right(text, 4000)) AS tail_sha256 FROM conversations""",
 })
+
+
+# ---- E. inventory ------------------------------------------------------------------
+
+TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+IN_TABLES = "(" + ", ".join(f"'{t}'" for t in TABLE_NAMES) + ")"
+SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+  WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'FLOAT' THEN 'float' WHEN 'BOOLEAN' THEN 'boolean'
+  ELSE lower(data_type) END"""
+COLUMNS_SQL = f"""SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name,
+  {SPARK_TYPE} AS data_type, is_nullable = 'YES' AS nullable
+FROM information_schema.columns WHERE table_name IN {IN_TABLES}"""
+
+
+def _atomic_columns(sf_dir: str = "/root/testdata/sf0.01") -> list[tuple[str, str]]:
+    """Atomic columns per table, from the Parquet footers (no data read)."""
+    import pyarrow.parquet as pq
+    import pyarrow.types as pat
+
+    out = []
+    for t in TABLE_NAMES:
+        for f in pq.read_schema(f"{sf_dir}/{t}.parquet"):
+            if not (pat.is_list(f.type) or pat.is_struct(f.type) or pat.is_map(f.type)):
+                out.append((t, f.name))
+    return out
+
+
+def _candidate_keys_sql() -> str:
+    parts = [f"SELECT '{t}' AS table_name, '{c}' AS column_name FROM {t} "
+             f"HAVING count(*) > 0 AND count({c}) = count(*) AND count(DISTINCT {c}) = count(*)"
+             for t, c in _atomic_columns()]
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE.update({
+    "inv_relations": f"""SELECT table_name, CAST(count(*) AS INTEGER) AS n_columns
+FROM information_schema.columns WHERE table_name IN {IN_TABLES} GROUP BY table_name""",
+    "inv_columns": COLUMNS_SQL,
+    "inv_exact_counts": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS exact_rows FROM {t}" for t in TABLE_NAMES),
+    "inv_bounded_counts": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS exact_rows, CAST(NULL AS VARCHAR) AS count_error FROM {t}"
+        for t in TABLE_NAMES),
+})
+try:
+    ORACLE["inv_candidate_keys"] = _candidate_keys_sql()
+    ORACLE["inv_nested"] = f"""WITH c AS ({COLUMNS_SQL}), k AS ({_candidate_keys_sql()})
+SELECT c.table_name, CAST(count(*) AS INTEGER) AS n_columns,
+  string_agg(column_name || ':' || data_type, ',' ORDER BY position) AS columns,
+  coalesce((SELECT string_agg(k.column_name, ',' ORDER BY k.column_name) FROM k
+            WHERE k.table_name = c.table_name), '') AS candidate_keys
+FROM c GROUP BY c.table_name"""
+except Exception:  # noqa: BLE001 - footers unavailable: those two fall back to rows-only
+    pass
