@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
-from intakeyard.operators import compare, inventory, ledger, profile, publish, rules
+from intakeyard.operators import artifacts, compare, inventory, ledger, profile, publish, rules
 from intakeyard.plans.vendor import vendor_lines, vendor_prepared
 from intakeyard.session import configure
 from intakeyard.sources import files, positions, standins, tables
@@ -562,3 +562,174 @@ def inv_schema_counts(spark, sf_dir):
         "database string, name string, kind string")
     return dbs.join(rels, "database", "left").groupBy("database").agg(
         F.count_if(F.col("kind").isin("MANAGED", "EXTERNAL", "VIEW")).alias("relation_count"))
+
+
+# ---- S. CSV scans, header, offset probes -----------------------------------------
+
+def _csv_cell(c):
+    esc = F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    return F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit('"'), esc, F.lit('"')))
+
+
+def vendor_csv_path(spark, sf_dir):
+    """The vendor CSV: alphabetical header, every value quoted, backslash escapes, some rows
+    with one surplus cell; one file (multi-line records do not split)."""
+    rec = standins.standin(spark, sf_dir, "vendor_rec")
+    body = F.concat(F.concat_ws(",", *[_csv_cell(c) for c in standins.CSV_HEADER]),
+                    F.when(F.col("line_no") % 103 == 18, F.lit(',"surplus"')).otherwise(F.lit("")))
+    header = spark.range(1).select(F.lit(0).cast("bigint").alias("line_no"),
+                                   F.lit(",".join(standins.CSV_HEADER)).alias("value"))
+    lines = header.unionByName(rec.select("line_no", body.alias("value")))
+    return files.write_lines(spark, lines, files.fixture_dir(spark, sf_dir, "vendor_csv"), files=1)
+
+
+def _csv_scan(spark, sf_dir, escape):
+    schema = ", ".join(f"{c} string" for c in standins.CSV_HEADER) + ", _ovf string, _corrupt string"
+    df = (spark.read.option("header", True).option("escape", escape).option("multiLine", True)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+          .schema(schema).csv(vendor_csv_path(spark, sf_dir)))
+    return positions.with_positions(df, pos_col="pos").select(
+        "pos", *standins.CSV_HEADER, F.col("_ovf").isNotNull().alias("too_long"))
+
+
+@query
+def csv_vendor_scan(spark, sf_dir):
+    """Vendor dialect (backslash escape, multi-line) with record positions."""
+    return _csv_scan(spark, sf_dir, "\\")
+
+
+@query
+def csv_default_scan(spark, sf_dir):
+    """The RFC dialect on the same file (misreads backslash-escaped quotes)."""
+    return _csv_scan(spark, sf_dir, '"').select("pos", "id", "too_long")
+
+
+@query
+def default_dialect_divergence(spark, sf_dir):
+    """A13 on a real default-dialect scan: first over-long row, first id divergence."""
+    d = _csv_scan(spark, sf_dir, '"').select("pos", F.col("id").alias("csv_id"), "too_long")
+    j = vendor_prepared(spark, sf_dir).select(
+        F.col("line_no").alias("pos"), J.as_string(J.field(F.col("_m"), "id")).alias("json_id"))
+    rows = d.join(j, "pos").select("pos", "too_long", F.col("csv_id").eqNullSafe(F.col("json_id")).alias("id_match"))
+    return compare.first_divergence(rows)
+
+
+@query
+def header_check(spark, sf_dir):
+    """The header as the CSV reader sees it, compared with the expected ordered header."""
+    cols = spark.read.option("header", True).csv(vendor_csv_path(spark, sf_dir)).columns
+    return spark.createDataFrame([(",".join(cols), "yes" if tuple(cols) == standins.CSV_HEADER else "NO")],
+                                 "header string, expected_header string")
+
+
+PROBE_FRACTIONS = ("0.00", "0.25", "0.50", "0.75", "0.99")
+
+
+def _order_ok(value_col="value"):
+    keys = F.json_object_keys(F.col(value_col))
+    return F.coalesce(keys == F.array(*[F.lit(f) for f in standins.JSON_FIELDS]), F.lit(False))
+
+
+@query
+def schema_probes(spark, sf_dir):
+    """S8 re-aimed: records at floor(n * f) + 1 for f in 0/25/50/75/99 %; decoded and
+    whether keys come in the expected order."""
+    lines = vendor_prepared(spark, sf_dir)
+    n = lines.agg(F.count(F.lit(1)).alias("n"))
+    probes = n.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("fraction"),
+                 (F.floor(F.col("n") * F.lit(f).cast("decimal(3,2)")) + 1).cast("bigint").alias("line_no"))
+        for f in PROBE_FRACTIONS])).alias("p")).select("p.fraction", "p.line_no")
+    # Five probe rows: a proven-small broadcast side.
+    return lines.join(F.broadcast(probes), "line_no").select(
+        "fraction", "line_no", F.col("_m").isNotNull().alias("decoded"), _order_ok().alias("order_ok"))
+
+
+@query
+def schema_order_check(spark, sf_dir):
+    """F3 over every record: objects whose keys are not in the expected order."""
+    p = vendor_prepared(spark, sf_dir).filter(F.col("_m").isNotNull())
+    return p.agg(F.count(F.lit(1)).alias("objects"), F.count_if(~_order_ok()).alias("order_mismatches"))
+
+
+# ---- K6, A17, S12, S13, K5, D8: manifests and artifacts ------------------------------
+
+@query
+def manifest_lines(spark, sf_dir):
+    return artifacts.manifest_lines(_reg(spark, sf_dir, "reg_stored"))
+
+
+@query
+def manifest_per_snapshot(spark, sf_dir):
+    stored = _reg(spark, sf_dir, "reg_stored")
+    return artifacts.manifest_digest(artifacts.manifest_lines(stored), stored)
+
+
+@query
+def plan_key_check(spark, sf_dir):
+    return artifacts.plan_key_check(_reg(spark, sf_dir, "reg_stored"))
+
+
+@query
+def artifact_listing(spark, sf_dir):
+    return artifacts.listing(spark, sf_dir, "*.parquet")
+
+
+@query
+def artifact_fingerprint(spark, sf_dir):
+    return artifacts.fingerprints(spark, sf_dir, "*.parquet")
+
+
+def _recorded(spark, sf_dir):
+    """The store's record of the given files, written once (the 'object store' ledger)."""
+    path = files.fixture_dir(spark, sf_dir, "artifact_ledger")
+
+    def _w(d, p):
+        d.write.mode("overwrite").parquet(p)
+
+    fp = artifacts.fingerprints(spark, sf_dir, "*.parquet").join(
+        artifacts.listing(spark, sf_dir, "*.parquet").select("path", "modification_time"), "path")
+    files.write_once(spark, fp, path, _w)
+    return spark.read.parquet(path)
+
+
+def _object_key(c="path"):
+    return F.element_at(F.split(F.col(c), "/"), -1)
+
+
+@query
+def artifact_reconcile(spark, sf_dir):
+    planned = artifacts.fingerprints(spark, sf_dir, "*.parquet").withColumn("object_key", _object_key())
+    stored = _recorded(spark, sf_dir).withColumn("object_key", _object_key())
+    return artifacts.reconcile(planned.select("object_key", "length", "sha256"), stored)
+
+
+@query
+def artifact_drift(spark, sf_dir):
+    before = _recorded(spark, sf_dir).select("path", "length", "modification_time")
+    return artifacts.drift(before, artifacts.listing(spark, sf_dir, "*.parquet"))
+
+
+# ---- P8/U4/D6: schema assertions ---------------------------------------------------
+
+# Declared (name, type) per position for the tables a load depends on.
+DECLARED = {
+    "orders": (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")),
+    "lineitem": (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+                 ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+                 ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+                 ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")),
+}
+
+
+@query
+def schema_assert(spark, sf_dir):
+    exp = spark.createDataFrame([(t, i + 1, n, ty) for t, cols in DECLARED.items() for i, (n, ty) in enumerate(cols)],
+                                "table_name string, position int, expected_column string, expected_type string")
+    obs = inventory.columns(spark, {t: tables.load(spark, sf_dir, t) for t in DECLARED}).select(
+        "table_name", "position", F.col("column_name").alias("observed_column"),
+        F.col("data_type").alias("observed_type"))
+    j = exp.join(obs, ["table_name", "position"], "full")
+    return j.select("*", (F.col("expected_column").eqNullSafe(F.col("observed_column"))
+                          & F.col("expected_type").eqNullSafe(F.col("observed_type"))).alias("matches"))

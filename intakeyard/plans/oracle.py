@@ -441,3 +441,52 @@ SELECT c.table_name, CAST(count(*) AS INTEGER) AS n_columns,
 FROM c GROUP BY c.table_name"""
 except Exception:  # noqa: BLE001 - footers unavailable: those two fall back to rows-only
     pass
+
+
+# ---- S, K6, A17, P8 ------------------------------------------------------------------
+
+EXPECTED_ORDER = "[" + ", ".join(f"'{f}'" for f in ALL_FIELDS) + "]"
+MANIFEST_LINE = ("'{\"bytes\":' || CAST(byte_size AS VARCHAR) || ',\"filename\":\"' || filename || "
+                 "'\",\"format\":\"' || format || '\",\"object_key\":\"' || object_key || "
+                 "'\",\"role\":\"' || role || '\",\"sha256\":\"' || sha256 || '\"}'")
+DECLARED_ROWS = [("orders", i + 1, n, t) for i, (n, t) in enumerate(
+    [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+     ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")])] + [
+    ("lineitem", i + 1, n, t) for i, (n, t) in enumerate(
+        [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+         ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"),
+         ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
+         ("l_shipdate", "timestamp_ntz")])]
+
+ORACLE.update({
+    "csv_vendor_scan": with_clause(("vendor_rec",)) + "\nSELECT line_no AS pos, " + ", ".join(
+        f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in CSV_HEADER)
+    + ", line_no % 103 = 18 AS too_long FROM vendor_rec",
+    "header_check": "SELECT '" + ",".join(CSV_HEADER) + "' AS header, 'yes' AS expected_header",
+    "schema_probes": _vendor() + f""", n AS (SELECT count(*) AS n FROM vendor_json),
+p AS (SELECT f AS fraction, CAST(floor(n * CAST(f AS DECIMAL(3, 2))) AS BIGINT) + 1 AS line_no
+      FROM n, (VALUES ('0.00'), ('0.25'), ('0.50'), ('0.75'), ('0.99')) t(f))
+SELECT p.fraction, p.line_no,
+  coalesce(json_valid(v.value) AND json_type(v.value) = 'OBJECT', false) AS decoded,
+  coalesce(json_valid(v.value) AND json_type(v.value) = 'OBJECT' AND json_keys(v.value) = {EXPECTED_ORDER}, false) AS order_ok
+FROM p JOIN vendor_json v ON v.line_no = p.line_no""",
+    "schema_order_check": _vendor() + f"""
+SELECT count(*) AS objects, count(*) FILTER (WHERE json_keys(value) <> {EXPECTED_ORDER}) AS order_mismatches
+FROM vendor_json WHERE json_valid(value) AND json_type(value) = 'OBJECT'""",
+    "manifest_lines": REG + f"\nSELECT snapshot_id, role, {MANIFEST_LINE} AS line FROM reg_stored",
+    "manifest_per_snapshot": REG + f"""
+SELECT snapshot_id, count(*) AS n_files, CAST(sum(byte_size) AS BIGINT) AS total_bytes,
+  CAST(sum(CAST(('0x' || substr(sha256({MANIFEST_LINE}), 1, 12)) AS BIGINT)) AS VARCHAR) AS manifest_digest
+FROM reg_stored GROUP BY snapshot_id""",
+    "plan_key_check": REG + """
+SELECT snapshot_id, count(*) AS n_files, count(DISTINCT object_key) AS n_distinct_keys,
+  count(*) = count(DISTINCT object_key) AS keys_distinct FROM reg_stored GROUP BY snapshot_id""",
+    "schema_assert": f"""WITH e(table_name, position, expected_column, expected_type) AS (VALUES {", ".join(
+        f"('{t}', {p}, '{n}', '{ty}')" for t, p, n, ty in DECLARED_ROWS)}),
+o AS (SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name AS observed_column,
+        {SPARK_TYPE} AS observed_type FROM information_schema.columns WHERE table_name IN ('orders', 'lineitem'))
+SELECT coalesce(e.table_name, o.table_name) AS table_name, coalesce(e.position, o.position) AS position,
+  e.expected_column, e.expected_type, o.observed_column, o.observed_type,
+  e.expected_column IS NOT DISTINCT FROM o.observed_column AND e.expected_type IS NOT DISTINCT FROM o.observed_type AS matches
+FROM e FULL OUTER JOIN o ON e.table_name = o.table_name AND e.position = o.position""",
+})
