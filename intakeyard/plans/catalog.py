@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
-from intakeyard.operators import artifacts, compare, inventory, ledger, profile, publish, rules
+from intakeyard.operators import artifacts, compare, inventory, ledger, profile, publish, reports, rules
 from intakeyard.plans.vendor import vendor_lines, vendor_prepared
 from intakeyard.session import configure
 from intakeyard.sources import files, positions, standins, tables
@@ -83,11 +83,15 @@ def json_field_profile(spark, sf_dir):
     return profile.field_profile(profile.field_values(vendor_prepared(spark, sf_dir)))
 
 
+# Parsing only (no declared fields): profiling a JSON column needs no rule list.
+PROFILE_ONLY = rules.RuleSet((), (), {})
+
+
 def _events_prepared(spark, sf_dir):
     configure(spark)
     ev = tables.load(spark, sf_dir, "events").select(
         F.col("event_id").alias("line_no"), F.col("props").alias("value"))
-    return rules.VENDOR.prepare(ev)
+    return PROFILE_ONLY.prepare(ev)
 
 
 @query
@@ -733,3 +737,50 @@ def schema_assert(spark, sf_dir):
     j = exp.join(obs, ["table_name", "position"], "full")
     return j.select("*", (F.col("expected_column").eqNullSafe(F.col("observed_column"))
                           & F.col("expected_type").eqNullSafe(F.col("observed_type"))).alias("matches"))
+
+
+# ---- R. reports --------------------------------------------------------------------
+
+@query
+def inspect_report(spark, sf_dir):
+    """R1 as a long table; every figure comes from a registered aggregate above."""
+    prepared = vendor_prepared(spark, sf_dir)
+    values = profile.field_values(prepared)
+    # Fields of the first object record, in the order they are written.
+    first = (prepared.filter(F.col("_m").isNotNull())
+             .agg(F.min_by(F.json_object_keys("value"), F.col("line_no")).alias("k")).first()["k"])
+    json_first = list(first or [])
+    samples = (vendor_lines(spark, sf_dir).filter(F.col("line_no") <= 3)
+               .select("line_no", scalars.render_value(F.col("value")).alias("rendered")).collect())
+    csv = standins.standin(spark, sf_dir, "vendor_csv")
+    rows = _compare_rows(spark, sf_dir).cache()
+    try:
+        summary = compare.summary(rows, csv, prepared).first()
+        mismatches = compare.field_mismatches(rows, standins.CSV_HEADER).collect()
+    finally:
+        rows.unpersist()
+    header = spark.read.option("header", True).csv(vendor_csv_path(spark, sf_dir)).columns
+    return reports.inspection(
+        spark, header=header, expected_header=standins.CSV_HEADER, first_fields=json_first,
+        expected_fields=standins.JSON_FIELDS, probes=schema_probes(spark, sf_dir).collect(),
+        profile=profile.field_profile(values).collect(), samples=samples, summary=summary,
+        mismatches=mismatches, divergence=default_dialect_divergence(spark, sf_dir).first())
+
+
+@query
+def inv_report(spark, sf_dir):
+    """R2 as a long table."""
+    fr = _frames(spark, sf_dir)
+    counts = {r["table_name"]: r["exact_rows"] for r in inventory.exact_counts(fr).collect()}
+    size_rows = _sizes(spark, sf_dir)
+    sizes = {r["table_name"]: r["total_bytes"] for r in size_rows.collect()}
+    formatted = {r["table_name"]: r["f"] for r in size_rows.select(
+        "table_name", scalars.format_bytes(F.col("total_bytes")).alias("f")).collect()}
+    formatted["__total__"] = spark.range(1).select(
+        scalars.format_bytes(F.lit(sum(sizes.values()))).alias("f")).first()["f"]
+    keys: dict[str, list[str]] = {}
+    for r in inventory.candidate_keys(spark, fr).collect():
+        keys.setdefault(r["table_name"], []).append(r["column_name"])
+    return reports.inventory(spark, relations=list(fr), counts=counts, sizes=sizes,
+                             columns=[r.asDict() for r in inventory.columns(spark, fr).collect()],
+                             keys=keys, formatted=formatted, threshold=inventory.EMPTY_BUT_LARGE_BYTES)
