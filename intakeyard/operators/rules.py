@@ -58,6 +58,12 @@ VENDOR_RULES = (
 VENDOR_TYPES = {f: ("int" if f == "founded" else "string") for f in JSON_FIELDS}
 
 
+def _pinned(c: Column) -> Column:
+    """``c`` made nondeterministic at no cost (the partition id is never negative), which
+    keeps it computed once in its own projection."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 @dataclass(frozen=True)
 class RuleSet:
     fields: tuple[str, ...]
@@ -68,12 +74,17 @@ class RuleSet:
         return f"_t_{f}"
 
     def prepare(self, lines: DataFrame, value_col: str = "value") -> DataFrame:
-        """Parse once; keep the object map and each declared field's VARIANT type."""
+        """Parse once; keep the object map and each declared field's VARIANT type.
+
+        The parsed columns are pinned (``_pinned``): Catalyst neither pushes a filter on
+        a verdict below this projection nor inlines the parse into it (a Filter has no
+        common-subexpression elimination, so every rule would parse the line again).
+        """
         v = J.parse(F.col(value_col))
-        d = lines.select("*", v.alias("_v"),
+        d = lines.select("*", _pinned(v).alias("_v"),
                          F.col(value_col).rlike(r"^[ \t\r]*$").alias("_blank"))
-        d = d.select("*", J.as_object(F.col("_v")).alias("_m"))
-        return d.select("*", *[J.type_name(J.field(F.col("_m"), f)).alias(self._t(f))
+        d = d.select("*", _pinned(J.as_object(F.col("_v"))).alias("_m"))
+        return d.select("*", *[_pinned(J.type_name(J.field(F.col("_m"), f))).alias(self._t(f))
                                for f in self.fields])
 
     def failure(self, rule: Rule) -> Column:
