@@ -26,8 +26,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+# Bump when a file-writing rule changes; the stand-in SQL is part of the key too, so a
+# changed definition never reuses files written by an older one.
+FIXTURE_VERSION = "2"
+
+
 def fixture_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
-    tag = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    from intakeyard.sources import standins
+
+    key = "\n".join([FIXTURE_VERSION, sf_dir.rstrip("/"), *(sql for sql, _ in standins.STANDINS.values())])
+    tag = hashlib.sha256(key.encode()).hexdigest()[:12]
     return f"{scratch_root(spark)}/intakeyard-fixtures/{tag}/{name}"
 
 
