@@ -10,6 +10,7 @@ shuffle check.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ COLUMN_SCHEMA = "table_name string, position int, column_name string, data_type
 HLL_RSD = 0.05
 KEY_SCREEN = 0.80
 EMPTY_BUT_LARGE_BYTES = 100 * 1024 * 1024
+SCREEN_THREADS = 4
 ATOMIC = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType,
           T.TimestampType, T.TimestampNTZType, T.BooleanType, T.DecimalType, T.DoubleType,
           T.FloatType)
@@ -80,15 +82,24 @@ def candidate_keys(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFra
     pairs grouped with partial aggregation; any count > 1 disqualifies. Returns a
     lazy union of the pass-2 checks.
     """
-    checks = []
-    for t, df in frames.items():
+    def screen(item):
+        t, df = item
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
         if not cols:
+            return t, cols, None
+        return t, cols, df.agg(F.count(F.lit(1)).alias("_n"),
+                               *[F.count(F.col(c)).alias(f"nn_{i}") for i, c in enumerate(cols)],
+                               *[F.approx_count_distinct(c, HLL_RSD).alias(f"d_{i}")
+                                 for i, c in enumerate(cols)]).first()
+
+    # The per-table screening scans are independent jobs: submit them together.
+    with ThreadPoolExecutor(max_workers=SCREEN_THREADS) as pool:
+        screened = list(pool.map(screen, frames.items()))
+    checks = []
+    for t, cols, stats in screened:
+        if stats is None:
             continue
-        stats = df.agg(F.count(F.lit(1)).alias("_n"),
-                       *[F.count(F.col(c)).alias(f"nn_{i}") for i, c in enumerate(cols)],
-                       *[F.approx_count_distinct(c, HLL_RSD).alias(f"d_{i}")
-                         for i, c in enumerate(cols)]).first()
+        df = frames[t]
         n = stats["_n"]
         survivors = [c for i, c in enumerate(cols)
                      if n > 0 and stats[f"nn_{i}"] == n and stats[f"d_{i}"] >= KEY_SCREEN * n]
