@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -66,6 +68,26 @@ def scratch_root(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return str(jdir.get()).rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local[") and master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="intakeyard-ckpt-", dir=os.environ.get("INTAKEYARD_TMP", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers that can already import it (same path, same machine) lose nothing; others would fail.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_intakeyard_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="intakeyard-py-")
+    with zipfile.ZipFile(f"{folder}/intakeyard.zip", "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(p.relative_to(root.parent)))
+    sc.addPyFile(f"{folder}/intakeyard.zip")
+    sc._intakeyard_shipped = True
