@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from intakeyard.llm import byte_bpe, decontaminate, exact_dedup, quality
+from intakeyard.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, quality
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_near_dedup": near_dedup.op3_near_dedup,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op7_decontaminate": decontaminate.op7_decontaminate,
 }
