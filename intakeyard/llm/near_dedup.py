@@ -174,16 +174,23 @@ def _verify(percent: int, miss: float):
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """``(bucket, band, bi, bj, own, cls)``: members of the buckets to compare, by pair of blocks."""
-    bands = classes.select("cls", "n", F.posexplode(F.array(*[
-        F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)])).alias("band", "bucket"))
-    buckets = (bands.groupBy("bucket", "band").agg(
+    """``(bucket, band, bi, bj, own, cls)``: members of the buckets to compare, by pair of blocks.
+
+    The low bits of a bucket hold its band. Only the members of shared buckets are looked at further.
+    """
+    bands = classes.select("cls", F.explode(F.array(*[
+        F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).bitwiseAND(F.lit(~31)).bitwiseOR(F.lit(b))
+        for b in range(BANDS)])).alias("bucket"))
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+    members = saved(bands.join(shared, "bucket").join(classes.select("cls", "n"), "cls"))
+    buckets = (members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("cls")).alias("x"),
-        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y")).where("c > 1")
-        .groupBy("c", "total", "x", "y").agg(F.min(F.struct("band", "bucket")).alias("first"))
-        .select("first.*", F.greatest(F.ceil(F.col("c") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+        .groupBy("c", "total", "x", "y").agg(F.min(F.struct((F.col("bucket").bitwiseAND(F.lit(31))).alias("band"), "bucket")).alias("first"))
+        .select(F.col("first.bucket").alias("bucket"), F.col("first.band").cast("int").alias("band"),
+                F.greatest(F.ceil(F.col("c") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
     own = F.pmod(F.xxhash64("cls", F.lit(2)), F.col("blocks")).cast("int")
-    return (bands.join(buckets, ["bucket", "band"]).withColumn("own", own)
+    return (members.join(buckets, "bucket").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("bucket", "band", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls"))
 
