@@ -2,7 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)``, works on all rows its predecessor kept and returns a
 DataFrame; the caller writes it as Parquet and reads it again for the next stage. All but the last return the
-columns of ``documents``. Stages read only ``doc_id`` and ``text``; other columns pass through.
+columns of ``documents``. Stages read only ``doc_id`` and ``text``; other columns pass through as they are, except that
+line dedup sets ``n_chars``, where the table has it, to the length of the text it leaves.
 """
 
 from __future__ import annotations
@@ -10,10 +11,11 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from intakeyard.llm import byte_bpe, decontaminate, quality
-from intakeyard.llm.common import documents
+from intakeyard.llm import byte_bpe, decontaminate, line_templates, near_dedup, quality
+from intakeyard.llm.common import documents, row_key
 from intakeyard.session import scratch_root
 from intakeyard.sources.tables import load
 
@@ -24,6 +26,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality_scores(docs, model, carry=docs.columns).where("predicted = 1").select(*docs.columns)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of recurring templates; every document stays, if only with an empty text."""
+    out = line_templates.line_dedup(docs, carry=docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("kept_text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumn("text", F.col("kept_text")).select(*docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest id."""
+    found = near_dedup.near_dedup(docs, percent=80)
+    keep = (found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct())
+    first = Window.partitionBy("__key").orderBy("__row")
+    return (docs.withColumn("__key", row_key("doc_id", "text")).join(keep.hint("shuffle_hash"), "__key", "left_semi")
+            .withColumn("__row", F.monotonically_increasing_id()).withColumn("__n", F.row_number().over(first))
+            .where("__n = 1").select(*docs.columns))
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages (hit words under a twentieth of all words)."""
     return (decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark"), carry=docs.columns)
@@ -38,11 +58,13 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("MinHash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontamination_stage),
     ("byte-level BPE", bpe_stage),
 ]
 
-#: The ranking model and the tokenizer can't be written in SQL.
+#: The ranking model, MinHash and the tokenizer can't be written in SQL.
 ORACLE_SQL = None
 
 
