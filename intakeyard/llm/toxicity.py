@@ -90,7 +90,7 @@ class Vocabulary:
         return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5, steps: int = 12) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.01, steps: int = 15) -> np.ndarray:
     """Weights (the last is the intercept) of a ridge logistic regression by Newton steps."""
     if len(y) == 0 or y.min() == y.max():
         w = np.zeros(x.shape[1] + 1)
