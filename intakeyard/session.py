@@ -80,8 +80,11 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application.
 
     Workers that can already import it (same path, same machine) lose nothing; others would fail.
+    Arrow batches of whole texts are kept small as well, unless the session names a size of its own.
     """
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     if getattr(sc, "_intakeyard_shipped", False):
         return
     root = Path(__file__).resolve().parent
