@@ -126,6 +126,17 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed: a text travels once for each bucket its class is compared in."""
+    for b in batches:
+        packed = [len(v).to_bytes(8, "little") + pa.compress(v.tobytes(), codec="zstd", asbytes=True) for v in text_views(b.column(2))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["cls", "sig", "packed"])
+
+
+def _unpacked(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _verify(percent: int, miss: float):
     steps = least_matches(percent / 100, miss)
 
@@ -136,7 +147,7 @@ def _verify(percent: int, miss: float):
         sig = np.array([np.frombuffer(table.column("sig")[i].as_py(), np.uint32) for i in rows])
         own = table.column("own").to_numpy()[rows]
         band, bi, bj = (table.column(c)[0].as_py() for c in ("band", "bi", "bj"))
-        texts = _Sets([(table.column("text")[i].as_py() or "").encode() for i in rows])
+        texts = _Sets([_unpacked(table.column("packed")[i].as_py()) for i in rows])
         left, right = np.flatnonzero(own == bi), np.flatnonzero(own == bj)
         found = []
         for k, i in enumerate(left):
@@ -210,6 +221,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = saved(candidates(classes))
     needed = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "sig")
     texts = rows.select("key", "text").join(needed.hint("shuffle_hash"), "key").select("cls", "sig", "text")
+    texts = texts.mapInArrow(_pack, "cls binary, sig binary, packed binary")
     links = (members.join(texts, "cls").groupBy("bucket", "band", "bi", "bj")
              .applyInArrow(_verify(percent, miss), "a binary, b binary"))
     roots = components(links)
