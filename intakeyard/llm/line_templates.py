@@ -44,14 +44,15 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
              .select("key", "same", "at", tokens_of(F.col("line")).alias("tokens"))
              .where(F.size("tokens") >= min_tokens)
-             .withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))))
+             .select("key", "same", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"),
+                     F.array_join("tokens", " ").alias("tokens")))  # a string is half the size of its array
     leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
               .where(F.col("texts") >= min_docs).select("leaf"))
     inside = saved(lines.join(leaves, "leaf").withColumn("line", F.xxhash64("tokens")))
     # each different line of a leaf once, with the number of texts that hold it
     kinds = saved(inside.groupBy("leaf", "line", "same").agg(F.min("tokens").alias("tokens"))
                   .groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("tokens").alias("tokens")))
-    cells = kinds.select("leaf", "line", "texts", F.posexplode("tokens").alias("pos", "token"))
+    cells = kinds.select("leaf", "line", "texts", F.posexplode(F.split("tokens", " ")).alias("pos", "token"))
     firm = cells.groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("seen")).where((F.col("seen") >= min_docs) & (F.col("token") != VARIABLE))
     marked = cells.join(firm.select("leaf", "pos", "token", F.lit(True).alias("firm")), ["leaf", "pos", "token"], "left")
     template = marked.groupBy("leaf", "line").agg(
