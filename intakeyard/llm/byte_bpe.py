@@ -89,7 +89,9 @@ class Codec:
         if new:
             fresh = list(new)
             self.code.update(zip(fresh, range(len(self.code), len(self.code) + len(fresh)), strict=True))
-            found = [e.ids for e in self.model.encode_batch_fast(fresh, add_special_tokens=False)]
+            found = []
+            for at in range(0, len(fresh), 2000):  # encodings are large objects; few at a time
+                found += [e.ids for e in self.model.encode_batch_fast(fresh[at:at + 2000], add_special_tokens=False)]
             self.ids = pa.concat_arrays([self.ids, pa.array(found, pa.large_list(pa.int32()))])
         code = self.code
         flat = np.fromiter((code[p] for row in pieces for p in row), np.int64, sum(map(len, pieces)))
@@ -137,7 +139,7 @@ def codec(ranks_path: str, pattern: str, cache: int) -> Codec:
 
 
 def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str = "text", carry: list[str] | None = None,
-             with_ids: bool = False, cache: int = 200_000) -> DataFrame:
+             with_ids: bool = False, cache: int = 100_000) -> DataFrame:
     """Encode and decode every text; keeps the ``carry`` columns (all but none by default) and adds
     ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if asked, ``ids``, ``char_starts``, ``char_ends``.
 
@@ -156,8 +158,8 @@ def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, *, text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern, cache)
         for big in batches:
-            for start in range(0, big.num_rows, 256):
-                batch = big.slice(start, 256)
+            for start in range(0, big.num_rows, 128):
+                batch = big.slice(start, 128)
                 texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
                 ids, counts = c.encode(texts)
                 rows = np.split(ids, np.cumsum(counts)[:-1]) if texts else []

@@ -119,7 +119,7 @@ class Counter:
 _COUNTERS: dict[tuple, Counter] = {}
 
 
-def token_counts(docs: DataFrame, model_path: str, *, text_col: str = "text", carry: list[str] | None = None, cache: int = 250_000) -> DataFrame:
+def token_counts(docs: DataFrame, model_path: str, *, text_col: str = "text", carry: list[str] | None = None, cache: int = 150_000) -> DataFrame:
     """``carry`` columns with ``n_tokens`` and the Viterbi ``score``; added names win over carried ones."""
     ship_package(docs.sparkSession)
     carried = [c for c in carry or [] if c.lower() not in ("n_tokens", "score")]
