@@ -12,7 +12,9 @@ BYTE_UNITS = ("B", "KiB", "MiB", "GiB", "TiB")
 ELLIPSIS = "…"
 RENDER_LIMIT = 80
 REDACTED = "[redacted]"
-ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+# ISO 8601 calendar and week dates, basic and extended, with an optional time and offset.
+ISO_DATETIME = (r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)"
+                r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?)?$")
 
 
 def format_bytes(n: Column) -> Column:
@@ -47,11 +49,20 @@ def json_string(text: Column) -> Column:
 def acquired_at_utc(text: Column) -> Column:
     """ISO date or datetime (``Z``, offsets; naive = UTC) -> UTC timestamp; NULL if bad.
 
-    The regex guard keeps Spark from accepting forms ISO parsing rejects (``2026-08``).
+    All parts are read by one regex and put together in one form, so what passes doesn't
+    depend on the cast (which accepts ``2026-08`` and rejects ``20260817``).
     Needs the session time zone at UTC (``session.configure``).
     """
-    ok = text.rlike(ISO_DATETIME)
-    return F.when(ok, F.try_to_timestamp(text))
+    part = lambda *gs: F.coalesce(*[F.nullif(F.regexp_extract(text, ISO_DATETIME, g), F.lit("")) for g in gs])
+    week = part(6, 8).cast("int")
+    fourth = F.make_date(part(1).cast("int"), F.lit(1), F.lit(4))  # always in week 1
+    by_week = F.date_add(fourth, (week - 1) * 7 - F.weekday(fourth) + F.coalesce(part(7, 9).cast("int"), F.lit(1)) - 1)
+    day = F.when(week.between(1, 53), by_week.cast("string")).when(week.isNull(), F.concat_ws("-", part(1), part(2, 4), part(3, 5)))
+    clock = F.concat_ws(":", *[F.coalesce(part(g), F.lit("00")) for g in (10, 11, 12)])
+    offset = F.coalesce(F.when(part(14) == "Z", F.lit("+00:00")), F.regexp_replace(
+        F.rpad(F.regexp_replace(part(14), ":", ""), 5, "0"), r"^(...)(..)$", "$1:$2"), F.lit("+00:00"))
+    whole = F.concat(day, F.lit("T"), clock, F.lit("."), F.coalesce(part(13), F.lit("0")), offset)
+    return F.when(text.rlike(ISO_DATETIME), F.try_to_timestamp(whole))
 
 
 def redact(text: Column, secrets: tuple[str, ...]) -> Column:
@@ -68,9 +79,10 @@ def url_parts(url: Column) -> dict[str, Column]:
 
 
 def url_target(url: Column) -> Column:
-    """Target label without credentials: ``scheme://host/path`` with trailing ``/`` removed."""
+    """Target label without credentials: ``scheme://host[:port]/path`` with trailing ``/`` removed."""
     p = url_parts(url)
-    return F.regexp_replace(F.concat(p["scheme"], F.lit("://"), p["host"],
+    place = F.regexp_replace(F.try_parse_url(url, F.lit("AUTHORITY")), "^.*@", "")
+    return F.regexp_replace(F.concat(p["scheme"], F.lit("://"), F.when(p["host"].isNotNull(), place),
                                      F.coalesce(p["path"], F.lit(""))), "/+$", "")
 
 

@@ -2,8 +2,7 @@
 
 Listings read metadata only (``binaryFile`` with the content column pruned).
 SHA-256 is sequential inside a file, so fingerprints run in parallel across
-files: small files through ``binaryFile`` content, large ones (over the content
-cap) streamed in 1 MiB chunks by a pandas task per file.
+files; a file of any size is streamed in 1 MiB chunks.
 """
 
 from __future__ import annotations
@@ -14,8 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CONTENT_CAP = 1 << 30  # binaryFile content is one row: keep it well under 2 GiB
+from intakeyard.session import ship_package
+
 CHUNK = 1 << 20
+MAX_TASKS = 10_000  # tasks of one fingerprint job; beyond it a task hashes several files
 
 
 def listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -31,7 +32,9 @@ def _stream_sha256(batches):
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            uri = "file://" + p[len("file:"):] if p.startswith("file:/") and not p.startswith("file://") else p
+            scheme, _, rest = p.partition(":")
+            # Hadoop writes file:/x and s3a://x where Arrow reads file:///x and s3://x
+            uri = f"file:///{rest.lstrip('/')}" if scheme == "file" else f"s3:{rest}" if scheme == "s3a" else p
             fs, rel = pafs.FileSystem.from_uri(uri)
             h = hashlib.sha256()
             with fs.open_input_stream(rel) as src:
@@ -43,15 +46,12 @@ def _stream_sha256(batches):
 
 def fingerprints(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """``(path, length, sha256)`` for every file under ``root``."""
+    ship_package(spark)
     lst = listing(spark, root, glob)
-    small = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(root)
-             .filter(F.col("length") <= CONTENT_CAP)
-             .select("path", "length", F.sha2(F.col("content"), 256).alias("sha256")))
-    big = lst.filter(F.col("length") > CONTENT_CAP)
-    big_sha = (big.select("path").repartition(F.col("path"))
-               .mapInPandas(_stream_sha256, "path string, sha256 string"))
-    return small.unionByName(big.select("path", "length").join(big_sha, "path"))
+    # an explicit number of partitions: adaptive execution would put all paths in one task
+    tasks = max(1, min(lst.count(), MAX_TASKS))
+    sha = lst.select("path").repartition(tasks).mapInPandas(_stream_sha256, "path string, sha256 string")
+    return lst.select("path", "length").join(sha, "path")
 
 
 def reconcile(planned: DataFrame, stored: DataFrame) -> DataFrame:
@@ -84,13 +84,21 @@ def manifest_lines(files: DataFrame) -> DataFrame:
 
 
 def manifest_digest(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """K6 re-aimed for scale: per snapshot an order-free digest (sum of 48-bit line-hash
-    prefixes), file count and bytes; no per-snapshot list is ever collected."""
-    h = F.conv(F.substring(F.sha2(F.col("line"), 256), 1, 12), 16, 10).cast("decimal(20,0)")
-    d = lines.groupBy("snapshot_id").agg(F.sum(h).cast("string").alias("manifest_digest"))
+    """K6 re-aimed for scale: per snapshot an order-free digest over whole line hashes, file
+    count and bytes; no per-snapshot list is ever collected.
+
+    Each line's SHA-256 is cut in eight 32-bit limbs; every limb is summed by itself and
+    the eight sums, the count and the bytes are hashed once more.
+    """
+    digest = F.sha2(F.col("line"), 256)
+    limbs = [F.sum(F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)")).alias(f"_{i}")
+             for i in range(8)]
+    d = lines.groupBy("snapshot_id").agg(*limbs)
     t = files.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n_files"),
                                          F.sum("byte_size").cast("bigint").alias("total_bytes"))
-    return t.join(d, "snapshot_id")
+    whole = F.concat_ws(":", *[F.col(f"_{i}").cast("string") for i in range(8)], "n_files", "total_bytes")
+    return t.join(d, "snapshot_id").select("snapshot_id", "n_files", "total_bytes",
+                                           F.sha2(whole, 256).alias("manifest_digest"))
 
 
 def plan_key_check(files: DataFrame) -> DataFrame:

@@ -21,8 +21,7 @@ COLUMN_SCHEMA = "table_name string, position int, column_name string, data_type
 # HLL relative error 5% (512 registers: a small, codegen-friendly buffer per column);
 # below 80% distinct (4 sigma) a column cannot be a key. The screen only prunes:
 # survivors are checked exactly.
-HLL_RSD = 0.05
-KEY_SCREEN = 0.80
+PROOF_ROWS = 20_000  # rows in which a repeated value is looked for before the full check
 EMPTY_BUT_LARGE_BYTES = 100 * 1024 * 1024
 SCREEN_THREADS = 4
 ATOMIC = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType,
@@ -57,28 +56,34 @@ def bounded_counts(spark: SparkSession, frames: dict[str, DataFrame], timeout_s:
     Each count runs under its own job tag; a timer cancels that tag only.
     """
     rows = []
-    sc = spark.sparkContext
     for t, df in frames.items():
         tag = f"intakeyard-count-{t}"
         spark.addTag(tag)
-        timer = threading.Timer(timeout_s, lambda tg=tag: spark.interruptTag(tg))
+        late = threading.Event()
+
+        def stop(tg=tag, late=late):
+            late.set()
+            spark.interruptTag(tg)
+
+        timer = threading.Timer(timeout_s, stop)
         timer.start()
         try:
             rows.append((t, df.count(), None))
-        except Exception:  # noqa: BLE001 - a cancelled job surfaces as a Py4J/Spark error
-            rows.append((t, None, f"timed out after {timeout_s:g} seconds"))
+        except Exception as e:  # noqa: BLE001 - a cancelled job surfaces as a Py4J/Spark error
+            why = f"timed out after {timeout_s:g} seconds" if late.is_set() else f"{type(e).__name__}: {str(e)[:2000]}"
+            rows.append((t, None, why))
         finally:
             timer.cancel()
             spark.removeTag(tag)
-    _ = sc
     return spark.createDataFrame(rows, "table_name string, exact_rows bigint, count_error string")
 
 
 def candidate_keys(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     """S11/A8 re-aimed: single columns that are non-null and unique, checked exactly.
 
-    Pass 1 per table (one scan): count, null count and HLL distinct per atomic column.
-    Pass 2 per table, one shuffle for all surviving columns: ``(column, value)``
+    Pass 1 per table: exact row and null counts, and exact distinct counts over a bounded number of
+    rows. A column is ruled out only on proof: a null, or a value met twice. Pass 2 per
+    table, one shuffle for all columns left: ``(column, hash of the value)``
     pairs grouped with partial aggregation; any count > 1 disqualifies. Returns a
     lazy union of the pass-2 checks.
     """
@@ -87,10 +92,10 @@ def candidate_keys(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFra
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
         if not cols:
             return t, cols, None
-        return t, cols, df.agg(F.count(F.lit(1)).alias("_n"),
-                               *[F.count(F.col(c)).alias(f"nn_{i}") for i, c in enumerate(cols)],
-                               *[F.approx_count_distinct(c, HLL_RSD).alias(f"d_{i}")
-                                 for i, c in enumerate(cols)]).first()
+        whole = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"nn_{i}") for i, c in enumerate(cols)]).first()
+        few = df.select(*cols).limit(PROOF_ROWS).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.size(F.collect_set(F.xxhash64(c))).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
+        return t, cols, (whole, few)
 
     # The per-table screening scans are independent jobs: submit them together.
     with ThreadPoolExecutor(max_workers=SCREEN_THREADS) as pool:
@@ -100,20 +105,23 @@ def candidate_keys(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFra
         if stats is None:
             continue
         df = frames[t]
-        n = stats["_n"]
+        whole, few = stats
+        n = whole["_n"]
+        # a hash collision could only hide a true key among PROOF_ROWS rows; one is allowed for
         survivors = [c for i, c in enumerate(cols)
-                     if n > 0 and stats[f"nn_{i}"] == n and stats[f"d_{i}"] >= KEY_SCREEN * n]
+                     if n > 0 and whole[f"nn_{i}"] == n and few[f"d_{i}"] >= few["_n"] - 1]
         if not survivors:
             continue
         # One shuffle for all survivors of this table: (column, value) pairs, counted.
+        texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
         floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
 
         def as_text(c: str):
             v = F.when(F.col(c) == 0, F.lit(0.0)).otherwise(F.col(c)) if c in floats else F.col(c)
-            return v.cast("string")
+            return F.unhex(F.sha2(v.cast("string"), 256)) if c in texts else v.cast("string")
 
         pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), as_text(c).alias("v")) for c in survivors
+            F.struct(F.lit(c).alias("column_name"), as_text(c).cast("binary").alias("v")) for c in survivors
         ])).alias("p")).select("p.column_name", "p.v")
         worst = (pairs.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_c"))
                  .groupBy("column_name").agg(F.max("_c").alias("_max")))

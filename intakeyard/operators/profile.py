@@ -7,7 +7,7 @@ so a hot key collapses before the shuffle and no set lives on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
@@ -42,10 +42,12 @@ def field_profile(values: DataFrame, pos_col: str = "line_no") -> DataFrame:
         F.count_if(F.col("json_type").isin("array", "object")).alias("structured_count"),
         F.min(pos_col).alias("_first_seen"),
     )
-    # Tiny window over the per-field result (one row per distinct key).
-    first_record = F.min("_first_seen").over(Window.partitionBy())
-    return (per_field.select("*", (F.col("_first_seen") == first_record).alias("in_first_record"))
-            .filter(F.col("field").isNotNull()).drop("_first_seen"))
+    # The first record's position is one row; keys are data, so no window gathers them in one task.
+    first = per_field.agg(F.min("_first_seen").alias("_first_record"))
+    return (per_field.join(F.broadcast(first))
+            .select(*[c for c in per_field.columns if c != "_first_seen"],
+                    (F.col("_first_seen") == F.col("_first_record")).alias("in_first_record"))
+            .filter(F.col("field").isNotNull()))
 
 
 def duplicate_count(df: DataFrame, key: Column) -> DataFrame:
@@ -58,8 +60,11 @@ def duplicate_count(df: DataFrame, key: Column) -> DataFrame:
 
 
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys held by more than one row, with their row count; NULL keys listed apart."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Keys held by more than one row, with their row count.
+
+    Rows with a NULL in the key are no duplicates; ``null_key_rows`` counts them.
+    """
+    return (df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
             .filter(F.col("n_rows") > 1))
 
 

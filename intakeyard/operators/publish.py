@@ -90,26 +90,33 @@ def append_run(spark: SparkSession, ledger_path: str, row: dict) -> None:
 
 def publish(spark: SparkSession, accepted: DataFrame, prepared: DataFrame, table_root: str,
             ledger_path: str, *, target: str, snapshot_id: str) -> dict:
-    """Stage, verify (verdict + observed == stored), then commit through the ledger."""
+    """Stage, verify (verdict + observed == stored), then commit through the ledger.
+
+    A ``running`` row comes first; the run ends in one ``succeeded`` or ``failed`` row. An
+    error leaves a ``failed`` row with its tail and is raised again; the staged folder stays unreferenced.
+    """
     run_id = str(uuid.uuid4())
     started = datetime.now(timezone.utc).replace(tzinfo=None)
-    verdict = load_verdict(prepared).first()
-    if verdict["verdict"] != "accept":
-        append_run(spark, ledger_path, dict(run_id=run_id, snapshot_id=snapshot_id, target=target,
-                                            status="failed", started_at=started,
-                                            finished_at=datetime.now(timezone.utc).replace(tzinfo=None),
-                                            error=str(verdict["reason"])[-8000:]))
-        return dict(run_id=run_id, status="failed", rows_observed=0, rows_stored=0,
-                    reason=verdict["reason"])
-    path, observed = stage(accepted.select(*COMPANIES_SCHEMA.fieldNames()), table_root, run_id)
-    stored = spark.read.schema(COMPANIES_SCHEMA).parquet(path).count()
+
+    def record(status: str, **more) -> None:
+        done = None if status == "running" else datetime.now(timezone.utc).replace(tzinfo=None)
+        append_run(spark, ledger_path, dict(run_id=run_id, snapshot_id=snapshot_id, target=target, status=status,
+                                            started_at=started, finished_at=done, **more))
+
+    record("running")
+    try:
+        verdict = load_verdict(prepared).first()
+        if verdict["verdict"] != "accept":
+            record("failed", error=str(verdict["reason"])[-8000:])
+            return dict(run_id=run_id, status="failed", rows_observed=0, rows_stored=0, reason=verdict["reason"])
+        path, observed = stage(accepted.select(*COMPANIES_SCHEMA.fieldNames()), table_root, run_id)
+        stored = spark.read.schema(COMPANIES_SCHEMA).parquet(path).count()
+    except Exception as e:
+        record("failed", error=f"{type(e).__name__}: {e}"[-8000:])
+        raise
     ok = stored == observed == verdict["valid_rows"]
-    append_run(spark, ledger_path, dict(
-        run_id=run_id, snapshot_id=snapshot_id, target=target,
-        status="succeeded" if ok else "failed", started_at=started,
-        finished_at=datetime.now(timezone.utc).replace(tzinfo=None),
-        row_count=stored if ok else None,
-        error=None if ok else f"wrote {observed} rows but storage holds {stored}"))
+    record("succeeded" if ok else "failed", row_count=stored if ok else None,
+           error=None if ok else f"wrote {observed} rows but storage holds {stored}")
     return dict(run_id=run_id, status="succeeded" if ok else "failed", rows_observed=observed,
                 rows_stored=stored, reason=None)
 

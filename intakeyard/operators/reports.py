@@ -18,35 +18,34 @@ def _fmt(n) -> str:
 def inspection(spark: SparkSession, *, header: list[str], expected_header: tuple[str, ...],
                first_fields: list[str], expected_fields: tuple[str, ...], probes: list,
                profile: list, samples: list, summary, mismatches: list, divergence) -> DataFrame:
-    """Header and field checks, types and nulls, samples, comparison, recommendation."""
+    """Header and field checks, types and nulls, samples, comparison."""
     rows = []
 
     def add(section, item, value):
         rows.append((section, len(rows) + 1, item, str(value)))
 
-    add("CSV artifact", "header", ", ".join(header))
-    add("CSV artifact", "expected header", "yes" if tuple(header) == expected_header else "NO")
-    add("JSON artifact", "fields", ", ".join(first_fields))
-    add("JSON artifact", "expected fields", "yes" if tuple(first_fields) == expected_fields else "NO")
+    add("csv", "column order", ", ".join(header))
+    add("csv", "column order as declared", "yes" if tuple(header) == expected_header else "NO")
+    add("json", "fields of line 1", ", ".join(first_fields))
+    add("json", "fields as declared", "yes" if tuple(first_fields) == expected_fields else "NO")
     bad = sum(1 for p in probes if not p["order_ok"])
-    add("JSON artifact", "offset schema probes", f"{len(probes)} checked, {bad} mismatch(es)")
+    add("json", "lines probed for field order", f"{bad} of {len(probes)} differ")
     for p in sorted(profile, key=lambda r: (first_fields.index(r["field"]) if r["field"] in first_fields else 99,
                                             r["field"])):
-        add("Observed JSON types", p["field"],
-            f"{p['observed_types'].replace(',', ', ')}; nulls {_fmt(p['null_count'])}/{_fmt(p['observed_count'])}")
+        add("field", p["field"],
+            f"{p['observed_types'].replace(',', ', ')} (null in {_fmt(p['null_count'])} of {_fmt(p['observed_count'])})")
     for s in samples:
-        add("Sample JSON records", str(s["line_no"]), s["rendered"])
-    add("Representation comparison", "records compared", _fmt(summary["records_compared"]))
-    add("Representation comparison", "ID mismatches", _fmt(summary["id_mismatches"]))
-    add("Representation comparison", "duplicate JSON IDs", _fmt(summary["duplicate_json_ids"]))
-    add("Representation comparison", "malformed-width CSV rows", _fmt(summary["malformed_csv_rows"]))
+        add("example line", str(s["line_no"]), s["rendered"])
+    add("csv against json", "pairs of records", _fmt(summary["records_compared"]))
+    add("csv against json", "pairs with other ids", _fmt(summary["id_mismatches"]))
+    add("csv against json", "json ids seen again", _fmt(summary["duplicate_json_ids"]))
+    add("csv against json", "csv rows with too many cells", _fmt(summary["malformed_csv_rows"]))
     mm = ", ".join(f"{m['field']}={m['n']:,}" for m in sorted(mismatches, key=lambda r: r["field"])) or "none"
-    add("Representation comparison", "value mismatches after null/year normalization", mm)
-    add("Representation comparison", "default CSV parser first malformed-width row",
+    add("csv against json", "differing cells by field", mm)
+    add("csv against json", "plain dialect: first row too wide",
         _fmt(divergence["first_malformed_row"]))
-    add("Representation comparison", "default CSV parser first ID mismatch", _fmt(divergence["first_id_mismatch"]))
-    add("Representation comparison", "structured JSON values observed", _fmt(summary["structured_values"]))
-    add("Import recommendation", "preferred input", "newline-delimited JSON")
+    add("csv against json", "plain dialect: first other id", _fmt(divergence["first_id_mismatch"]))
+    add("csv against json", "nested values", _fmt(summary["structured_values"]))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -58,19 +57,17 @@ def inventory(spark: SparkSession, *, relations: list, counts: dict, sizes: dict
     def add(section, item, value):
         rows.append((section, len(rows) + 1, item, str(value)))
 
-    total = sum(sizes.values())
-    add("Placement", "relations", len(relations))
-    add("Placement", "total size", formatted["__total__"])
+    add("all tables", "tables", len(relations))
+    add("all tables", "bytes on disk", formatted["__total__"])
     for t in sorted(relations):
         add(t, "type", "table")
-        add(t, "rows", f"{counts[t]:,} (exact)" if counts.get(t) is not None else "unknown (catalog estimate)")
+        add(t, "rows", f"{counts[t]:,}" if counts.get(t) is not None else "not counted")
         add(t, "size", formatted[t])
         cols = [c for c in columns if c["table_name"] == t]
         add(t, "columns", len(cols))
         for c in sorted(cols, key=lambda c: c["position"]):
             add(t, f"column {c['column_name']}", f"{c['data_type']} {'NULL' if c['nullable'] else 'NOT NULL'}")
-        add(t, "candidate keys", ", ".join(sorted(keys.get(t, []))) or "none")
+        add(t, "unique columns", ", ".join(sorted(keys.get(t, []))) or "none")
         if counts.get(t) == 0 and sizes.get(t, 0) >= threshold:
-            add(t, "warning", "exact count is zero, but the relation still occupies substantial space")
-    _ = total
+            add(t, "warning", f"no rows in {sizes[t]:,} bytes")
     return spark.createDataFrame(rows, REPORT_SCHEMA)

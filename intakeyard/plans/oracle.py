@@ -476,7 +476,8 @@ FROM vendor_json WHERE json_valid(value) AND json_type(value) = 'OBJECT'""",
     "manifest_lines": REG + f"\nSELECT snapshot_id, role, {MANIFEST_LINE} AS line FROM reg_stored",
     "manifest_per_snapshot": REG + f"""
 SELECT snapshot_id, count(*) AS n_files, CAST(sum(byte_size) AS BIGINT) AS total_bytes,
-  CAST(sum(CAST(('0x' || substr(sha256({MANIFEST_LINE}), 1, 12)) AS BIGINT)) AS VARCHAR) AS manifest_digest
+  sha256(concat_ws(':', {", ".join(f"CAST(sum(CAST(('0x' || substr(sha256({MANIFEST_LINE}), {8 * i + 1}, 8)) AS BIGINT)) AS VARCHAR)" for i in range(8))},
+    CAST(count(*) AS VARCHAR), CAST(CAST(sum(byte_size) AS BIGINT) AS VARCHAR))) AS manifest_digest
 FROM reg_stored GROUP BY snapshot_id""",
     "plan_key_check": REG + """
 SELECT snapshot_id, count(*) AS n_files, count(DISTINCT object_key) AS n_distinct_keys,

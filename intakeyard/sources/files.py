@@ -8,6 +8,7 @@ renamed into place, so a lost executor or a second caller never sees half a file
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,10 +44,13 @@ def write_once(spark: SparkSession, df: DataFrame, path: str, writer) -> str:
     """Write ``df`` with ``writer(df, tmp_path)`` unless ``path`` is already complete."""
     if exists(spark, f"{path}/_SUCCESS"):
         return path
-    tmp = f"{path}.tmp-{hashlib.sha256(str(id(df)).encode()).hexdigest()[:8]}"
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
     writer(df, tmp)
     fs, hsrc = _fs(spark, tmp)
     _, hdst = _fs(spark, path)
+    if exists(spark, f"{path}/_SUCCESS"):  # another writer was first: its files are the same
+        fs.delete(hsrc, True)
+        return path
     if fs.exists(hdst):
         fs.delete(hdst, True)
     fs.rename(hsrc, hdst)
@@ -54,11 +58,15 @@ def write_once(spark: SparkSession, df: DataFrame, path: str, writer) -> str:
 
 
 def write_lines(spark: SparkSession, df: DataFrame, path: str, *, order_col: str = "line_no",
-                value_col: str = "value", files: int = 4) -> str:
-    """Write one text line per row, file order = ``order_col`` order across part files."""
+                value_col: str = "value", files: int | None = None) -> str:
+    """Write one text line per row, file order = ``order_col`` order across part files.
+
+    The number of files follows the data (Spark sizes the range partitions) unless it is given.
+    """
 
     def _w(d: DataFrame, p: str) -> None:
-        (d.repartitionByRange(files, order_col).sortWithinPartitions(order_col)
+        cut = (files, order_col) if files else (order_col,)
+        (d.repartitionByRange(*cut).sortWithinPartitions(order_col)
            .select(value_col).write.mode("overwrite").text(p))
 
     return write_once(spark, df, path, _w)

@@ -10,6 +10,8 @@ which defaults to the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,12 +23,14 @@ from intakeyard.session import configure, scratch_root
 def _write_batch(rules: R.RuleSet, out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         prepared = rules.prepare(batch)
-        verdicts = prepared.select("_file", rules.first_rule().alias("rule"), "*")
+        # both outputs come from one evaluation of the batch
+        verdicts = prepared.select("_file", rules.first_rule().alias("rule"), "*").persist()
         (verdicts.filter(F.col("rule") == R.VALID).select("_file", *rules.typed_row())
          .write.mode("overwrite").parquet(f"{out_dir}/accepted/batch_id={batch_id}"))
         (verdicts.filter(~F.col("rule").isin(R.VALID, R.BLANK_LINE))
          .groupBy("_file", "rule").agg(F.count(F.lit(1)).alias("n_lines"))
          .write.mode("overwrite").parquet(f"{out_dir}/violations/batch_id={batch_id}"))
+        verdicts.unpersist()
     return write
 
 
@@ -39,7 +43,7 @@ def start(spark: SparkSession, landing_dir: str, out_dir: str, *, rules: R.RuleS
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(landing_dir).select(F.col("_metadata.file_path").alias("_file"), "value")
-    ckpt = checkpoint or f"{scratch_root(spark)}/intakeyard-streams/{abs(hash(landing_dir))}"
+    ckpt = checkpoint or f"{scratch_root(spark)}/intakeyard-streams/{hashlib.sha256(landing_dir.encode()).hexdigest()[:32]}"
     w = lines.writeStream.foreachBatch(_write_batch(rules, out_dir)).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

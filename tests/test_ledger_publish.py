@@ -1,6 +1,7 @@
-"""Ledger and publish behaviour the reference's tests cover with fakes, as data."""
+"""Ledger, publish and fingerprint behaviour on small tables and files."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from intakeyard.operators import ledger, publish
 from intakeyard.operators import rules as R
@@ -66,3 +67,31 @@ def test_empty_but_large_warning(spark, rows, warn):
     counts = spark.createDataFrame([("organizations", rows)], "table_name string, exact_rows bigint")
     sizes = spark.createDataFrame([("organizations", 1, 1024 ** 3)], "table_name string, n_files bigint, total_bytes bigint")
     assert inventory.empty_but_large(counts, sizes).collect()[0].warning is warn
+
+
+def test_fingerprints_use_more_than_one_task(spark, tmp_path):
+    import hashlib
+
+    from intakeyard.operators import artifacts
+
+    for i in range(14):
+        (tmp_path / f"f{i}.bin").write_bytes(bytes([i]) * (1000 * i + 1))
+    got = artifacts.fingerprints(spark, str(tmp_path))
+    want = {hashlib.sha256(bytes([i]) * (1000 * i + 1)).hexdigest() for i in range(14)}
+    assert {r.sha256 for r in got.collect()} == want
+    assert artifacts.listing(spark, str(tmp_path)).select("path").repartition(14).rdd.getNumPartitions() == 14
+
+
+def test_error_leaves_a_failed_row(spark, lines_file, tmp_path):
+    """A load that breaks half-way ends as ``failed`` in the ledger and publishes nothing."""
+    good = R.VENDOR.prepare(positions.read_lines(spark, lines_file(
+        ['{"id":"a","website":null,"name":"A","founded":1,"size":null,"locality":null,'
+         '"region":null,"country":null,"industry":null,"linkedin_url":null}'], name="good")))
+    rows = R.accepted_rows(good).selectExpr("*").withColumn("name", F.raise_error(F.lit("broken source")).cast("string"))
+    root, led = str(tmp_path / "t"), str(tmp_path / "ledger")
+    with pytest.raises(Exception, match="broken source"):
+        publish.publish(spark, rows, good, root, led, target="c", snapshot_id="s")
+    runs = spark.read.parquet(led).collect()
+    assert sorted(r.status for r in runs) == ["failed", "running"] and len({r.run_id for r in runs}) == 1
+    assert "broken source" in next(r.error for r in runs if r.status == "failed")
+    assert publish.current_path(spark, root, led, "c") is None

@@ -16,21 +16,24 @@ def test_format_bytes(spark):
 
 
 def test_sha256_matches_hashlib(spark):
-    text = "Provenance is preserved.\n" * 100 + "end"
+    text = "line of some file\n" * 57 + "last"
     assert one(spark, F.sha2(F.col("x"), 256), [(text,)]) == [hashlib.sha256(text.encode()).hexdigest()]
 
 
 def test_redaction(spark):
-    got = one(spark, S.redact(F.col("x"), ("db-secret", "", "storage-secret")),
-              [("database db-secret and storage storage-secret failed",)])
-    assert got == ["database [redacted] and storage [redacted] failed"]
+    got = one(spark, S.redact(F.col("x"), ("k3y-one", "", "k3y-two")),
+              [("login with k3y-one, then k3y-two, then k3y-one",)])
+    assert got == ["login with [redacted], then [redacted], then [redacted]"]
 
 
 def test_acquired_at_to_utc(spark):
     got = one(spark, F.date_format(S.acquired_at_utc(F.col("x")), "yyyy-MM-dd HH:mm:ss"),
               [("2026-08-17",), ("2026-08-16T19:00:00-05:00",), ("2026-08-17T10:00:00Z",), ("2026-08",),
-               ("20260817",)])
-    assert got == ["2026-08-17 00:00:00", "2026-08-17 00:00:00", "2026-08-17 10:00:00", None, None]
+               ("20260817",), ("2026-W34-1",), ("2026W341",), ("2026-08-17T10",), ("2026-08-17T10:00:00+0200",),
+               ("20260817T101530,25-01",), ("2026-13-01",), ("2026-0817",), ("",), (None,)])
+    assert got == ["2026-08-17 00:00:00", "2026-08-17 00:00:00", "2026-08-17 10:00:00", None,
+                   "2026-08-17 00:00:00", "2026-08-17 00:00:00", "2026-08-17 00:00:00", "2026-08-17 10:00:00", "2026-08-17 08:00:00",
+                   "2026-08-17 11:15:30", None, None, None, None]
 
 
 def test_render_value_truncates_to_80(spark):
@@ -42,6 +45,7 @@ def test_render_value_truncates_to_80(spark):
 def test_url_target_and_versions(spark):
     rows = [("https://user:pw@h.example.com/a/b/?q=1",)]
     assert one(spark, S.url_target(F.col("x")), rows) == ["https://h.example.com/a/b"]
+    assert one(spark, S.url_target(F.col("x")), [("https://u:p@h.example.com:9000/a/",)]) == ["https://h.example.com:9000/a"]
     v = S.versioned_name(F.col("x"))
     got = spark.createDataFrame([("001_meta.sql",), ("bad.sql",)], "x string").select(
         v["version"], v["name"], v["valid"]).collect()
