@@ -19,7 +19,7 @@ SEGMENT_BYTES = 96
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def _segment_bound(df: DataFrame) -> int:
+def segment_bound(df: DataFrame) -> int:
     return df.rdd.getNumPartitions() + len(df.inputFiles())
 
 
@@ -30,7 +30,7 @@ def with_positions(df: DataFrame, *, pos_col: str = "line_no", file_pos_col: str
     ``df`` must be a direct file scan (text, csv, json...) so ``_metadata`` exists.
     ``file_pos_col`` adds the position inside each file; ``file_col`` keeps the path.
     """
-    bound = _segment_bound(df)
+    bound = segment_bound(df)
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_f"),
