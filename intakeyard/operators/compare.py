@@ -47,7 +47,7 @@ def _json_equal(csv_norm: Column, x: Column, t: Column, integer: bool) -> Column
 
 
 def joined(csv: DataFrame, prepared_json: DataFrame, header: tuple[str, ...],
-           int_fields: tuple[str, ...] = ("founded",), window: int | None = None) -> DataFrame:
+           int_fields: tuple[str, ...] = ("founded",)) -> DataFrame:
     """Positional join plus per-row comparison flags.
 
     Output: ``pos, id_match, n_cells, founded_not_integer, json_id, json_id_is_string,
@@ -57,8 +57,6 @@ def joined(csv: DataFrame, prepared_json: DataFrame, header: tuple[str, ...],
     c = csv.select("pos", *[F.col(f).alias(f"c_{f}") for f in header], "n_cells")
     m = F.col("_m")
     j = prepared_json.select(F.col("line_no").alias("pos"), "_m")
-    if window is not None:  # S7: first N records of both sides, never a bare limit
-        c, j = c.filter(F.col("pos") <= window), j.filter(F.col("pos") <= window)
     both = c.join(j, "pos")
     json_fields = both.select("*", *[F.schema_of_variant(J.field(m, f)).alias(f"t_{f}")
                                      for f in header])
@@ -105,21 +103,21 @@ def field_mismatches(rows: DataFrame, header: tuple[str, ...]) -> DataFrame:
             .groupBy("field").agg(F.count(F.lit(1)).alias("n")))
 
 
-def summary(rows: DataFrame, csv: DataFrame, prepared_json: DataFrame) -> DataFrame:
-    """A10, A11, A14 and friends in one aggregate, plus both full record counts."""
-    compared = rows.agg(
-        F.count(F.lit(1)).alias("records_compared"),
-        F.count_if(~F.col("id_match")).alias("id_mismatches"),
-        F.count_if(F.col("too_long")).alias("malformed_csv_rows"),
-        F.count_if(F.col("founded_not_integer")).alias("founded_not_integer"),
-        F.coalesce(F.sum("structured"), F.lit(0)).cast("bigint").alias("structured_values"),
-    )
-    ids = rows.filter(F.col("json_id").isNotNull()).groupBy("json_id").agg(
-        F.count(F.lit(1)).alias("_c")).agg(
-        F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("duplicate_json_ids"))
+def summary(rows: DataFrame, csv: DataFrame, json_lines: DataFrame) -> DataFrame:
+    """A10, A11, A14 and friends, plus both full record counts.
+
+    The joined rows are read once: all counters are partial sums per JSON id (rows without one fall together
+    and are combined before the shuffle), added up in a second aggregate.
+    """
+    flags = {"id_mismatches": ~F.col("id_match"), "malformed_csv_rows": F.col("too_long"), "founded_not_integer": F.col("founded_not_integer")}
+    per_id = rows.groupBy("json_id").agg(F.count(F.lit(1)).alias("records_compared"), *[F.count_if(c).alias(n) for n, c in flags.items()],
+                                         F.sum("structured").alias("structured_values"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    compared = per_id.agg(*[total(c).alias(c) for c in ("records_compared", *flags, "structured_values")],
+                          total(F.when(F.col("json_id").isNotNull(), F.col("records_compared") - 1)).alias("duplicate_json_ids"))
     n_csv = csv.agg(F.count(F.lit(1)).alias("csv_records"))
-    n_json = prepared_json.agg(F.count(F.lit(1)).alias("json_records"))
-    return _one_row_concat([compared, ids, n_csv, n_json])
+    n_json = json_lines.agg(F.count(F.lit(1)).alias("json_records"))
+    return _one_row_concat([compared, n_csv, n_json])
 
 
 def _one_row_concat(parts: list[DataFrame]) -> DataFrame:

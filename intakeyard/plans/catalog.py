@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
 from intakeyard.operators import artifacts, compare, inventory, ledger, profile, publish, reports, rules
-from intakeyard.plans.vendor import vendor_lines, vendor_prepared
+from intakeyard.plans.vendor import vendor_csv, vendor_csv_path, vendor_lines, vendor_prepared
 from intakeyard.session import configure
-from intakeyard.sources import files, positions, standins, tables
+from intakeyard.sources import csv_records, files, positions, standins, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,9 +142,10 @@ def sample_records(spark, sf_dir, k: int = 3):
 # ---- C. cross-representation compare --------------------------------------
 
 def _compare_rows(spark, sf_dir, window=None):
-    csv = standins.standin(spark, sf_dir, "vendor_csv")
-    return compare.joined(csv, vendor_prepared(spark, sf_dir), standins.CSV_HEADER,
-                          window=window)
+    csv = vendor_csv(spark, sf_dir)
+    if window is not None:  # S7: first N records of both sides, never a bare limit
+        csv = csv.filter(F.col("pos") <= window)
+    return compare.joined(csv, vendor_prepared(spark, sf_dir, window=window), standins.CSV_HEADER)
 
 
 @query
@@ -159,8 +160,7 @@ def field_mismatches(spark, sf_dir):
 
 @query
 def compare_summary(spark, sf_dir):
-    csv = standins.standin(spark, sf_dir, "vendor_csv")
-    return compare.summary(_compare_rows(spark, sf_dir), csv, vendor_prepared(spark, sf_dir))
+    return compare.summary(_compare_rows(spark, sf_dir), vendor_csv(spark, sf_dir), vendor_lines(spark, sf_dir))
 
 
 @query
@@ -176,8 +176,7 @@ def compare_window(spark, sf_dir, window: int = 1000):
 
 @query
 def csv_normalized(spark, sf_dir):
-    return compare.csv_normalized(standins.standin(spark, sf_dir, "vendor_csv"),
-                                  standins.CSV_HEADER)
+    return compare.csv_normalized(vendor_csv(spark, sf_dir), standins.CSV_HEADER)
 
 
 # ---- D. provenance ledger ---------------------------------------------------
@@ -262,7 +261,7 @@ def current_version(spark, sf_dir):
 def lineage(spark, sf_dir):
     cur = ledger.current_version(_reg(spark, sf_dir, "runs")).withColumn(
         "snapshot_id", F.concat(F.lit("src"), F.expr("substr(target, 2)")))
-    files = _reg(spark, sf_dir, "reg_stored").groupBy("snapshot_id").agg(
+    files = _reg(spark, sf_dir, "reg_files").groupBy("snapshot_id").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("byte_size").alias("total_bytes"))
     return cur.join(files, "snapshot_id", "left").select(
         "target", "run_id", "snapshot_id", F.coalesce("n_files", F.lit(0)).alias("n_files"),
@@ -311,7 +310,7 @@ def _surplus(df, cols, check):
 def ledger_expectations(spark, sf_dir):
     """F13 + uniqueness as data: one conditional pass per table plus one keyed aggregate
     per uniqueness rule."""
-    files = _reg(spark, sf_dir, "reg_stored")
+    files = _reg(spark, sf_dir, "reg_files")
     runs = _reg(spark, sf_dir, "runs")
     empty = lambda c: F.col(c).isNull() | (F.col(c) == "")
     f_checks = {
@@ -570,60 +569,36 @@ def inv_schema_counts(spark, sf_dir):
 
 # ---- S. CSV scans, header, offset probes -----------------------------------------
 
-def _csv_cell(c):
-    esc = F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit('"'), esc, F.lit('"')))
-
-
-def vendor_csv_path(spark, sf_dir):
-    """The vendor CSV: alphabetical header, every value quoted, backslash escapes, some rows
-    with one surplus cell; one file (multi-line records do not split)."""
-    rec = standins.standin(spark, sf_dir, "vendor_rec")
-    body = F.concat(F.concat_ws(",", *[_csv_cell(c) for c in standins.CSV_HEADER]),
-                    F.when(F.col("line_no") % 103 == 18, F.lit(',"surplus"')).otherwise(F.lit("")))
-    header = spark.range(1).select(F.lit(0).cast("bigint").alias("line_no"),
-                                   F.lit(",".join(standins.CSV_HEADER)).alias("value"))
-    lines = header.unionByName(rec.select("line_no", body.alias("value")))
-    return files.write_lines(spark, lines, files.fixture_dir(spark, sf_dir, "vendor_csv"), files=1)
-
-
-def _csv_scan(spark, sf_dir, escape):
-    schema = ", ".join(f"{c} string" for c in standins.CSV_HEADER) + ", _ovf string, _corrupt string"
-    df = (spark.read.option("header", True).option("escape", escape).option("multiLine", True)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-          .schema(schema).csv(vendor_csv_path(spark, sf_dir)))
-    return positions.with_positions(df, pos_col="pos").select(
-        "pos", *standins.CSV_HEADER, F.col("_ovf").isNotNull().alias("too_long"))
-
-
 @query
 def csv_vendor_scan(spark, sf_dir):
-    """Vendor dialect (backslash escape, multi-line) with record positions."""
-    return _csv_scan(spark, sf_dir, "\\")
+    """Vendor dialect (backslash escape, multi-line) with record positions and cell counts."""
+    return vendor_csv(spark, sf_dir).select("pos", *standins.CSV_HEADER, "n_cells")
 
 
 @query
 def csv_default_scan(spark, sf_dir):
-    """The RFC dialect on the same file (misreads backslash-escaped quotes)."""
-    return _csv_scan(spark, sf_dir, '"').select("pos", "id", "too_long")
+    """The default dialect on the same files (misreads backslash-escaped quotes)."""
+    return vendor_csv(spark, sf_dir, csv_records.DEFAULT).select("pos", "id", "n_cells")
 
 
 @query
 def default_dialect_divergence(spark, sf_dir):
-    """A13 on a real default-dialect scan: first over-long row, first id divergence."""
-    d = _csv_scan(spark, sf_dir, '"').select("pos", F.col("id").alias("csv_id"), "too_long")
-    j = vendor_prepared(spark, sf_dir).select(
-        F.col("line_no").alias("pos"), J.as_string(J.field(F.col("_m"), "id")).alias("json_id"))
-    rows = d.join(j, "pos").select("pos", "too_long", F.col("csv_id").eqNullSafe(F.col("json_id")).alias("id_match"))
+    """A13 on a default-dialect scan against the feed without defects: first over-long row, first id divergence."""
+    d = vendor_csv(spark, sf_dir, csv_records.DEFAULT).select("pos", F.col("id").alias("csv_id"), "n_cells")
+    clean = rules.VENDOR.prepare(positions.read_lines(spark, _clean_jsonl(spark, sf_dir)))
+    j = clean.select(F.col("line_no").alias("pos"), J.as_string(J.field(F.col("_m"), "id")).alias("json_id"))
+    rows = d.join(j, "pos").select("pos", (F.col("n_cells") > len(standins.CSV_HEADER)).alias("too_long"),
+                                   F.col("csv_id").eqNullSafe(F.col("json_id")).alias("id_match"))
     return compare.first_divergence(rows)
 
 
 @query
 def header_check(spark, sf_dir):
-    """The header as the CSV reader sees it, compared with the expected ordered header."""
-    cols = spark.read.option("header", True).csv(vendor_csv_path(spark, sf_dir)).columns
-    return spark.createDataFrame([(",".join(cols), "yes" if tuple(cols) == standins.CSV_HEADER else "NO")],
-                                 "header string, expected_header string")
+    """The header record as scanned, compared with the expected ordered header; no row if there is none."""
+    cells = csv_records.header(spark, vendor_csv_path(spark, sf_dir), csv_records.VENDOR)
+    expected = F.array(*[F.lit(c) for c in standins.CSV_HEADER])
+    return cells.select(F.array_join("cells", ",").alias("header"),
+                        F.when(F.col("cells") == expected, "yes").otherwise("NO").alias("expected_header"))
 
 
 PROBE_FRACTIONS = ("0.00", "0.25", "0.50", "0.75", "0.99")
@@ -638,14 +613,14 @@ def _order_ok(value_col="value"):
 def schema_probes(spark, sf_dir):
     """S8 re-aimed: records at floor(n * f) + 1 for f in 0/25/50/75/99 %; decoded and
     whether keys come in the expected order."""
-    lines = vendor_prepared(spark, sf_dir)
+    lines = vendor_lines(spark, sf_dir)
     n = lines.agg(F.count(F.lit(1)).alias("n"))
     probes = n.select(F.explode(F.array(*[
         F.struct(F.lit(f).alias("fraction"),
                  (F.floor(F.col("n") * F.lit(f).cast("decimal(3,2)")) + 1).cast("bigint").alias("line_no"))
         for f in PROBE_FRACTIONS])).alias("p")).select("p.fraction", "p.line_no")
-    # Five probe rows: a proven-small broadcast side.
-    return lines.join(F.broadcast(probes), "line_no").select(
+    # Five probe rows: a proven-small broadcast side. Only the lines they name are parsed.
+    return rules.VENDOR.prepare(lines.join(F.broadcast(probes), "line_no")).select(
         "fraction", "line_no", F.col("_m").isNotNull().alias("decoded"), _order_ok().alias("order_ok"))
 
 
@@ -660,18 +635,18 @@ def schema_order_check(spark, sf_dir):
 
 @query
 def manifest_lines(spark, sf_dir):
-    return artifacts.manifest_lines(_reg(spark, sf_dir, "reg_stored"))
+    return artifacts.manifest_lines(_reg(spark, sf_dir, "reg_files"))
 
 
 @query
 def manifest_per_snapshot(spark, sf_dir):
-    stored = _reg(spark, sf_dir, "reg_stored")
+    stored = _reg(spark, sf_dir, "reg_files")
     return artifacts.manifest_digest(artifacts.manifest_lines(stored), stored)
 
 
 @query
 def plan_key_check(spark, sf_dir):
-    return artifacts.plan_key_check(_reg(spark, sf_dir, "reg_stored"))
+    return artifacts.plan_key_check(_reg(spark, sf_dir, "reg_files"))
 
 
 @query
@@ -752,14 +727,15 @@ def inspect_report(spark, sf_dir):
     json_first = list(first or [])
     samples = (vendor_lines(spark, sf_dir).filter(F.col("line_no") <= 3)
                .select("line_no", scalars.render_value(F.col("value")).alias("rendered")).collect())
-    csv = standins.standin(spark, sf_dir, "vendor_csv")
+    csv = vendor_csv(spark, sf_dir)
     rows = _compare_rows(spark, sf_dir).cache()
     try:
         summary = compare.summary(rows, csv, prepared).first()
         mismatches = compare.field_mismatches(rows, standins.CSV_HEADER).collect()
     finally:
         rows.unpersist()
-    header = spark.read.option("header", True).csv(vendor_csv_path(spark, sf_dir)).columns
+    head = csv_records.header(spark, vendor_csv_path(spark, sf_dir), csv_records.VENDOR).first()
+    header = head["cells"] if head else []
     return reports.inspection(
         spark, header=header, expected_header=standins.CSV_HEADER, first_fields=json_first,
         expected_fields=standins.JSON_FIELDS, probes=schema_probes(spark, sf_dir).collect(),

@@ -7,7 +7,7 @@ never with the Spark code under test.
 
 from __future__ import annotations
 
-from intakeyard.sources.standins import with_clause
+from intakeyard.sources.standins import CSV_HEADER, with_clause
 
 ORACLE: dict[str, str] = {}
 
@@ -123,10 +123,6 @@ SELECT count(*) AS n_rows, count(*) FILTER (WHERE id IS NULL OR id = '') AS miss
 
 # ---- C. compare -------------------------------------------------------------
 
-CSV_HEADER = ("country", "founded", "id", "industry", "linkedin_url", "locality", "name",
-              "region", "size", "website")
-
-
 def _eq_sql(f: str) -> str:
     t = f"json_type(jv, '$.{f}')"
     if f == "founded":
@@ -199,7 +195,7 @@ ORACLE["compare_window"] = _nonzero(_field_mismatch_sql(1000))
 
 # ---- D. ledger ---------------------------------------------------------------
 
-REG = with_clause(("reg_stored", "reg_requested", "reg_snapshots", "runs"))
+REG = with_clause(("reg_files", "reg_stored", "reg_requested", "reg_snapshots", "runs"))
 DIFFERS = " OR ".join(f"s.{f} IS DISTINCT FROM r.{f}" for f in (
     "snapshot_id", "role", "filename", "object_key", "format", "sha256", "byte_size"))
 SHARES = "(s.sha256 = r.sha256 OR s.object_key = r.object_key)"
@@ -260,7 +256,7 @@ QUALIFY row_number() OVER (PARTITION BY target ORDER BY started_at DESC, run_id
     "lineage": REG + """, cur AS (SELECT target, run_id FROM runs WHERE status = 'succeeded'
   QUALIFY row_number() OVER (PARTITION BY target ORDER BY started_at DESC, run_id DESC) = 1),
 f AS (SELECT snapshot_id, count(*) AS n_files, CAST(sum(byte_size) AS BIGINT) AS total_bytes
-  FROM reg_stored GROUP BY snapshot_id)
+  FROM reg_files GROUP BY snapshot_id)
 SELECT cur.target, cur.run_id, 'src' || substr(cur.target, 2) AS snapshot_id,
   coalesce(f.n_files, 0) AS n_files, coalesce(f.total_bytes, 0) AS total_bytes
 FROM cur LEFT JOIN f ON f.snapshot_id = 'src' || substr(cur.target, 2)""",
@@ -287,17 +283,17 @@ FROM reg_requested e LEFT JOIN reg_stored s ON s.file_id = e.file_id""",
     "ledger_expectations": REG + """
 SELECT 'files.sha256_not_hex64' AS "check",
   count(*) FILTER (WHERE NOT coalesce(regexp_full_match(sha256, '[0-9a-f]{64}'), false)) AS n_violations
-FROM reg_stored
-UNION ALL SELECT 'files.negative_byte_size', count(*) FILTER (WHERE coalesce(byte_size < 0, true)) FROM reg_stored
+FROM reg_files
+UNION ALL SELECT 'files.negative_byte_size', count(*) FILTER (WHERE coalesce(byte_size < 0, true)) FROM reg_files
 UNION ALL SELECT 'files.empty_text', count(*) FILTER (WHERE coalesce(snapshot_id, '') = '' OR
   coalesce(role, '') = '' OR coalesce(filename, '') = '' OR coalesce(object_key, '') = '' OR
-  coalesce(format, '') = '') FROM reg_stored
+  coalesce(format, '') = '') FROM reg_files
 UNION ALL SELECT 'runs.unknown_status', count(*) FILTER (WHERE NOT coalesce(status IN ('running', 'succeeded', 'failed'), false)) FROM runs
 UNION ALL SELECT 'runs.negative_row_count', count(*) FILTER (WHERE coalesce(row_count < 0, false)) FROM runs
-UNION ALL SELECT 'files.surplus_sha256', count(*) - (SELECT count(*) FROM (SELECT DISTINCT sha256 FROM reg_stored)) FROM reg_stored
-UNION ALL SELECT 'files.surplus_object_key', count(*) - (SELECT count(*) FROM (SELECT DISTINCT object_key FROM reg_stored)) FROM reg_stored
-UNION ALL SELECT 'files.surplus_snapshot_role', count(*) - (SELECT count(*) FROM (SELECT DISTINCT snapshot_id, role FROM reg_stored)) FROM reg_stored
-UNION ALL SELECT 'files.surplus_file_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT file_id FROM reg_stored)) FROM reg_stored
+UNION ALL SELECT 'files.surplus_sha256', count(*) - (SELECT count(*) FROM (SELECT DISTINCT sha256 FROM reg_files)) FROM reg_files
+UNION ALL SELECT 'files.surplus_object_key', count(*) - (SELECT count(*) FROM (SELECT DISTINCT object_key FROM reg_files)) FROM reg_files
+UNION ALL SELECT 'files.surplus_snapshot_role', count(*) - (SELECT count(*) FROM (SELECT DISTINCT snapshot_id, role FROM reg_files)) FROM reg_files
+UNION ALL SELECT 'files.surplus_file_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT file_id FROM reg_files)) FROM reg_files
 UNION ALL SELECT 'runs.surplus_run_id', count(*) - (SELECT count(*) FROM (SELECT DISTINCT run_id FROM runs)) FROM runs""",
 })
 
@@ -458,10 +454,15 @@ DECLARED_ROWS = [("orders", i + 1, n, t) for i, (n, t) in enumerate(
          ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
          ("l_shipdate", "timestamp_ntz")])]
 
+DEFAULT_CELLS = "n_cells + CASE WHEN vendor_csv.k % 50 = 9 THEN 1 ELSE 0 END"
+
 ORACLE.update({
-    "csv_vendor_scan": with_clause(("vendor_rec",)) + "\nSELECT line_no AS pos, " + ", ".join(
-        f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in CSV_HEADER)
-    + ", line_no % 103 = 18 AS too_long FROM vendor_rec",
+    "csv_vendor_scan": with_clause(("vendor_csv",)) + "\nSELECT pos, " + ", ".join(CSV_HEADER) + ", n_cells FROM vendor_csv",
+    # By the default dialect a quote after a backslash ends its cell's quoting: a comma behind it cuts the cell.
+    "csv_default_scan": with_clause(("vendor_csv",)) + "\nSELECT pos, id, " + DEFAULT_CELLS + " AS n_cells FROM vendor_csv",
+    "default_dialect_divergence": with_clause(("vendor_csv",)) + f"""
+SELECT min(vendor_csv.pos) FILTER (WHERE {DEFAULT_CELLS} > 10) AS first_malformed_row, min(vendor_csv.pos) FILTER (WHERE vendor_csv.id <> r.id) AS first_id_mismatch
+FROM vendor_csv JOIN vendor_rec r ON r.line_no = vendor_csv.pos""",
     "header_check": "SELECT '" + ",".join(CSV_HEADER) + "' AS header, 'yes' AS expected_header",
     "schema_probes": _vendor() + f""", n AS (SELECT count(*) AS n FROM vendor_json),
 p AS (SELECT f AS fraction, CAST(floor(n * CAST(f AS DECIMAL(3, 2))) AS BIGINT) + 1 AS line_no
@@ -473,15 +474,15 @@ FROM p JOIN vendor_json v ON v.line_no = p.line_no""",
     "schema_order_check": _vendor() + f"""
 SELECT count(*) AS objects, count(*) FILTER (WHERE json_keys(value) <> {EXPECTED_ORDER}) AS order_mismatches
 FROM vendor_json WHERE json_valid(value) AND json_type(value) = 'OBJECT'""",
-    "manifest_lines": REG + f"\nSELECT snapshot_id, role, {MANIFEST_LINE} AS line FROM reg_stored",
+    "manifest_lines": REG + f"\nSELECT snapshot_id, role, {MANIFEST_LINE} AS line FROM reg_files",
     "manifest_per_snapshot": REG + f"""
 SELECT snapshot_id, count(*) AS n_files, CAST(sum(byte_size) AS BIGINT) AS total_bytes,
   sha256(concat_ws(':', {", ".join(f"CAST(sum(CAST(('0x' || substr(sha256({MANIFEST_LINE}), {8 * i + 1}, 8)) AS BIGINT)) AS VARCHAR)" for i in range(8))},
     CAST(count(*) AS VARCHAR), CAST(CAST(sum(byte_size) AS BIGINT) AS VARCHAR))) AS manifest_digest
-FROM reg_stored GROUP BY snapshot_id""",
+FROM reg_files GROUP BY snapshot_id""",
     "plan_key_check": REG + """
 SELECT snapshot_id, count(*) AS n_files, count(DISTINCT object_key) AS n_distinct_keys,
-  count(*) = count(DISTINCT object_key) AS keys_distinct FROM reg_stored GROUP BY snapshot_id""",
+  count(*) = count(DISTINCT object_key) AS keys_distinct FROM reg_files GROUP BY snapshot_id""",
     "schema_assert": f"""WITH e(table_name, position, expected_column, expected_type) AS (VALUES {", ".join(
         f"('{t}', {p}, '{n}', '{ty}')" for t, p, n, ty in DECLARED_ROWS)}),
 o AS (SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name AS observed_column,

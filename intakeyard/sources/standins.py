@@ -26,6 +26,7 @@ SELECT CAST(c.c_custkey + 1 AS BIGINT) AS line_no, c.c_custkey AS k,
        WHEN c.c_custkey % 20 = 1 THEN concat('https://www.c', c.c_custkey, '.example.com/a,b')
        ELSE concat('c', c.c_custkey, '.example.com') END AS website,
   CASE WHEN c.c_custkey % 50 = 7  THEN concat('Quoted ', chr(34), c.c_name, chr(34))
+       WHEN c.c_custkey % 50 = 9  THEN concat('Said ', chr(34), 'hi', chr(34), ', ', c.c_name)
        WHEN c.c_custkey % 50 = 11 THEN concat('Back', chr(92), 'slash ', c.c_name)
        WHEN c.c_custkey % 50 = 13 THEN concat('Two', chr(10), 'lines ', c.c_name)
        ELSE c.c_name END AS name,
@@ -82,25 +83,32 @@ FROM vendor_rec
 
 VENDOR_JSON = _vendor_json_sql()
 
+# What the vendor CSV holds once decoded (``raw_name`` keeps the backslashes its dialect drops); some rows have
+# surplus cells, empty ones among them, and ten records more than the JSON repeat the first ten at the end.
 VENDOR_CSV = """
-SELECT line_no AS pos,
-  CASE WHEN line_no % 101 = 14 THEN concat('x', id) ELSE id END AS id,
-  coalesce(website,'') AS website, replace(name, chr(92), '') AS name,
+SELECT pos, k, raw_name,
+  CASE WHEN pos % 101 = 14 THEN concat('x', id) ELSE id END AS id,
+  coalesce(website,'') AS website, replace(raw_name, chr(92), '') AS name,
   coalesce(CAST(founded AS STRING),'') AS founded, size, coalesce(locality,'') AS locality,
   coalesce(region,'') AS region, coalesce(country,'') AS country,
   coalesce(industry,'') AS industry, linkedin_url,
-  CASE WHEN line_no % 103 = 18 THEN 11 ELSE 10 END AS n_cells
-FROM vendor_rec WHERE line_no <= (SELECT count(*) - 10 FROM vendor_rec)
+  CASE WHEN pos % 103 IN (18, 19) THEN 11 WHEN pos % 103 = 20 THEN 12 ELSE 10 END AS n_cells
+FROM (SELECT line_no AS pos, name AS raw_name, * FROM vendor_rec
+      UNION ALL
+      SELECT line_no + (SELECT count(*) FROM vendor_rec) AS pos, name AS raw_name, * FROM vendor_rec WHERE line_no <= 10) v
 """
 
-REG_STORED = """
+#: Every document as a ledger file; the stored and requested sides below are parts of it, so that they can differ.
+REG_FILES = """
 SELECT doc_id AS file_id, source AS snapshot_id, concat('doc_', doc_id) AS role,
   concat('doc_', doc_id, '.txt') AS filename,
   concat('docs/', source, '/', lang, '/', doc_id, '.txt') AS object_key,
   'txt' AS format, {sha_text} AS sha256, n_chars AS byte_size
-FROM {documents} WHERE doc_id % 3 <> 0
+FROM {documents}
 """
 
+REG_STORED = "SELECT * FROM reg_files WHERE file_id % 3 <> 0"
+
 REG_REQUESTED = """
 SELECT doc_id AS file_id,
   CASE WHEN doc_id % 14 = 8 THEN concat(source, '-new') ELSE source END AS snapshot_id,
@@ -125,7 +133,8 @@ STANDINS = {
     "vendor_rec": (VENDOR_REC, ()),
     "vendor_json": (VENDOR_JSON, ("vendor_rec",)),
     "vendor_csv": (VENDOR_CSV, ("vendor_rec",)),
-    "reg_stored": (REG_STORED, ()),
+    "reg_files": (REG_FILES, ()),
+    "reg_stored": (REG_STORED, ("reg_files",)),
     "reg_requested": (REG_REQUESTED, ()),
     "reg_snapshots": (REG_SNAPSHOTS, ("reg_stored",)),
     "runs": (RUNS, ()),

@@ -23,7 +23,7 @@ def _got(spark, path, dialect):
     return [r.c for r in rows]
 
 
-@pytest.mark.parametrize("split", ["128m", "48"])
+@pytest.mark.parametrize("split", ["128m", "300"])
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
 def test_matches_python_csv(spark, tmp_path, split, end):
     rng = random.Random(11)
@@ -35,6 +35,7 @@ def test_matches_python_csv(spark, tmp_path, split, end):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert (spark.read.text(str(path)).rdd.getNumPartitions() > 4) == (split == "300")
         assert _got(spark, str(path), csv_records.VENDOR) == _expected(text, escapechar="\\")
         assert _got(spark, str(path), csv_records.DEFAULT) == _expected(text)
     finally:
