@@ -13,6 +13,8 @@ from intakeyard.sources import csv_records, files, positions, standins
 def vendor_json_path(spark: SparkSession, sf_dir: str) -> str:
     """Write the JSONL stand-in once (4 part files, line order kept) and return its folder."""
     path = files.fixture_dir(spark, sf_dir, "vendor_jsonl")
+    if files.exists(spark, f"{path}/_SUCCESS"):
+        return path
     return files.write_lines(spark, standins.standin(spark, sf_dir, "vendor_json"), path)
 
 
@@ -35,6 +37,9 @@ def _quoted(c: Column) -> Column:
 def vendor_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """Write the vendor CSV once and return its folder: alphabetical header, cells with and without quotes, doubled
     and backslashed quotes, backslashes before other characters, line ends in cells, surplus cells."""
+    path = files.fixture_dir(spark, sf_dir, "vendor_csv")
+    if files.exists(spark, f"{path}/_SUCCESS"):
+        return path
     csv = standins.standin(spark, sf_dir, "vendor_csv")
     doubled, backslashed = F.replace("raw_name", F.lit('"'), F.lit('""')), F.replace("raw_name", F.lit('"'), F.lit('\\"'))
     raw = {"name": _quoted(F.when(F.col("k") % 100 == 7, doubled).otherwise(backslashed)), "id": _quoted(F.col("id")),
@@ -44,7 +49,7 @@ def vendor_csv_path(spark: SparkSession, sf_dir: str) -> str:
     body = F.concat(F.concat_ws(",", *[raw.get(c, F.col(c)) for c in standins.CSV_HEADER]), F.coalesce(surplus, F.lit("")))
     head = spark.range(1).select(F.lit(0).cast("bigint").alias("line_no"), F.lit(",".join(standins.CSV_HEADER)).alias("value"))
     lines = head.unionByName(csv.select(F.col("pos").alias("line_no"), body.alias("value")))
-    return files.write_lines(spark, lines, files.fixture_dir(spark, sf_dir, "vendor_csv"))
+    return files.write_lines(spark, lines, path)
 
 
 def vendor_csv(spark: SparkSession, sf_dir: str, dialect: csv_records.Dialect = csv_records.VENDOR) -> DataFrame:

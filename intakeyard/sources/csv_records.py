@@ -3,8 +3,8 @@
 A record may span lines, so whether a line starts inside a quoted cell depends on all lines before it. A line
 either leaves that state as it is, turns it, or ends in a fixed state; two regexes tell
 which. Within a scan split the state before each line is then a window function, between splits a window over one row
-per split (the same for record numbers), so no task reads more than its split. Lines that are whole
-records go on as they are; only the lines of multi-line records are grouped, by record number.
+per split (the same for record numbers), so no task reads more than its split. The lines of a
+record then meet by record number.
 
 Rules: a quote opens a quoted cell only at the cell's start; inside, two quotes are one and (vendor dialect) a
 backslash takes the next character literally; text after the closing quote belongs to the cell; outside
@@ -74,9 +74,9 @@ def _with_state(df: DataFrame, out0: str, out1: str, by: list[str], order: list[
     """
     before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     turn = F.when((F.col(out0) == 1) & (F.col(out1) == 0), 1).otherwise(0)
-    df = df.withColumn("_turns", F.coalesce(F.sum(turn).over(before), F.lit(0)))
+    df = df.select("*", F.coalesce(F.sum(turn).over(before), F.lit(0)).alias("_turns"))
     fixed = F.when(F.col(out0) == F.col(out1), (F.col(out0) + F.col("_turns")) % 2)  # as if all turns so far still came
-    df = df.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(before))
+    df = df.select("*", F.last(fixed, ignorenulls=True).over(before).alias("_fixed"))
     return df.select("*", *[((F.coalesce("_fixed", F.lit(s)) + F.col("_turns")) % 2).alias(f"_s{s}") for s in (0, 1)]).drop("_turns", "_fixed")
 
 
@@ -91,10 +91,9 @@ def records(spark: SparkSession, path: str, dialect: Dialect) -> DataFrame:
                          F.col("value").isin("", "\r").alias("_blank"))
     lines = _with_state(lines, "_o0", "_o1", ["_f", "_b"], ["_m"])
     upto = Window.partitionBy("_f", "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for s in (0, 1):
-        begins = F.when((F.col(f"_s{s}") == 0) & ~F.col("_blank"), 1).otherwise(0)
-        lines = (lines.withColumn(f"_r{s}", F.sum(begins).over(upto))
-                 .withColumn(f"_a{s}", F.when(F.col(f"_s{s}") == 0, F.col("_o0")).otherwise(F.col("_o1"))))
+    begun = [F.sum(F.when((F.col(f"_s{s}") == 0) & ~F.col("_blank"), 1).otherwise(0)).over(upto).alias(f"_r{s}") for s in (0, 1)]
+    after = [F.when(F.col(f"_s{s}") == 0, F.col("_o0")).otherwise(F.col("_o1")).alias(f"_a{s}") for s in (0, 1)]
+    lines = lines.select("value", "_f", "_b", "_m", "_blank", "_s0", "_s1", *begun, *after)
     splits = lines.groupBy("_f", "_b").agg(*[F.max_by(f"_a{s}", "_m").alias(f"_a{s}") for s in (0, 1)],
                                            *[F.max(f"_r{s}").alias(f"_n{s}") for s in (0, 1)])
     splits = _with_state(splits, "_a0", "_a1", ["_f"], ["_b"])
@@ -107,13 +106,10 @@ def records(spark: SparkSession, path: str, dialect: Dialect) -> DataFrame:
     def by_entry(name: str) -> Column:
         return F.when(F.col("_in") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
 
-    at = lines.join(splits, ["_f", "_b"]).select(
-        "value", "_f", "_b", "_m", "_blank", by_entry("_s").alias("_state"), by_entry("_a").alias("_after"),
-        (F.col("_off") + by_entry("_r")).alias("pos"))
-    whole = (F.col("_state") == 0) & (F.col("_after") == 0)
-    parts = at.where(~whole).groupBy("pos").agg(F.array_sort(F.collect_list(F.struct("_b", "_m", "value"))).alias("l"))
-    joined = parts.select("pos", F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("record"))
-    every = at.where(whole & ~F.col("_blank")).select("pos", F.col("value").alias("record")).unionByName(joined)
+    at = lines.join(splits, ["_f", "_b"]).where(~(F.col("_blank") & (by_entry("_s") == 0)))
+    every = (at.select("value", "_b", "_m", (F.col("_off") + by_entry("_r")).alias("pos")).groupBy("pos")
+             .agg(F.array_sort(F.collect_list(F.struct("_b", "_m", "value"))).alias("l"))
+             .select("pos", F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("record")))
     ended = F.col("record").endswith("\r") & ~dialect.stays_open(F.col("record"))
     return every.select("pos", F.when(ended, F.regexp_replace("record", r"\r\z", "")).otherwise(F.col("record")).alias("record"))
 
