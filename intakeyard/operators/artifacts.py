@@ -68,12 +68,10 @@ def reconcile(planned: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def drift(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Identity ``(length, modification_time)`` at two times, null-safe."""
-    a = after.select("path", F.col("length").alias("a_len"), F.col("modification_time").alias("a_mtime"))
-    j = before.join(a, "path", "full")
-    changed = ~(F.col("length").eqNullSafe(F.col("a_len"))
-                & F.col("modification_time").eqNullSafe(F.col("a_mtime")))
-    return j.select("path", changed.alias("changed"))
+    """Identity ``(length, modification_time)`` at two times, null-safe; files that came or went changed too."""
+    b = before.select("path", F.struct("length", "modification_time").alias("_b"))
+    a = after.select("path", F.struct("length", "modification_time").alias("_a"))
+    return b.join(a, "path", "full").select("path", (~F.col("_b").eqNullSafe(F.col("_a"))).alias("changed"))
 
 
 def manifest_lines(files: DataFrame) -> DataFrame:

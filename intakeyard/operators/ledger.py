@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 FILE_FIELDS = ("snapshot_id", "role", "filename", "object_key", "format", "sha256", "byte_size")
 
+SNAPSHOT_FIELDS = ("source", "dataset", "acquired_at", "manifest_key", "source_url", "description")
+
 # Run states and the message written on superseded runs.
 RUN_STATES = ("running", "succeeded", "failed")
 SUPERSEDED = "Superseded after a prior importer process ended"
@@ -81,6 +83,23 @@ def reconcile(matched: DataFrame, snapshots: DataFrame) -> DataFrame:
     return m.select("file_id", status.alias("status"))
 
 
+def differences(requested: DataFrame, stored: DataFrame, keys: tuple[str, ...], fields: tuple[str, ...]) -> DataFrame:
+    """Requested rows against stored ones with the same key, field by field (nulls equal nulls).
+
+    ``(*keys, status, fields)``: ``new``, ``verified``, ``conflict`` with the differing fields in declared order, or
+    ``unexpected`` for a stored row that is not requested. Of stored rows that share a key the smallest is
+    compared; the uniqueness checks report such keys.
+    """
+    s = stored.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_s"))
+    r = requested.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_r"))
+    j = r.join(s, list(keys), "full")
+    differ = F.array_compact(F.array(*[F.when(~F.col(f"_r.{f}").eqNullSafe(F.col(f"_s.{f}")), F.lit(f)) for f in fields]))
+    status = (F.when(F.col("_s").isNull(), "new").when(F.col("_r").isNull(), "unexpected")
+              .when(F.size(differ) == 0, "verified").otherwise("conflict"))
+    return j.select(*keys, status.alias("status"),
+                    F.when(F.col("_s").isNotNull() & F.col("_r").isNotNull(), F.array_join(differ, ",")).otherwise("").alias("fields"))
+
+
 def unexpected_roles(requested: DataFrame, stored: DataFrame) -> DataFrame:
     """Roles stored for a requested snapshot that the request does not name."""
     snaps = requested.select("snapshot_id").distinct()

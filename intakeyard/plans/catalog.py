@@ -189,15 +189,16 @@ def _reg(spark, sf_dir, name):
 
 
 @query
-def resolve_artifact(spark, sf_dir, snapshot_id: str | None = None, fmt: str = "txt"):
-    """Each requested file's archived original (same hash and size, known snapshot);
-    the optional snapshot filter is added only when given."""
-    stored = _reg(spark, sf_dir, "reg_stored")
-    conds = [F.col("format") == fmt]
-    if snapshot_id is not None:
-        conds.append(F.col("snapshot_id") == snapshot_id)
-    cand = stored.filter(reduce(lambda a, b: a & b, conds)).join(
-        _reg(spark, sf_dir, "reg_snapshots"), "snapshot_id", "left_semi")
+def resolve_artifact(spark, sf_dir, snapshot_id: str | None = None, source: str | None = None, role: str | None = None,
+                     fmt: str = "txt", dataset: str = "documents"):
+    """Each requested file's archived original (same hash and size, in a snapshot of the dataset);
+    the optional filters are added only when given."""
+    def only(df, **terms):
+        return reduce(lambda d, t: d.filter(F.col(t[0]) == t[1]), [t for t in terms.items() if t[1] is not None], df)
+
+    snapshots = only(_reg(spark, sf_dir, "reg_snapshots"), dataset=dataset, source=source)
+    cand = only(_reg(spark, sf_dir, "reg_stored"), format=fmt, snapshot_id=snapshot_id, role=role).join(
+        snapshots, "snapshot_id", "left_semi")
     one = cand.groupBy("sha256", "byte_size").agg(
         F.min(F.struct("snapshot_id", "file_id")).alias("_s"))
     req = _reg(spark, sf_dir, "reg_requested").select(
@@ -221,6 +222,22 @@ def ledger_reconcile(spark, sf_dir):
     return ledger.reconcile(_matched(spark, sf_dir), _reg(spark, sf_dir, "reg_snapshots"))
 
 
+@query
+def file_differences(spark, sf_dir):
+    """Files of the requested snapshots, requested against stored: status and differing fields."""
+    requested = _reg(spark, sf_dir, "reg_requested")
+    stored = _reg(spark, sf_dir, "reg_stored").join(requested.select("snapshot_id").distinct(), "snapshot_id", "left_semi")
+    fields = tuple(f for f in ledger.FILE_FIELDS if f not in ("snapshot_id", "role"))
+    return ledger.differences(requested, stored, ("snapshot_id", "role"), fields)
+
+
+@query
+def snapshot_differences(spark, sf_dir):
+    """D1/J8 on the metadata of the snapshots themselves."""
+    return ledger.differences(_reg(spark, sf_dir, "reg_snapshots_requested"), _reg(spark, sf_dir, "reg_snapshots"),
+                              ("snapshot_id",), ledger.SNAPSHOT_FIELDS)
+
+
 @query
 def unexpected_roles(spark, sf_dir):
     return ledger.unexpected_roles(_reg(spark, sf_dir, "reg_requested"),
@@ -322,7 +339,11 @@ def ledger_expectations(spark, sf_dir):
     r_checks = {
         "runs.unknown_status": ~F.coalesce(F.col("status").isin(*ledger.RUN_STATES), F.lit(False)),
         "runs.negative_row_count": F.coalesce(F.col("row_count") < 0, F.lit(False)),
+        "runs.empty_text": empty("target"),
     }
+    snapshots = _reg(spark, sf_dir, "reg_snapshots")
+    s_checks = {"snapshots.empty_text": reduce(lambda a, b: a | b, [empty(c) for c in (
+        "snapshot_id", "source", "dataset", "acquired_at", "manifest_key", "source_url")])}
 
     def cond_counts(df, checks):
         agg = df.agg(*[F.count_if(c).alias(k) for k, c in checks.items()])
@@ -331,7 +352,10 @@ def ledger_expectations(spark, sf_dir):
             for k in checks])).alias("s")).select("s.check", "s.n_violations")
 
     return ledger.union_all([
-        cond_counts(files, f_checks), cond_counts(runs, r_checks),
+        cond_counts(files, f_checks), cond_counts(runs, r_checks), cond_counts(snapshots, s_checks),
+        _surplus(snapshots, ["snapshot_id"], "snapshots.surplus_snapshot_id"),
+        _surplus(snapshots, ["manifest_key"], "snapshots.surplus_manifest_key"),
+        _surplus(snapshots, ["source", "dataset", "acquired_at"], "snapshots.surplus_source_dataset_acquired"),
         _surplus(files, ["sha256"], "files.surplus_sha256"),
         _surplus(files, ["object_key"], "files.surplus_object_key"),
         _surplus(files, ["snapshot_id", "role"], "files.surplus_snapshot_role"),
@@ -659,34 +683,22 @@ def artifact_fingerprint(spark, sf_dir):
     return artifacts.fingerprints(spark, sf_dir, "*.parquet")
 
 
-def _recorded(spark, sf_dir):
-    """The store's record of the given files, written once (the 'object store' ledger)."""
-    path = files.fixture_dir(spark, sf_dir, "artifact_ledger")
-
-    def _w(d, p):
-        d.write.mode("overwrite").parquet(p)
-
-    fp = artifacts.fingerprints(spark, sf_dir, "*.parquet").join(
-        artifacts.listing(spark, sf_dir, "*.parquet").select("path", "modification_time"), "path")
-    files.write_once(spark, fp, path, _w)
-    return spark.read.parquet(path)
-
-
-def _object_key(c="path"):
-    return F.element_at(F.split(F.col(c), "/"), -1)
-
-
 @query
 def artifact_reconcile(spark, sf_dir):
-    planned = artifacts.fingerprints(spark, sf_dir, "*.parquet").withColumn("object_key", _object_key())
-    stored = _recorded(spark, sf_dir).withColumn("object_key", _object_key())
-    return artifacts.reconcile(planned.select("object_key", "length", "sha256"), stored)
+    """K5: requested files against the stored objects by key: write, reuse or collision."""
+    def objects(name):
+        return _reg(spark, sf_dir, name).select("object_key", F.col("byte_size").alias("length"), "sha256")
+
+    return artifacts.reconcile(objects("reg_requested"), objects("reg_stored"))
 
 
 @query
 def artifact_drift(spark, sf_dir):
-    before = _recorded(spark, sf_dir).select("path", "length", "modification_time")
-    return artifacts.drift(before, artifacts.listing(spark, sf_dir, "*.parquet"))
+    """Files whose size or modification time differs between two listings."""
+    def listed(name):
+        return _reg(spark, sf_dir, name).select("path", "length", F.timestamp_seconds("modified").alias("modification_time"))
+
+    return artifacts.drift(listed("source_before"), listed("source_after"))
 
 
 # ---- P8/U4/D6: schema assertions ---------------------------------------------------

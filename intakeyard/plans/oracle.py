@@ -195,12 +195,37 @@ ORACLE["compare_window"] = _nonzero(_field_mismatch_sql(1000))
 
 # ---- D. ledger ---------------------------------------------------------------
 
-REG = with_clause(("reg_files", "reg_stored", "reg_requested", "reg_snapshots", "runs"))
+REG = with_clause(("reg_files", "reg_stored", "reg_requested", "reg_snapshots", "reg_snapshots_requested", "runs",
+                   "source_before", "source_after"))
 DIFFERS = " OR ".join(f"s.{f} IS DISTINCT FROM r.{f}" for f in (
     "snapshot_id", "role", "filename", "object_key", "format", "sha256", "byte_size"))
 SHARES = "(s.sha256 = r.sha256 OR s.object_key = r.object_key)"
 
+
+
+def _differences(requested: str, stored: str, keys: tuple[str, ...], fields: tuple[str, ...]) -> str:
+    same_key = " AND ".join(f"s.{k} = r.{k}" for k in keys)
+    listed = ", ".join(f"CASE WHEN s.{f} IS DISTINCT FROM r.{f} THEN '{f}' END" for f in fields)
+    return f"""
+SELECT {", ".join(f"coalesce(r.{k}, s.{k}) AS {k}" for k in keys)}, CASE WHEN s.snapshot_id IS NULL THEN 'new' WHEN r.snapshot_id IS NULL THEN 'unexpected'
+  WHEN concat_ws(',', {listed}) = '' THEN 'verified' ELSE 'conflict' END AS status,
+  CASE WHEN s.snapshot_id IS NULL OR r.snapshot_id IS NULL THEN '' ELSE concat_ws(',', {listed}) END AS fields
+FROM {requested} r FULL JOIN {stored} s ON {same_key}"""
+
+
 ORACLE.update({
+    "file_differences": REG + _differences(
+        "reg_requested", "(SELECT * FROM reg_stored WHERE snapshot_id IN (SELECT snapshot_id FROM reg_requested))", ("snapshot_id", "role"),
+        ("filename", "object_key", "format", "sha256", "byte_size")),
+    "snapshot_differences": REG + _differences("reg_snapshots_requested", "reg_snapshots", ("snapshot_id",), (
+        "source", "dataset", "acquired_at", "manifest_key", "source_url", "description")),
+    "artifact_reconcile": REG + """
+SELECT r.object_key, r.byte_size AS length, r.sha256, CASE WHEN s.file_id IS NULL THEN 'write'
+  WHEN s.byte_size = r.byte_size AND s.sha256 = r.sha256 THEN 'reuse' ELSE 'collision' END AS action
+FROM reg_requested r LEFT JOIN reg_stored s ON s.object_key = r.object_key""",
+    "artifact_drift": REG + """
+SELECT coalesce(b.path, a.path) AS path, b.path IS NULL OR a.path IS NULL OR b.length <> a.length OR b.modified <> a.modified AS changed
+FROM source_before b FULL JOIN source_after a ON a.path = b.path""",
     "resolve_artifact": REG + """
 SELECT request_file_id, snapshot_id, file_id FROM (
   SELECT r.file_id AS request_file_id, s.snapshot_id, s.file_id,
@@ -290,6 +315,12 @@ UNION ALL SELECT 'files.empty_text', count(*) FILTER (WHERE coalesce(snapshot_id
   coalesce(format, '') = '') FROM reg_files
 UNION ALL SELECT 'runs.unknown_status', count(*) FILTER (WHERE NOT coalesce(status IN ('running', 'succeeded', 'failed'), false)) FROM runs
 UNION ALL SELECT 'runs.negative_row_count', count(*) FILTER (WHERE coalesce(row_count < 0, false)) FROM runs
+UNION ALL SELECT 'runs.empty_text', count(*) FILTER (WHERE coalesce(target, '') = '') FROM runs
+UNION ALL SELECT 'snapshots.empty_text', count(*) FILTER (WHERE '' IN (coalesce(snapshot_id, ''), coalesce(source, ''), coalesce(dataset, ''),
+  coalesce(acquired_at, ''), coalesce(manifest_key, ''), coalesce(source_url, ''))) FROM reg_snapshots
+UNION ALL SELECT 'snapshots.surplus_snapshot_id', count(*) - count(DISTINCT snapshot_id) FROM reg_snapshots
+UNION ALL SELECT 'snapshots.surplus_manifest_key', count(*) - count(DISTINCT manifest_key) FROM reg_snapshots
+UNION ALL SELECT 'snapshots.surplus_source_dataset_acquired', count(*) - count(DISTINCT (source, dataset, acquired_at)) FROM reg_snapshots
 UNION ALL SELECT 'files.surplus_sha256', count(*) - (SELECT count(*) FROM (SELECT DISTINCT sha256 FROM reg_files)) FROM reg_files
 UNION ALL SELECT 'files.surplus_object_key', count(*) - (SELECT count(*) FROM (SELECT DISTINCT object_key FROM reg_files)) FROM reg_files
 UNION ALL SELECT 'files.surplus_snapshot_role', count(*) - (SELECT count(*) FROM (SELECT DISTINCT snapshot_id, role FROM reg_files)) FROM reg_files

@@ -120,7 +120,25 @@ SELECT doc_id AS file_id,
 FROM {documents} WHERE doc_id % 2 = 0
 """
 
-REG_SNAPSHOTS = "SELECT DISTINCT snapshot_id FROM reg_stored"
+_SNAPSHOT = """
+SELECT snapshot_id, snapshot_id AS source, 'documents' AS dataset, {acquired} AS acquired_at,
+  concat('docs/', snapshot_id, '/manifest.json') AS manifest_key, concat('https://example.com/', snapshot_id) AS source_url,
+  {described} AS description
+FROM {files} GROUP BY snapshot_id
+"""
+REG_SNAPSHOTS = _SNAPSHOT.format(acquired="'2026-01-15'", described="concat('files of ', snapshot_id)", files="reg_stored")
+# Some requested snapshots disagree with the stored ones in one field or in two.
+REG_SNAPSHOTS_REQUESTED = _SNAPSHOT.format(
+    acquired="CASE WHEN min(file_id) % 4 = 0 THEN '2026-01-16' ELSE '2026-01-15' END",
+    described="CASE WHEN min(file_id) % 3 = 1 THEN NULL ELSE concat('files of ', snapshot_id) END", files="reg_requested")
+
+# A file's identity at two times: some grew, some were only touched, some are gone, some are new.
+SOURCE_BEFORE = "SELECT object_key AS path, byte_size AS length, file_id AS modified FROM reg_files WHERE file_id % 19 <> 5"
+SOURCE_AFTER = """
+SELECT object_key AS path, byte_size + CASE WHEN file_id % 10 = 4 THEN 1 ELSE 0 END AS length,
+  file_id + CASE WHEN file_id % 22 = 6 THEN 60 ELSE 0 END AS modified
+FROM reg_files WHERE file_id % 23 <> 7
+"""
 
 RUNS = """
 SELECT o_orderkey AS run_id, concat('t', o_custkey % 20) AS target, o_orderdate AS started_at,
@@ -137,6 +155,9 @@ STANDINS = {
     "reg_stored": (REG_STORED, ("reg_files",)),
     "reg_requested": (REG_REQUESTED, ()),
     "reg_snapshots": (REG_SNAPSHOTS, ("reg_stored",)),
+    "reg_snapshots_requested": (REG_SNAPSHOTS_REQUESTED, ("reg_requested",)),
+    "source_before": (SOURCE_BEFORE, ("reg_files",)),
+    "source_after": (SOURCE_AFTER, ("reg_files",)),
     "runs": (RUNS, ()),
 }
 
