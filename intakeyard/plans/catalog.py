@@ -394,10 +394,10 @@ def publish_roundtrip(spark, sf_dir):
     configure(spark)
     table_root, ledger_path = _warehouse(spark, sf_dir)
     bad = vendor_prepared(spark, sf_dir)
-    publish.publish(spark, rules.accepted_rows(bad), bad, table_root, ledger_path,
+    publish.publish(spark, bad, table_root, ledger_path,
                     target=COMPANIES_TARGET, snapshot_id="vendor-defects")
     good = rules.VENDOR.prepare(positions.read_lines(spark, _clean_jsonl(spark, sf_dir)))
-    publish.publish(spark, rules.accepted_rows(good), good, table_root, ledger_path,
+    publish.publish(spark, good, table_root, ledger_path,
                     target=COMPANIES_TARGET, snapshot_id="vendor-clean")
     path = publish.current_path(spark, table_root, ledger_path, COMPANIES_TARGET)
     return spark.read.schema(publish.COMPANIES_SCHEMA).parquet(path)

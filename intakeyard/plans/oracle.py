@@ -335,19 +335,22 @@ _VALID_KEY = f"CASE WHEN ({FIRST_RULE_CASE}) = 'valid' THEN CASE WHEN k % 97 = 1
 COMPANY_COLS = ", ".join(ALL_FIELDS)
 
 ORACLE.update({
-    "load_verdict": _vendor() + f""", v AS (SELECT line_no, {FIRST_RULE_CASE} AS rule, {_VALID_KEY} AS key
+    "load_verdict": _vendor() + f""", v AS (SELECT line_no, {FIRST_RULE_CASE} AS rule, {_VALID_KEY} AS key, name
   FROM vendor_rec),
 m AS (SELECT count(*) AS lines, count(*) FILTER (WHERE rule = 'blank line skipped') AS blank_lines,
   count(*) FILTER (WHERE rule = 'valid') AS valid_rows,
   count(*) FILTER (WHERE rule NOT IN ('valid', 'blank line skipped')) AS violations,
   min(line_no) FILTER (WHERE rule NOT IN ('valid', 'blank line skipped')) AS first_violation_line,
   arg_min(rule, line_no) FILTER (WHERE rule NOT IN ('valid', 'blank line skipped')) AS first_violation,
-  count(*) FILTER (WHERE rule = 'valid' AND (key IS NULL OR key = '')) AS missing_ids FROM v),
+  count(*) FILTER (WHERE rule = 'valid' AND (key IS NULL OR key = '')) AS missing_ids,
+  count(*) FILTER (WHERE rule = 'valid' AND coalesce(name, '') = '') AS missing_names FROM v),
 d AS (SELECT count(key) - count(DISTINCT key) AS duplicate_ids FROM v)
 SELECT m.*, d.duplicate_ids,
-  CASE WHEN violations > 0 OR valid_rows = 0 OR duplicate_ids > 0 THEN 'reject' ELSE 'accept' END AS verdict,
+  CASE WHEN violations > 0 OR valid_rows = 0 OR duplicate_ids > 0 OR missing_ids > 0 OR missing_names > 0 THEN 'reject' ELSE 'accept' END AS verdict,
   CASE WHEN violations > 0 THEN 'line ' || CAST(first_violation_line AS VARCHAR) || ': ' || first_violation
        WHEN valid_rows = 0 THEN 'import produced no rows'
+       WHEN missing_ids > 0 THEN CAST(missing_ids AS VARCHAR) || ' rows without an id'
+       WHEN missing_names > 0 THEN CAST(missing_names AS VARCHAR) || ' rows without a name'
        WHEN duplicate_ids > 0 THEN CAST(duplicate_ids AS VARCHAR) || ' duplicate ids' END AS reason
 FROM m, d""",
     "publish_roundtrip": with_clause(("vendor_rec",)) + f"\nSELECT {COMPANY_COLS} FROM vendor_rec",

@@ -27,6 +27,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own making, if it is there."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 # Bump when a file-writing rule changes; the stand-in SQL is part of the key too, so a
 # changed definition never reuses files written by an older one.
 FIXTURE_VERSION = "3"

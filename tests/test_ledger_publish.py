@@ -47,12 +47,20 @@ def test_failed_load_leaves_current_version(spark, lines_file, tmp_path):
          '"region":null,"country":null,"industry":null,"linkedin_url":null}'], name="good")))
     bad = R.VENDOR.prepare(positions.read_lines(spark, lines_file(['{"id":""}'], name="bad")))
     root, led = str(tmp_path / "t"), str(tmp_path / "ledger")
-    first = publish.publish(spark, R.accepted_rows(good), good, root, led, target="c", snapshot_id="s")
+    first = publish.publish(spark, good, root, led, target="c", snapshot_id="s")
     assert first["status"] == "succeeded" and first["rows_stored"] == 1
     cur = publish.current_path(spark, root, led, "c")
-    second = publish.publish(spark, R.accepted_rows(bad), bad, root, led, target="c", snapshot_id="s")
+    second = publish.publish(spark, bad, root, led, target="c", snapshot_id="s")
     assert second["status"] == "failed" and second["reason"].startswith("line 1: ")
     assert publish.current_path(spark, root, led, "c") == cur
+    assert publish.orphan_folders(spark, root, led).count() == 0
+    spark.read.parquet(cur).write.parquet(f"{root}/run_id=stray")
+    publish.append_run(spark, led, dict(run_id="dead", snapshot_id="s", target="c", status="running"))
+    third = publish.publish(spark, good.unionByName(good), root, led, target="c", snapshot_id="s")
+    assert third["status"] == "failed" and third["reason"] == "1 duplicate ids"
+    assert [r.run_id for r in publish.orphan_folders(spark, root, led).collect()] == ["stray"]
+    dead = spark.read.parquet(led).where("run_id = 'dead' AND status = 'failed'").collect()
+    assert len(dead) == 1 and dead[0].error.startswith("Superseded")
 
 
 def test_empty_load_is_rejected(spark, lines_file):
@@ -87,10 +95,10 @@ def test_error_leaves_a_failed_row(spark, lines_file, tmp_path):
     good = R.VENDOR.prepare(positions.read_lines(spark, lines_file(
         ['{"id":"a","website":null,"name":"A","founded":1,"size":null,"locality":null,'
          '"region":null,"country":null,"industry":null,"linkedin_url":null}'], name="good")))
-    rows = R.accepted_rows(good).selectExpr("*").withColumn("name", F.raise_error(F.lit("broken source")).cast("string"))
+    rows = good.withColumn("_blank", F.raise_error(F.lit("broken source")).cast("boolean"))
     root, led = str(tmp_path / "t"), str(tmp_path / "ledger")
     with pytest.raises(Exception, match="broken source"):
-        publish.publish(spark, rows, good, root, led, target="c", snapshot_id="s")
+        publish.publish(spark, rows, root, led, target="c", snapshot_id="s")
     runs = spark.read.parquet(led).collect()
     assert sorted(r.status for r in runs) == ["failed", "running"] and len({r.run_id for r in runs}) == 1
     assert "broken source" in next(r.error for r in runs if r.status == "failed")
