@@ -47,17 +47,20 @@ def _json_equal(csv_norm: Column, x: Column, t: Column, integer: bool) -> Column
 
 
 def joined(csv: DataFrame, prepared_json: DataFrame, header: tuple[str, ...],
-           int_fields: tuple[str, ...] = ("founded",)) -> DataFrame:
+           int_fields: tuple[str, ...] = ("founded",), keep_all: bool = False) -> DataFrame:
     """Positional join plus per-row comparison flags.
 
     Output: ``pos, id_match, n_cells, founded_not_integer, json_id, json_id_is_string,
-    structured, mm_<field>`` (mismatch flags, set only when ids match).
+    structured, mm_<field>`` (mismatch flags, set only when ids match). ``keep_all`` keeps records that only
+    one side has and adds ``in_csv`` and ``in_json``.
     """
     n_header = len(header)
     c = csv.select("pos", *[F.col(f).alias(f"c_{f}") for f in header], "n_cells")
     m = F.col("_m")
     j = prepared_json.select(F.col("line_no").alias("pos"), "_m")
-    both = c.join(j, "pos")
+    sides = [F.coalesce(s, F.lit(False)) for s in (F.col("in_csv"), F.col("in_json"))]
+    both = (c.withColumn("in_csv", F.lit(True)).join(j.withColumn("in_json", F.lit(True)), "pos", "full" if keep_all else "inner")
+            .withColumns({"in_csv": sides[0], "in_json": sides[1]}))
     json_fields = both.select("*", *[F.schema_of_variant(J.field(m, f)).alias(f"t_{f}")
                                      for f in header])
     raw_id = F.col("c_id")
@@ -65,7 +68,7 @@ def joined(csv: DataFrame, prepared_json: DataFrame, header: tuple[str, ...],
         F.when(raw_id.isNull(), J.field(m, "id").isNull() | (F.col("t_id") == "VOID"))
         .otherwise((F.col("t_id") == "STRING") & (raw_id == J.as_string(J.field(m, "id")))),
         F.lit(False))
-    cols = [F.col("pos"), id_match.alias("id_match"), F.col("n_cells"),
+    cols = [F.col("pos"), *([F.col("in_csv"), F.col("in_json")] if keep_all else []), id_match.alias("id_match"), F.col("n_cells"),
             (F.col("n_cells") > n_header).alias("too_long")]
     not_int = F.lit(False)
     structured = F.lit(0)
@@ -103,30 +106,20 @@ def field_mismatches(rows: DataFrame, header: tuple[str, ...]) -> DataFrame:
             .groupBy("field").agg(F.count(F.lit(1)).alias("n")))
 
 
-def summary(rows: DataFrame, csv: DataFrame, json_lines: DataFrame) -> DataFrame:
-    """A10, A11, A14 and friends, plus both full record counts.
+def summary(rows: DataFrame) -> DataFrame:
+    """A10, A11, A14 and friends, plus both full record counts, of rows joined with ``keep_all``.
 
-    The joined rows are read once: all counters are partial sums per JSON id (rows without one fall together
+    Each side is read once: all counters are partial sums per JSON id (rows without one fall together
     and are combined before the shuffle), added up in a second aggregate.
     """
-    flags = {"id_mismatches": ~F.col("id_match"), "malformed_csv_rows": F.col("too_long"), "founded_not_integer": F.col("founded_not_integer")}
-    per_id = rows.groupBy("json_id").agg(F.count(F.lit(1)).alias("records_compared"), *[F.count_if(c).alias(n) for n, c in flags.items()],
-                                         F.sum("structured").alias("structured_values"))
+    both = F.col("in_csv") & F.col("in_json")
+    flags = {"records_compared": both, "id_mismatches": both & ~F.col("id_match"), "malformed_csv_rows": both & F.col("too_long"),
+             "founded_not_integer": both & F.col("founded_not_integer"), "csv_records": F.col("in_csv"), "json_records": F.col("in_json")}
+    per_id = rows.groupBy(F.when(both, F.col("json_id")).alias("json_id")).agg(
+        *[F.count_if(c).alias(n) for n, c in flags.items()], F.sum(F.when(both, F.col("structured"))).alias("structured_values"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    compared = per_id.agg(*[total(c).alias(c) for c in ("records_compared", *flags, "structured_values")],
-                          total(F.when(F.col("json_id").isNotNull(), F.col("records_compared") - 1)).alias("duplicate_json_ids"))
-    n_csv = csv.agg(F.count(F.lit(1)).alias("csv_records"))
-    n_json = json_lines.agg(F.count(F.lit(1)).alias("json_records"))
-    return _one_row_concat([compared, n_csv, n_json])
-
-
-def _one_row_concat(parts: list[DataFrame]) -> DataFrame:
-    """Put one-row aggregates side by side via a constant-key equi-join (one row each)."""
-    keyed = [p.withColumn("_one", F.lit(1)) for p in parts]
-    out = keyed[0]
-    for p in keyed[1:]:
-        out = out.join(p, "_one")
-    return out.drop("_one")
+    return per_id.agg(*[total(c).alias(c) for c in (*flags, "structured_values")],
+                      total(F.when(F.col("json_id").isNotNull(), F.col("records_compared") - 1)).alias("duplicate_json_ids"))
 
 
 def first_divergence(rows: DataFrame) -> DataFrame:

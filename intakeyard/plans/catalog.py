@@ -141,11 +141,11 @@ def sample_records(spark, sf_dir, k: int = 3):
 
 # ---- C. cross-representation compare --------------------------------------
 
-def _compare_rows(spark, sf_dir, window=None):
+def _compare_rows(spark, sf_dir, window=None, keep_all=False):
     csv = vendor_csv(spark, sf_dir)
     if window is not None:  # S7: first N records of both sides, never a bare limit
         csv = csv.filter(F.col("pos") <= window)
-    return compare.joined(csv, vendor_prepared(spark, sf_dir, window=window), standins.CSV_HEADER)
+    return compare.joined(csv, vendor_prepared(spark, sf_dir, window=window), standins.CSV_HEADER, keep_all=keep_all)
 
 
 @query
@@ -160,7 +160,7 @@ def field_mismatches(spark, sf_dir):
 
 @query
 def compare_summary(spark, sf_dir):
-    return compare.summary(_compare_rows(spark, sf_dir), vendor_csv(spark, sf_dir), vendor_lines(spark, sf_dir))
+    return compare.summary(_compare_rows(spark, sf_dir, keep_all=True))
 
 
 @query
@@ -369,7 +369,7 @@ def ledger_expectations(spark, sf_dir):
 COMPANIES_TARGET = "companies"
 
 
-def _clean_jsonl(spark, sf_dir):
+def clean_jsonl(spark, sf_dir):
     """The vendor feed without defects (Spark's own JSON writer), written once."""
     rec = standins.standin(spark, sf_dir, "vendor_rec")
     lines = rec.select("line_no", F.to_json(F.struct(*standins.JSON_FIELDS),
@@ -396,7 +396,7 @@ def publish_roundtrip(spark, sf_dir):
     bad = vendor_prepared(spark, sf_dir)
     publish.publish(spark, bad, table_root, ledger_path,
                     target=COMPANIES_TARGET, snapshot_id="vendor-defects")
-    good = rules.VENDOR.prepare(positions.read_lines(spark, _clean_jsonl(spark, sf_dir)))
+    good = rules.VENDOR.prepare(positions.read_lines(spark, clean_jsonl(spark, sf_dir)))
     publish.publish(spark, good, table_root, ledger_path,
                     target=COMPANIES_TARGET, snapshot_id="vendor-clean")
     path = publish.current_path(spark, table_root, ledger_path, COMPANIES_TARGET)
@@ -609,7 +609,7 @@ def csv_default_scan(spark, sf_dir):
 def default_dialect_divergence(spark, sf_dir):
     """A13 on a default-dialect scan against the feed without defects: first over-long row, first id divergence."""
     d = vendor_csv(spark, sf_dir, csv_records.DEFAULT).select("pos", F.col("id").alias("csv_id"), "n_cells")
-    clean = rules.VENDOR.prepare(positions.read_lines(spark, _clean_jsonl(spark, sf_dir)))
+    clean = rules.VENDOR.prepare(positions.read_lines(spark, clean_jsonl(spark, sf_dir)))
     j = clean.select(F.col("line_no").alias("pos"), J.as_string(J.field(F.col("_m"), "id")).alias("json_id"))
     rows = d.join(j, "pos").select("pos", (F.col("n_cells") > len(standins.CSV_HEADER)).alias("too_long"),
                                    F.col("csv_id").eqNullSafe(F.col("json_id")).alias("id_match"))
@@ -739,11 +739,10 @@ def inspect_report(spark, sf_dir):
     json_first = list(first or [])
     samples = (vendor_lines(spark, sf_dir).filter(F.col("line_no") <= 3)
                .select("line_no", scalars.render_value(F.col("value")).alias("rendered")).collect())
-    csv = vendor_csv(spark, sf_dir)
-    rows = _compare_rows(spark, sf_dir).cache()
+    rows = _compare_rows(spark, sf_dir, keep_all=True).cache()
     try:
-        summary = compare.summary(rows, csv, prepared).first()
-        mismatches = compare.field_mismatches(rows, standins.CSV_HEADER).collect()
+        summary = compare.summary(rows).first()
+        mismatches = compare.field_mismatches(rows.where("in_csv AND in_json"), standins.CSV_HEADER).collect()
     finally:
         rows.unpersist()
     head = csv_records.header(spark, vendor_csv_path(spark, sf_dir), csv_records.VENDOR).first()
