@@ -29,7 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intakeyard.llm.common import documents, keyed, saved
@@ -185,7 +185,7 @@ def _verify(percent: int, miss: float):
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """``(bucket, band, bi, bj, own, cls)``: members of the buckets to compare, by pair of blocks.
+    """``(bucket, band, blocks, own, cls)``: members of the buckets to compare and the block each is in.
 
     The low bits of a bucket hold its band. Only the members of shared buckets are looked at further.
     """
@@ -198,12 +198,45 @@ def candidates(classes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("cls")).alias("x"),
         F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
         .groupBy("c", "total", "x", "y").agg(F.min(F.struct((F.col("bucket").bitwiseAND(F.lit(31))).alias("band"), "bucket")).alias("first"))
-        .select(F.col("first.bucket").alias("bucket"), F.col("first.band").cast("int").alias("band"),
-                F.greatest(F.ceil(F.col("c") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
-    own = F.pmod(F.xxhash64("cls", F.lit(2)), F.col("blocks")).cast("int")
-    return (members.join(buckets, "bucket").withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", "band", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls"))
+        .select(F.col("first.bucket").alias("bucket"), F.col("first.band").cast("int").alias("band"), _blocks("c", "total").alias("blocks")))
+    return members.join(buckets, "bucket").select("bucket", "band", "blocks", _block("blocks").alias("own"), "n", "cls")
+
+
+def _blocks(count: str, total: str) -> Column:
+    return F.greatest(F.ceil(F.col(count) / BLOCK_ROWS), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
+
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("cls", F.lit(2)), F.col(blocks)).cast("int")
+
+
+def within_blocks(members: DataFrame) -> DataFrame:
+    """Tasks that compare each block with itself. A hub, one member of the bucket, joins every block of its bucket,
+    so a group of near copies that fills many blocks is mostly linked through it by work in proportion to its size."""
+    hubs = (members.where("blocks > 1").groupBy("bucket", "band", "blocks").agg(F.min(F.struct("cls", "own")).alias("hub"))
+            .select("bucket", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"), "hub").where("at <> hub.own"))
+    own = members.select("bucket", "band", F.col("own").alias("bi"), F.col("own").alias("bj"), "own", "cls")
+    return own.union(hubs.select("bucket", "band", F.col("at").alias("bi"), F.col("at").alias("bj"), F.col("at").alias("own"), "hub.cls"))
+
+
+def across_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Tasks for what is left of the buckets of several blocks, given the components found so far.
+
+    Members of a bucket's largest component need no comparison with each other; all others meet every block.
+    A bucket that has become one component asks for nothing."""
+    large = members.where("blocks > 1").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
+        "root", F.coalesce("root", "cls"))
+    groups = large.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"))
+    per = (groups.groupBy("bucket").agg(F.max(F.struct("c", "total", "root")).alias("top"), F.sum("c").alias("c"), F.sum("total").alias("total"))
+           .where("c > top.c").select("bucket", F.col("top.root").alias("top"), (F.col("c") - F.col("top.c")).alias("c"),
+                                      (F.col("total") - F.col("top.total")).alias("total"))
+           .select("bucket", "top", _blocks("c", "total").alias("odd")))
+    left = large.join(per, "bucket")
+    odd = left.where("root <> top").withColumn("own", _block("odd")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("odd") + F.col("blocks") - 1)))
+    top = left.where("root = top").withColumn("own", F.col("odd") + F.col("own")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("odd") - 1)))
+    return odd.union(top.select(*odd.columns)).select("bucket", "band", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85, miss: float = 1e-6) -> DataFrame:
@@ -219,12 +252,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                        F.max("n").alias("n"), F.max("sig").alias("sig"))
     classes = saved(classes)
     members = saved(candidates(classes))
-    needed = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "sig")
-    texts = rows.select("key", "text").join(needed.hint("shuffle_hash"), "key").select("cls", "sig", "text")
-    texts = texts.mapInArrow(_pack, "cls binary, sig binary, packed binary")
-    links = (members.join(texts, "cls").groupBy("bucket", "band", "bi", "bj")
-             .applyInArrow(_verify(percent, miss), "a binary, b binary"))
-    roots = components(links)
+
+    def links(tasks: DataFrame) -> DataFrame:
+        needed = classes.join(tasks.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "sig")
+        texts = rows.select("key", "text").join(needed.hint("shuffle_hash"), "key").select("cls", "sig", "text")
+        texts = texts.mapInArrow(_pack, "cls binary, sig binary, packed binary")
+        return (tasks.join(texts, "cls").groupBy("bucket", "band", "bi", "bj")
+                .applyInArrow(_verify(percent, miss), "a binary, b binary"))
+
+    roots = components(links(within_blocks(members)))
+    if not members.where("blocks > 1").isEmpty():
+        rest = saved(across_blocks(members, roots))
+        if not rest.isEmpty():
+            roots = components(links(rest).union(roots.select("node", "root")))
     linked = (roots.join(classes.select(F.col("cls").alias("node"), "id"), "node"))
     smallest = linked.groupBy("root").agg(F.min("id").alias("component_id"))
     named = linked.join(smallest, "root").select(F.col("node").alias("cls"), "component_id")

@@ -94,6 +94,22 @@ def test_near_dedup_in_blocks(nasty, monkeypatch):
     assert bag(got) == bag(brute_components(ROWS, 85))
 
 
+def test_near_dedup_chains_across_blocks(spark, monkeypatch):
+    """Chains whose ends are unlike each other: what the hubs leave open is settled between the blocks."""
+    words, other = prose(11, 400).split(), prose(12, 60)
+    texts = [" ".join(words[6 * k:6 * k + 120]) for k in range(40)]
+    texts += [other + " " + " ".join(words[6 * k:6 * k + 70]) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 2)
+    tasks = []
+    across = near_dedup.across_blocks
+    monkeypatch.setattr(near_dedup, "across_blocks", lambda *a: tasks.append(across(*a)) or tasks[-1])
+    for percent in (80, 85):
+        got = near_dedup.near_dedup(docs, percent=percent).select("id", "n_shingles", "component_id").collect()
+        assert bag(got) == bag(brute_components(list(enumerate(texts)), percent))
+    assert tasks and not tasks[0].isEmpty()
+
+
 def test_posterior_bound():
     for n, m in near_dedup.least_matches(0.85, 1e-6):
         assert 0 < m <= 0.85 * n
