@@ -6,6 +6,8 @@ through the tree: token count, then its first ``depth`` tokens. In a leaf that l
 ``min_docs`` or more lines of different texts carry there belongs to the template, anything else is generalised
 to a variable field. A template recurs if lines of ``min_docs`` different texts fall on it and
 at least ``constant`` of its positions are no variable fields; its lines are dropped from all texts.
+Lines of more than ``long_line`` tokens don't recur by chance, so for them ``long_docs`` texts are enough wherever
+``min_docs`` is named here; a leaf holds lines of one token count, so it is of one kind.
 
 All of it is grouped counts and equi-joins. Lines of leaves that too few texts reach leave after the
 first count. Identical texts count once, so copies of one text don't make its lines recur.
@@ -29,7 +31,7 @@ from intakeyard.llm.common import documents, row_key, saved
 from intakeyard.session import ship_package
 
 VARIABLE = "<*>"
-DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT = 3, 10, 3, 0.75
+DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT, LONG_LINE, LONG_DOCS = 3, 10, 3, 0.75, 50, 5
 
 
 def tokens_of(line: Column) -> Column:
@@ -38,22 +40,25 @@ def tokens_of(line: Column) -> Column:
     return F.array_remove(F.split(F.translate(masked, "\t\r\x0b\x0c", "    "), " "), "")
 
 
-def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float) -> DataFrame:
-    """``(key, at)`` of every line (0-based) that falls on a recurring template."""
+def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
+                    long_line: int, long_docs: int) -> DataFrame:
+    """``(key, at)`` of every line (0-based) that falls on a recurring template. The lowest bit of a leaf says if its lines are long."""
+    enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
     rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
              .select("key", "same", "at", tokens_of(F.col("line")).alias("tokens"))
              .where(F.size("tokens") >= min_tokens)
-             .select("key", "same", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"),
+             .select("key", "same", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
+                     .bitwiseOR((F.size("tokens") > long_line).cast("bigint")).alias("leaf"),
                      F.array_join("tokens", " ").alias("tokens")))  # a string is half the size of its array
     leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
-              .where(F.col("texts") >= min_docs).select("leaf"))
+              .where(F.col("texts") >= enough).select("leaf"))
     inside = saved(lines.join(leaves, "leaf").withColumn("line", F.xxhash64("tokens")))
     # each different line of a leaf once, with the number of texts that hold it
     kinds = saved(inside.groupBy("leaf", "line", "same").agg(F.min("tokens").alias("tokens"))
                   .groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("tokens").alias("tokens")))
     cells = kinds.select("leaf", "line", "texts", F.posexplode(F.split("tokens", " ")).alias("pos", "token"))
-    firm = cells.groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("seen")).where((F.col("seen") >= min_docs) & (F.col("token") != VARIABLE))
+    firm = cells.groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("seen")).where((F.col("seen") >= enough) & (F.col("token") != VARIABLE))
     marked = cells.join(firm.select("leaf", "pos", "token", F.lit(True).alias("firm")), ["leaf", "pos", "token"], "left")
     template = marked.groupBy("leaf", "line").agg(
         F.count("firm").alias("firm"), F.count(F.lit(1)).alias("size"),
@@ -62,17 +67,18 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     on = inside.select("key", "at", "same", "leaf", "line").join(
         template.where(F.col("firm") >= constant * F.col("size")).select("leaf", "line", "t1", "t2"), ["leaf", "line"])
     often = (on.select("leaf", "t1", "t2", "same").distinct().groupBy("leaf", "t1", "t2").agg(F.count(F.lit(1)).alias("texts"))
-             .where(F.col("texts") >= min_docs).drop("texts"))
+             .where(F.col("texts") >= enough).drop("texts"))
     return on.join(often, ["leaf", "t1", "t2"]).select("key", "at")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, carry: list[str] | None = None, depth: int = DEPTH,
-               min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT) -> DataFrame:
+               min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT, long_line: int = LONG_LINE,
+               long_docs: int = LONG_DOCS) -> DataFrame:
     """``carry`` columns with ``n_lines``, ``n_dropped`` and ``kept_text``; added names win over carried ones."""
     ship_package(docs.sparkSession)
     added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]
     carried = [c for c in carry or [] if c.lower() not in {f.name for f in added}]
-    gone = recurring_lines(docs, id_col, text_col, depth, min_docs, min_tokens, constant).groupBy("key").agg(F.collect_set("at").alias("__gone"))
+    gone = recurring_lines(docs, id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs).groupBy("key").agg(F.collect_set("at").alias("__gone"))
     source = (docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).alias("__text"), row_key(id_col, text_col).alias("__key"))
               .join(gone.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left").select(*[F.col(f"`{c}`") for c in carried], "__text", "__gone"))
     schema = T.StructType([*[source.schema[c] for c in carried], *added])
@@ -103,17 +109,17 @@ WITH split AS (SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(co
 masked AS (SELECT doc_id, text, line, line_no, regexp_extract_all(
                regexp_replace(line, '[^\x20\x09-\x0D0-9]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[^\x20\x09-\x0D]+') AS tokens FROM split),
 lines AS (SELECT *, len(tokens) AS n, tokens[1:3] AS path FROM masked WHERE len(tokens) >= 3),
-leaves AS (SELECT n, path FROM lines GROUP BY n, path HAVING count(DISTINCT text) >= 10),
+leaves AS (SELECT n, path FROM lines GROUP BY n, path HAVING count(DISTINCT text) >= if(n > 50, 5, 10)),
 inside AS (SELECT lines.* FROM lines JOIN leaves USING (n, path)),
 kinds AS (SELECT n, path, tokens, count(DISTINCT text) AS texts FROM inside GROUP BY n, path, tokens),
 cells AS (SELECT n, path, tokens, texts, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM kinds),
-firm AS (SELECT n, path, pos, token FROM cells WHERE token <> '<*>' GROUP BY n, path, pos, token HAVING sum(texts) >= 10),
+firm AS (SELECT n, path, pos, token FROM cells WHERE token <> '<*>' GROUP BY n, path, pos, token HAVING sum(texts) >= if(n > 50, 5, 10)),
 template AS (SELECT c.n, c.path, c.tokens, list(CASE WHEN f.token IS NULL THEN '<*>' ELSE c.token END ORDER BY c.pos) AS t,
                     count(f.token) AS firm FROM cells c LEFT JOIN firm f ON c.n = f.n AND c.path = f.path AND c.pos = f.pos AND c.token = f.token
              GROUP BY c.n, c.path, c.tokens),
 onto AS (SELECT i.doc_id, i.text, i.line_no, i.n, i.path, t.t FROM inside i JOIN template t ON i.n = t.n AND i.path = t.path AND i.tokens = t.tokens
          WHERE t.firm >= 0.75 * t.n),
-often AS (SELECT n, path, t FROM onto GROUP BY n, path, t HAVING count(DISTINCT text) >= 10),
+often AS (SELECT n, path, t FROM onto GROUP BY n, path, t HAVING count(DISTINCT text) >= if(n > 50, 5, 10)),
 gone AS (SELECT DISTINCT doc_id, line_no FROM onto JOIN often USING (n, path, t)),
 kept AS (SELECT s.doc_id, any_value(CASE WHEN s.text = '' THEN 0 ELSE len(string_split(s.text, chr(10))) END) AS n_lines, count(g.line_no) AS n_dropped,
                 coalesce(string_agg(s.line, chr(10) ORDER BY s.line_no) FILTER (WHERE g.line_no IS NULL), '') AS kept

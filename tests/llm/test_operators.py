@@ -277,6 +277,18 @@ def test_line_templates_copies_of_one_text_stay(spark):
     assert line_templates.line_dedup(docs).agg(F.sum("n_dropped")).head()[0] == 0
 
 
+def test_line_templates_long_lines(spark):
+    """A line of over 50 tokens recurs from five different texts on, a shorter one from ten on; neighbours stay."""
+    line = prose(70, 51)
+    assert len(line.split()) == 51
+    docs = [(k, prose(500 + k, 20) + "\n" + re.sub("[0-9]", "", line)) for k in range(5)]
+    got = line_templates.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), carry=["doc_id", "text"]).collect()
+    assert all(r.n_dropped == 1 and r.kept_text == r.text.split("\n")[0] for r in got)
+    for rows in (docs[:4], [(i, t.rsplit(" ", 1)[0]) for i, t in docs]):  # one text less, one token less
+        got = line_templates.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), carry=["doc_id"]).collect()
+        assert all(r.n_dropped == 0 for r in got)
+
+
 def labelled(spark):
     rows = [(k, prose(k, 40 + k % 60) if k % 4 else "SPAM!! " * (20 + k % 30)) for k in range(400)]
     rows += [(400 + k, prose(900 + k, 30) + " you moron scum") for k in range(120)]
