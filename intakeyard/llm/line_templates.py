@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,14 +71,59 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     return on.join(often, ["leaf", "t1", "t2"]).select("key", "at")
 
 
+def spread_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
+                 long_line: int, long_docs: int) -> DataFrame:
+    """``(key, at)`` of every line on a template that recurs, with positions decided by spread instead of a fixed count.
+
+    The tokens of a line are put in the order in which their leaf holds them, the commonest first. Every head of that order with at least
+    ``constant`` of the positions is a template the line falls on, the rest being variable fields. It recurs if lines of
+    ``min_docs`` (``long_docs``) texts fall on it, so a field may have many values that are common themselves. The heads
+    include the template that ``recurring_lines`` makes of the line: what goes there goes here.
+    """
+    enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
+    rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
+             .select("key", "same", "at", tokens_of(F.col("line")).alias("tokens"))
+             .where(F.size("tokens") >= min_tokens)
+             .select("key", "same", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
+                     .bitwiseOR((F.size("tokens") > long_line).cast("bigint")).alias("leaf"),
+                     F.array_join("tokens", " ").alias("tokens")))
+    leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
+              .where(F.col("texts") >= enough).select("leaf"))
+    inside = saved(lines.join(leaves, "leaf").withColumn("line", F.xxhash64("tokens")))
+    holders = inside.groupBy("leaf", "line", "same").agg(F.min("tokens").alias("tokens"))
+    kinds = saved(holders.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("tokens").alias("tokens")))
+    cells = (kinds.select("leaf", "line", "texts", F.size(F.split("tokens", " ")).alias("n"), F.posexplode(F.split("tokens", " ")).alias("pos", "token"))
+             .where(F.col("token") != VARIABLE).select("leaf", "line", "texts", "n", F.xxhash64("pos", "token").alias("cell")))
+    # a cell that too few texts hold is in no template that recurs
+    seen = cells.groupBy("leaf", "cell").agg(F.sum("texts").alias("seen")).where(F.col("seen") >= enough)
+    order = Window.partitionBy("leaf", "line").orderBy(F.desc("seen"), "cell")
+    head = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    heads = saved(cells.join(seen, ["leaf", "cell"])
+                  .select("leaf", "line", "texts", "n", F.row_number().over(order).alias("firm"), F.bit_xor("cell").over(head).alias("t1"),
+                          F.bit_xor(F.xxhash64("cell")).over(head).alias("t2"))
+                  .where(F.col("firm") >= constant * F.col("n")).select("leaf", "t1", "t2", "line", "texts"))
+    sums = heads.groupBy("leaf", "t1", "t2").agg(F.max("texts").alias("most"), F.sum("texts").alias("sum")).where(F.col("sum") >= enough)
+    # one line of enough texts settles its templates; for others each line has few texts, and these are counted once
+    sure = sums.where(F.col("most") >= enough).select("leaf", "t1", "t2")
+    counted = (heads.join(sums.where(F.col("most") < enough).select("leaf", "t1", "t2"), ["leaf", "t1", "t2"])
+               .join(holders.select("leaf", "line", "same"), ["leaf", "line"]).select("leaf", "t1", "t2", "same").distinct()
+               .groupBy("leaf", "t1", "t2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= enough).drop("texts"))
+    gone = heads.join(sure.union(counted), ["leaf", "t1", "t2"], "left_semi").select("leaf", "line").distinct()
+    return inside.join(gone, ["leaf", "line"], "left_semi").select("key", "at")
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, carry: list[str] | None = None, depth: int = DEPTH,
                min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT, long_line: int = LONG_LINE,
-               long_docs: int = LONG_DOCS) -> DataFrame:
-    """``carry`` columns with ``n_lines``, ``n_dropped`` and ``kept_text``; added names win over carried ones."""
+               long_docs: int = LONG_DOCS, spread: bool = False) -> DataFrame:
+    """``carry`` columns with ``n_lines``, ``n_dropped`` and ``kept_text``; added names win over carried ones.
+
+    ``spread`` decides positions as in ``spread_lines`` (the pipeline's stage); without it the rule is that of ``ORACLE``."""
     ship_package(docs.sparkSession)
     added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]
     carried = [c for c in carry or [] if c.lower() not in {f.name for f in added}]
-    gone = recurring_lines(docs, id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs).groupBy("key").agg(F.collect_set("at").alias("__gone"))
+    find = spread_lines if spread else recurring_lines
+    gone = find(docs, id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs).groupBy("key").agg(F.collect_set("at").alias("__gone"))
     source = (docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).alias("__text"), row_key(id_col, text_col).alias("__key"))
               .join(gone.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left").select(*[F.col(f"`{c}`") for c in carried], "__text", "__gone"))
     schema = T.StructType([*[source.schema[c] for c in carried], *added])
