@@ -27,8 +27,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines of recurring templates; every document stays, if only with an empty text."""
-    out = line_templates.line_dedup(docs, carry=docs.columns, spread=True)
+    """Texts without the lines of recurring templates; every document stays, if only with an empty text.
+
+    Near copies, in the sense of the next stage, count as one text."""
+    out = line_templates.line_dedup(docs, carry=docs.columns, classes=near_dedup.near_classes(docs, percent=80))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("kept_text").cast(docs.schema["n_chars"].dataType))
     return out.withColumn("text", F.col("kept_text")).select(*docs.columns)

@@ -71,14 +71,14 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     return on.join(often, ["leaf", "t1", "t2"]).select("key", "at")
 
 
-def spread_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
+def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
                  long_line: int, long_docs: int) -> DataFrame:
     """``(key, at)`` of every line on a template that recurs, with positions decided by spread instead of a fixed count.
 
     The tokens of a line are put in the order in which their leaf holds them, the commonest first. Every head of that order with at least
     ``constant`` of the positions is a template the line falls on, the rest being variable fields. It recurs if lines of
-    ``min_docs`` (``long_docs``) texts fall on it, so a field may have many values that are common themselves. The heads
-    include the template that ``recurring_lines`` makes of the line: what goes there goes here.
+    ``min_docs`` (``long_docs``) groups of near copies fall on it, so a field may have many values that are common themselves.
+    ``classes`` has ``(key, component)``, the group of each text: near copies of one text don't make its lines recur.
     """
     enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
     rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -90,9 +90,14 @@ def spread_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_do
                      F.array_join("tokens", " ").alias("tokens")))
     leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
               .where(F.col("texts") >= enough).select("leaf"))
-    inside = saved(lines.join(leaves, "leaf").withColumn("line", F.xxhash64("tokens")))
+    groups = classes.select("key", F.xxhash64("component").alias("group"))
+    inside = saved(lines.join(leaves, "leaf").join(groups, "key").withColumn("line", F.xxhash64("tokens"))
+                   .select("key", "at", F.col("group").alias("same"), "leaf", "line", "tokens"))
+    # leaves of enough texts, but of few groups, leave here
+    leaves = (inside.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
+              .where(F.col("texts") >= enough).select("leaf"))
     holders = inside.groupBy("leaf", "line", "same").agg(F.min("tokens").alias("tokens"))
-    kinds = saved(holders.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("tokens").alias("tokens")))
+    kinds = saved(holders.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), F.min("tokens").alias("tokens")).join(leaves, "leaf"))
     cells = (kinds.select("leaf", "line", "texts", F.size(F.split("tokens", " ")).alias("n"), F.posexplode(F.split("tokens", " ")).alias("pos", "token"))
              .where(F.col("token") != VARIABLE).select("leaf", "line", "texts", "n", F.xxhash64("pos", "token").alias("cell")))
     # a cell that too few texts hold is in no template that recurs
@@ -115,15 +120,16 @@ def spread_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_do
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, carry: list[str] | None = None, depth: int = DEPTH,
                min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT, long_line: int = LONG_LINE,
-               long_docs: int = LONG_DOCS, spread: bool = False) -> DataFrame:
+               long_docs: int = LONG_DOCS, classes: DataFrame | None = None) -> DataFrame:
     """``carry`` columns with ``n_lines``, ``n_dropped`` and ``kept_text``; added names win over carried ones.
 
-    ``spread`` decides positions as in ``spread_lines`` (the pipeline's stage); without it the rule is that of ``ORACLE``."""
+    With ``classes`` (``near_dedup.near_classes``) the rule is that of ``spread_lines`` (the pipeline's stage), else that of ``ORACLE``."""
     ship_package(docs.sparkSession)
     added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]
     carried = [c for c in carry or [] if c.lower() not in {f.name for f in added}]
-    find = spread_lines if spread else recurring_lines
-    gone = find(docs, id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs).groupBy("key").agg(F.collect_set("at").alias("__gone"))
+    rule = (id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs)
+    found = recurring_lines(docs, *rule) if classes is None else spread_lines(docs, classes, *rule)
+    gone = found.groupBy("key").agg(F.collect_set("at").alias("__gone"))
     source = (docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).alias("__text"), row_key(id_col, text_col).alias("__key"))
               .join(gone.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left").select(*[F.col(f"`{c}`") for c in carried], "__text", "__gone"))
     schema = T.StructType([*[source.schema[c] for c in carried], *added])

@@ -239,11 +239,8 @@ def across_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
     return odd.union(top.select(*odd.columns)).select("bucket", "band", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85, miss: float = 1e-6) -> DataFrame:
-    """``(key, id, n_shingles, component_id, kept, keep_row)`` for every row of ``docs``.
-
-    Links hold when ``100 * intersection >= percent * union``. ``key`` is ``common.row_key``.
-    """
+def _sketched(docs: DataFrame, id_col: str, text_col: str, percent: int, miss: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, one row per class, and ``(node, root)`` of the classes that have links."""
     ship_package(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
@@ -265,6 +262,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rest = saved(across_blocks(members, roots))
         if not rest.isEmpty():
             roots = components(links(rest).union(roots.select("node", "root")))
+    return sketch, classes, roots
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85, miss: float = 1e-6) -> DataFrame:
+    """``(key, component)``: the group of near copies of every different ``key``, whatever the ids are."""
+    sketch, _, roots = _sketched(docs, id_col, text_col, percent, miss)
+    return (sketch.select("key", "cls").distinct().join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+            .select("key", F.coalesce("root", "cls").alias("component")))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85, miss: float = 1e-6) -> DataFrame:
+    """``(key, id, n_shingles, component_id, kept, keep_row)`` for every row of ``docs``.
+
+    Links hold when ``100 * intersection >= percent * union``. ``key`` is ``common.row_key``.
+    """
+    sketch, classes, roots = _sketched(docs, id_col, text_col, percent, miss)
     linked = (roots.join(classes.select(F.col("cls").alias("node"), "id"), "node"))
     smallest = linked.groupBy("root").agg(F.min("id").alias("component_id"))
     named = linked.join(smallest, "root").select(F.col("node").alias("cls"), "component_id")

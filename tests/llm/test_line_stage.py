@@ -67,3 +67,27 @@ def test_spread_against_brute_force(spark):
     gone = brute_spread(texts)
     assert len(gone) == 60
     assert staged(spark, texts) == ["\n".join(x for at, x in enumerate(t.split("\n")) if (i, at) not in gone) for i, t in enumerate(texts)]
+
+
+def test_near_copies_do_not_lose_their_lines(spark):
+    """200 near copies of one text: the line stage leaves them whole, and near-dedup then keeps as few as before it."""
+    import random
+
+    from tests.llm.test_operators import brute_components
+
+    lines, r = [plain(3000 + k, 25) for k in range(8)], random.Random(5)
+    texts = ["\n".join(" ".join("changed" if r.random() < 0.01 else w for w in x.split()) for x in lines) for _ in range(200)]
+    want = sorted({c for _, _, c in brute_components(list(enumerate(texts)), 80)})
+    assert len(want) < 10
+    after = staged(spark, texts)
+    assert after == texts
+    out = corpus_pipeline.near_dedup_stage(spark, spark.createDataFrame(list(enumerate(after)), COLUMNS), SF)
+    assert sorted(x.doc_id for x in out.collect()) == want
+
+
+def test_lines_of_near_copies_and_others(spark):
+    """A line in 30 near copies of one text and in 9 others goes everywhere (10 groups), in 8 others it stays."""
+    line, body = "please subscribe to our weekly letter for more", plain(3100, 200)
+    for others in (9, 8):
+        texts = [f"{body} {plain(3200 + k, 1)}\n{line}" for k in range(30)] + [f"{plain(3300 + k, 20)}\n{line}" for k in range(others)]
+        assert staged(spark, texts) == [t.split("\n")[0] if others == 9 else t for t in texts]
