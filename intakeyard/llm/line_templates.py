@@ -32,12 +32,18 @@ from intakeyard.session import ship_package
 
 VARIABLE = "<*>"
 DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT, LONG_LINE, LONG_DOCS = 3, 10, 3, 0.75, 50, 5
+#: With groups of near copies: a long line that is the same in so many groups recurs.
+LONG_SAME = 2
 
 
 def tokens_of(line: Column) -> Column:
     """Tokens of a line, variable ones masked."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*[0-9][^\x20\x09-\x0D]*", VARIABLE)).otherwise(line)
-    return F.array_remove(F.split(F.translate(masked, "\t\r\x0b\x0c", "    "), " "), "")
+    return _cut(masked)
+
+
+def _cut(line: Column) -> Column:
+    return F.array_remove(F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " "), "")
 
 
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
@@ -79,20 +85,22 @@ def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str
     ``constant`` of the positions is a template the line falls on, the rest being variable fields. It recurs if lines of
     ``min_docs`` (``long_docs``) groups of near copies fall on it, so a field may have many values that are common themselves.
     ``classes`` has ``(key, component)``, the group of each text: near copies of one text don't make its lines recur.
+    A long line recurs by itself if it is the same, digits included, in ``LONG_SAME`` groups.
     """
+    least = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(LONG_SAME)).otherwise(F.lit(min_docs))
     enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
     rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-             .select("key", "same", "at", tokens_of(F.col("line")).alias("tokens"))
+             .select("key", "same", "at", F.xxhash64(_cut(F.col("line"))).alias("own"), tokens_of(F.col("line")).alias("tokens"))
              .where(F.size("tokens") >= min_tokens)
-             .select("key", "same", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
+             .select("key", "same", "at", "own", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
                      .bitwiseOR((F.size("tokens") > long_line).cast("bigint")).alias("leaf"),
                      F.array_join("tokens", " ").alias("tokens")))
     leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
-              .where(F.col("texts") >= enough).select("leaf"))
+              .where(F.col("texts") >= least).select("leaf"))
     groups = classes.select("key", F.xxhash64("component").alias("group"))
     inside = saved(lines.join(leaves, "leaf").join(groups, "key").withColumn("line", F.xxhash64("tokens"))
-                   .select("key", "at", F.col("group").alias("same"), "leaf", "line", "tokens"))
+                   .select("key", "at", F.col("group").alias("same"), "leaf", "line", "own", "tokens"))
     # leaves of enough texts, but of few groups, leave here
     leaves = (inside.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
               .where(F.col("texts") >= enough).select("leaf"))
@@ -115,7 +123,10 @@ def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str
                .join(holders.select("leaf", "line", "same"), ["leaf", "line"]).select("leaf", "t1", "t2", "same").distinct()
                .groupBy("leaf", "t1", "t2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= enough).drop("texts"))
     gone = heads.join(sure.union(counted), ["leaf", "t1", "t2"], "left_semi").select("leaf", "line").distinct()
-    return inside.join(gone, ["leaf", "line"], "left_semi").select("key", "at")
+    alike = (inside.where(F.col("leaf").bitwiseAND(F.lit(1)) == 1).select("leaf", "own", "same").distinct().groupBy("leaf", "own")
+             .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= least).select("leaf", "own"))
+    return (inside.join(gone, ["leaf", "line"], "left_semi").select("key", "at")
+            .union(inside.join(alike, ["leaf", "own"], "left_semi").select("key", "at")))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, carry: list[str] | None = None, depth: int = DEPTH,

@@ -91,3 +91,14 @@ def test_lines_of_near_copies_and_others(spark):
     for others in (9, 8):
         texts = [f"{body} {plain(3200 + k, 1)}\n{line}" for k in range(30)] + [f"{plain(3300 + k, 20)}\n{line}" for k in range(others)]
         assert staged(spark, texts) == [t.split("\n")[0] if others == 9 else t for t in texts]
+
+
+def test_long_lines_of_two_unlike_texts(spark):
+    """A line of 51 tokens goes from two unlike texts, a line of 50 does not; two near copies keep theirs."""
+    line = plain(70, 51)
+    texts = [f"{plain(4000 + k, 60)}\n{line}" for k in range(2)]
+    assert staged(spark, texts) == [t.split("\n")[0] for t in texts]
+    shorter = [t.rsplit(" ", 1)[0] for t in texts]
+    assert staged(spark, shorter) == shorter
+    copies = [f"{plain(4100, 200)} {plain(4200 + k, 1)}\n{line}" for k in range(2)]
+    assert staged(spark, copies) == copies
