@@ -14,7 +14,7 @@ first count. Identical texts count once, so copies of one text don't make its li
 Counts are pre-aggregated, and a hot line is one row per text from then on.
 
 Defined results: null and empty texts have no lines to drop; lines under ``min_tokens`` tokens always
-stay; a text whose lines all go becomes empty, the row stays; repeated rows lose the same lines; null ids are values
+stay (with ``classes``, white lines do); a text whose lines all go becomes empty, the row stays; repeated rows lose the same lines; null ids are values
 like any other; an empty table gives an empty result. Only the id and the text are read; ``carry`` columns pass through.
 """
 
@@ -77,7 +77,7 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     return on.join(often, ["leaf", "t1", "t2"]).select("key", "at")
 
 
-def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
+def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, constant: float,
                  long_line: int, long_docs: int) -> DataFrame:
     """``(key, at)`` of every line on a template that recurs, with positions decided by spread instead of a fixed count.
 
@@ -85,14 +85,15 @@ def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str
     ``constant`` of the positions is a template the line falls on, the rest being variable fields. It recurs if lines of
     ``min_docs`` (``long_docs``) groups of near copies fall on it, so a field may have many values that are common themselves.
     ``classes`` has ``(key, component)``, the group of each text: near copies of one text don't make its lines recur.
-    A long line recurs by itself if it is the same, digits included, in ``LONG_SAME`` groups.
+    A line of any length recurs by itself if it is the same, digits included, in ``min_docs`` groups (a long one in ``LONG_SAME``);
+    the constant share is asked of lines that differ only.
     """
     least = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(LONG_SAME)).otherwise(F.lit(min_docs))
     enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
     rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
              .select("key", "same", "at", F.xxhash64(_cut(F.col("line"))).alias("own"), tokens_of(F.col("line")).alias("tokens"))
-             .where(F.size("tokens") >= min_tokens)
+             .where(F.size("tokens") > 0)
              .select("key", "same", "at", "own", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
                      .bitwiseOR((F.size("tokens") > long_line).cast("bigint")).alias("leaf"),
                      F.array_join("tokens", " ").alias("tokens")))
@@ -123,8 +124,8 @@ def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str
                .join(holders.select("leaf", "line", "same"), ["leaf", "line"]).select("leaf", "t1", "t2", "same").distinct()
                .groupBy("leaf", "t1", "t2").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= enough).drop("texts"))
     gone = heads.join(sure.union(counted), ["leaf", "t1", "t2"], "left_semi").select("leaf", "line").distinct()
-    alike = (inside.where(F.col("leaf").bitwiseAND(F.lit(1)) == 1).select("leaf", "own", "same").distinct().groupBy("leaf", "own")
-             .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= least).select("leaf", "own"))
+    alike = (inside.select("leaf", "own", "same").distinct().groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("texts"))
+             .where(F.col("texts") >= least).select("leaf", "own"))
     return (inside.join(gone, ["leaf", "line"], "left_semi").select("key", "at")
             .union(inside.join(alike, ["leaf", "own"], "left_semi").select("key", "at")))
 
@@ -134,12 +135,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                long_docs: int = LONG_DOCS, classes: DataFrame | None = None) -> DataFrame:
     """``carry`` columns with ``n_lines``, ``n_dropped`` and ``kept_text``; added names win over carried ones.
 
-    With ``classes`` (``near_dedup.near_classes``) the rule is that of ``spread_lines`` (the pipeline's stage), else that of ``ORACLE``."""
+    With ``classes`` (``near_dedup.near_classes``) the rule is that of ``spread_lines`` (the pipeline's stage,
+    which knows no ``min_tokens``), else that of ``ORACLE``."""
     ship_package(docs.sparkSession)
     added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]
     carried = [c for c in carry or [] if c.lower() not in {f.name for f in added}]
-    rule = (id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs)
-    found = recurring_lines(docs, *rule) if classes is None else spread_lines(docs, classes, *rule)
+    if classes is None:
+        found = recurring_lines(docs, id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs)
+    else:
+        found = spread_lines(docs, classes, id_col, text_col, depth, min_docs, constant, long_line, long_docs)
     gone = found.groupBy("key").agg(F.collect_set("at").alias("__gone"))
     source = (docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).alias("__text"), row_key(id_col, text_col).alias("__key"))
               .join(gone.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left").select(*[F.col(f"`{c}`") for c in carried], "__text", "__gone"))

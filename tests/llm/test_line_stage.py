@@ -102,3 +102,11 @@ def test_long_lines_of_two_unlike_texts(spark):
     assert staged(spark, shorter) == shorter
     copies = [f"{plain(4100, 200)} {plain(4200 + k, 1)}\n{line}" for k in range(2)]
     assert staged(spark, copies) == copies
+
+
+def test_short_and_numeric_lines_that_are_the_same(spark):
+    """Lines of one and two tokens and a phone line go from ten texts on; lines of numbers that differ and white lines stay."""
+    same = "Advertisement\n Read  more\nTel 0800 123 456"
+    texts = [f"{plain(5000 + k, 20)}\n{same}\n\nPage {k}\n{k}" for k in range(10)]
+    assert staged(spark, texts) == [t.replace(f"\n{same}", "") for t in texts]
+    assert staged(spark, texts[:9]) == texts[:9]
