@@ -16,6 +16,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import operator as op
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,16 +50,16 @@ def measures(view: np.ndarray) -> list[float]:
     raw = view.tobytes()
     words = raw.split()
     k = max(1, len(words))
-    distinct = len(set(words))
+    counts = Counter(words)
     same = sum(map(op.eq, words, words[1:])) / k
     pairs = len(set(zip(words, words[1:], strict=False))) / k
     lines = [x for x in raw.split(b"\n") if x.strip()]
     m = max(1, len(lines))
-    commonest = max(map(words.count, set(words[:1] + words[-1:] + words[k // 2:k // 2 + 1])), default=0) / k
+    commonest = max(counts.values(), default=0) / k
     share = by_byte[by_byte > 0] / n
     spread = float(-(share * np.log(share)).sum()) / 5.55
     letters = lower + upper + high
-    return [min(1.0, np.log1p(len(words)) / 12), distinct / k, same, pairs, commonest, upper / max(letters, 1e-9), digit, point,
+    return [min(1.0, np.log1p(len(words)) / 12), len(counts) / k, same, pairs, commonest, upper / max(letters, 1e-9), digit, point,
             symbol, high, 1 - letters, len(set(lines)) / m, min(1.0, n / m / 2000), min(1.0, (n - len(words)) / k / 20), spread,
             by_byte[ord("|")] / k, (by_byte[ord("!")] + by_byte[ord("*")] + by_byte[ord("#")] + by_byte[ord("%")]) / k]
 

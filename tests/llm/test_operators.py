@@ -289,6 +289,15 @@ def test_line_templates_long_lines(spark):
         assert all(r.n_dropped == 0 for r in got)
 
 
+def test_commonest_word_anywhere():
+    """The measure is the share of the commonest word, wherever it stands."""
+    import numpy as np
+
+    text = "one spam two spam three four spam five six".encode()
+    assert text.split()[len(text.split()) // 2] != b"spam"
+    assert quality.measures(np.frombuffer(text, np.uint8))[4] == pytest.approx(3 / 9)
+
+
 def labelled(spark):
     rows = [(k, prose(k, 40 + k % 60) if k % 4 else "SPAM!! " * (20 + k % 30)) for k in range(400)]
     rows += [(400 + k, prose(900 + k, 30) + " you moron scum") for k in range(120)]
