@@ -3,12 +3,13 @@
 1. One scan turns each text into its digest (SHA-256 of the text without ASCII white
    space); only ``(row, id, length, digest)`` goes on, written once as a checkpoint.
 2. A Misra-Gries summary (Spark's mergeable frequent-items sketch, a Misra-Gries variant
-   with a fixed number of counters) names the digests that may be frequent. Any digest
-   above ``1 / counters`` of the rows is among them.
+   with a fixed number of counters) names the digests that may be frequent. Only the top ``heavy``
+   of its counters are named, so only a digest above about ``1 / heavy`` of the rows is sure to be
+   among them; smaller groups may go the ordinary way, and the largest of these grows with the table.
 3. The named digests are counted exactly and their winners found; only these verified rows
    (at most ``heavy`` of them: a proven bound) are broadcast, and rows that carry one of
    them are decided map-side, so no shuffle ever sees a hot digest.
-4. The other digests, none of them frequent, are decided by one ordinary shuffle on the digest.
+4. The other digests, none of them above about ``1 / heavy`` of the rows, are decided by one ordinary shuffle on the digest.
 
 Defined results: a null text counts as empty; empty and all-white texts form one group like
 any other; ties in length go to the smallest id (null ids last), and among repeated rows with the same id
