@@ -1,8 +1,9 @@
-"""Registered queries of the ten operators and of the pipeline, and their DuckDB SQL."""
+"""Registered queries of the operators and of the pipeline, and their DuckDB SQL."""
 
 from __future__ import annotations
 
 from intakeyard.llm import (
+    alignment,
     byte_bpe,
     decontaminate,
     exact_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_line_templates": line_templates.op10_line_templates,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLE = {
