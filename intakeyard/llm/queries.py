@@ -7,6 +7,7 @@ from intakeyard.llm import (
     byte_bpe,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     line_templates,
     near_dedup,
     quality,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_line_templates": line_templates.op10_line_templates,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_alignment": alignment.op13_alignment,
 }
 
@@ -34,4 +36,5 @@ ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op6_secret_scan": secret_scan.ORACLE,
     "op10_line_templates": line_templates.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }

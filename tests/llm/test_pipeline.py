@@ -17,14 +17,15 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     cols = [d[0] for d in cur.description]
     got = QUERIES[name](spark, SF).select(*cols)
     assert collections.Counter(map(tuple, got.collect())) == collections.Counter(cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_hard_negatives"}))
 def test_one_row_per_document(spark, name):
     docs = load(spark, SF, "documents")
     assert sorted(r.doc_id for r in QUERIES[name](spark, SF).select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
