@@ -1,6 +1,6 @@
 """MinHash near-dedup with sequential Bayesian verification of banded candidates.
 
-1. Documents with the same word sequence form a class (128-bit hash); from here on a class
+1. Documents with the same word sequence form a class (128-bit cryptographic digest); from here on a class
    is one row, so any number of exact copies costs nothing more.
 2. A class has a MinHash signature over its 5-word shingles, cut in bands; classes
    that share a band bucket are candidates. Buckets with the same members are compared once,
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from intakeyard.llm.common import documents, keyed, saved
 from intakeyard.llm.components import components
-from intakeyard.llm.textbytes import BYTE_B, POWERS_B, RangeHash, blocks_of, mix, text_views
+from intakeyard.llm.shingles import digest, shingle_hashes, words_of
+from intakeyard.llm.textbytes import blocks_of, text_views
 from intakeyard.session import ship_package
 
 BANDS, ROWS, BATCH, WORDS = 24, 5, 24, 5
@@ -42,8 +43,8 @@ PLACES = BANDS * ROWS
 _RNG = np.random.Generator(np.random.PCG64(97))
 _TURN = _RNG.integers(0, 2**63, PLACES, dtype=np.uint64)
 _TIMES = _RNG.integers(0, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: A-Z to a-z; the six ASCII white characters are what ``split`` cuts at.
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Bits of the fixed-size filter that keeps texts no task asks for from travelling, and hashes per key.
+FILTER_BITS, FILTER_HASHES = 1 << 23, 3
 #: A block holds at most so many classes and so many shingles.
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 2_000_000
 
@@ -60,30 +61,13 @@ def least_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
     return out
 
 
-def shingles_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, RangeHash, np.ndarray]:
-    """Shingle hashes of all texts in a row, how many each text has, the hasher, and each text's bounds."""
-    joined = [b" ".join(t.translate(LOWER).split()) for t in texts]
-    data = np.frombuffer(b"\n".join(joined) + b"\n", np.uint8)
-    ends = np.flatnonzero((data == 32) | (data == 10))
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    bounds = np.concatenate([[0], np.cumsum([len(j) + 1 for j in joined])])
-    last = np.searchsorted(ends, bounds[1:] - 1)  # last word of each text
-    first = np.concatenate([[0], last[:-1] + 1])
-    filled = bounds[1:] - bounds[:-1] > 1
-    words = np.where(filled, last - first + 1, 0)
-    count = np.where(words >= WORDS, words - WORDS + 1, (words > 0).astype(np.int64))
-    hasher = RangeHash(data)
-    at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-    to = np.minimum(at + WORDS - 1, np.repeat(last, count))
-    return hasher.of(starts[at], ends[to]), count, RangeHash(data, POWERS_B, BYTE_B), bounds
-
-
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(key, id, cls, n, sig)`` for batches of ``(key, id, text)``."""
     for batch in batches:
         views = [v.tobytes() for v in text_views(batch.column(2))]
         for a, b in blocks_of([len(v) for v in views], 4 << 20):
-            x, count, second, bounds = shingles_of(views[a:b])
+            words = [words_of(v) for v in views[a:b]]
+            x, count = shingle_hashes(words, WORDS)
             start = np.concatenate([[0], np.cumsum(count)])
             n = [len(np.unique(x[s:e])) for s, e in zip(start[:-1], start[1:], strict=True)]
             filled = np.flatnonzero(count)
@@ -91,21 +75,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(filled):
                 for j in range(PLACES):
                     sig[filled, j] = np.minimum.reduceat((x ^ _TURN[j]) * _TIMES[j], start[filled]) >> np.uint64(32)
-            whole = np.stack([RangeHash.of(second, bounds[:-1], bounds[1:] - 1), _sum_hash(x, start)], 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
-                 pa.array([r.tobytes() for r in whole], pa.binary()), pa.array(n, pa.int64()),
+                 pa.array([digest(w) for w in words], pa.binary()), pa.array(n, pa.int64()),
                  pa.array([r.tobytes() for r in sig], pa.binary())], names=["key", "id", "cls", "n", "sig"])
 
 
-def _sum_hash(x: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """A hash of each text's shingle sequence (order-sensitive sum)."""
-    if len(x) == 0:
-        return np.zeros(len(start) - 1, np.uint64)
-    run = np.concatenate([[np.uint64(0)], np.cumsum(mix(x ^ np.repeat(start[:-1], np.diff(start)).astype(np.uint64) ^ np.arange(len(x), dtype=np.uint64)))])
-    return run[start[1:]] - run[start[:-1]]
-
-
 class _Sets:
     """Sorted shingle hashes per text of a block, made when first needed."""
 
@@ -114,7 +89,7 @@ class _Sets:
 
     def __getitem__(self, i: int) -> np.ndarray:
         if i not in self.made:
-            self.made[i] = np.unique(shingles_of([self.texts[i]])[0])
+            self.made[i] = np.unique(shingle_hashes([words_of(self.texts[i])], WORDS)[0])
         return self.made[i]
 
 
@@ -126,11 +101,30 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed: a text travels once for each bucket its class is compared in."""
-    for b in batches:
-        packed = [len(v).to_bytes(8, "little") + pa.compress(v.tobytes(), codec="zstd", asbytes=True) for v in text_views(b.column(2))]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["cls", "sig", "packed"])
+def _pack(wanted: np.ndarray):
+    """Texts compressed: a text travels once for each bucket its class is compared in. Texts that the filter ``wanted``
+    does not name are in no task and stay behind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column(2).to_numpy()
+            asked = np.flatnonzero(np.logical_and.reduce([wanted[(h >> (20 * k)) & (FILTER_BITS - 1)] for k in range(FILTER_HASHES)]))
+            views = list(text_views(b.column(1)))
+            packed = [len(views[i]).to_bytes(8, "little") + pa.compress(views[i].tobytes(), codec="zstd", asbytes=True) for i in asked]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(asked)), pa.array(packed, pa.binary())], names=["key", "packed"])
+
+    return run
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of the column ``key``: ``FILTER_BITS`` bits, whatever the number of keys (a full one lets all pass)."""
+    h = F.xxhash64("key")
+    at = F.explode(F.array(*[F.shiftright(h, 20 * k).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(FILTER_HASHES)]))
+    words = (keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")).toArrow())
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
 def _unpacked(packed: bytes) -> bytes:
@@ -185,15 +179,19 @@ def _verify(percent: int, miss: float):
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """``(bucket, band, blocks, own, cls)``: members of the buckets to compare and the block each is in.
+    """Members of the signature's band buckets; the low bits of a bucket hold its band."""
+    return members_of(classes.select("cls", F.explode(F.array(*[
+        F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).bitwiseAND(F.lit(~31)).bitwiseOR(F.lit(b))
+        for b in range(BANDS)])).alias("bucket")), classes)
+
+
+def members_of(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(bucket, band, blocks, own, n, cls)``: members of the buckets to compare and the block each is in.
 
-    The low bits of a bucket hold its band. Only the members of shared buckets are looked at further.
+    ``named`` has ``(cls, bucket)``. Only the members of shared buckets are looked at further, and of buckets with the same members one.
     """
-    bands = classes.select("cls", F.explode(F.array(*[
-        F.xxhash64(F.lit(b), F.substring("sig", 4 * ROWS * b + 1, 4 * ROWS)).bitwiseAND(F.lit(~31)).bitwiseOR(F.lit(b))
-        for b in range(BANDS)])).alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    members = saved(bands.join(shared, "bucket").join(classes.select("cls", "n"), "cls"))
+    shared = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+    members = saved(named.join(shared, "bucket").join(classes.select("cls", "n"), "cls"))
     buckets = (members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("cls")).alias("x"),
         F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
@@ -248,21 +246,26 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, percent: int, miss: f
     classes = sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key"),
                                                        F.max("n").alias("n"), F.max("sig").alias("sig"))
     classes = saved(classes)
-    members = saved(candidates(classes))
+    return sketch, classes, linked_classes(rows, classes, saved(candidates(classes)), _verify(percent, miss), ["sig"])
+
+
+def linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, verify, carry: list[str]) -> DataFrame:
+    """``(node, root)`` of the classes that have links, by ``verify`` on the texts of each block or pair of blocks.
+
+    ``rows`` has ``(key, text)``, ``classes`` a ``key`` per ``cls`` and the ``carry`` columns that ``verify`` reads."""
 
     def links(tasks: DataFrame) -> DataFrame:
-        needed = classes.join(tasks.select("cls").distinct(), "cls", "left_semi").select("key", "cls", "sig")
-        texts = rows.select("key", "text").join(needed.hint("shuffle_hash"), "key").select("cls", "sig", "text")
-        texts = texts.mapInArrow(_pack, "cls binary, sig binary, packed binary")
-        return (tasks.join(texts, "cls").groupBy("bucket", "band", "bi", "bj")
-                .applyInArrow(_verify(percent, miss), "a binary, b binary"))
+        needed = saved(classes.join(tasks.select("cls").distinct(), "cls", "left_semi").select("key", "cls", *carry))
+        texts = rows.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(_pack(_filter(needed)), "key string, packed binary")
+        texts = texts.join(needed.hint("shuffle_hash"), "key").select("cls", *carry, "packed")
+        return tasks.join(texts, "cls").groupBy("bucket", "band", "bi", "bj").applyInArrow(verify, "a binary, b binary")
 
     roots = components(links(within_blocks(members)))
     if not members.where("blocks > 1").isEmpty():
         rest = saved(across_blocks(members, roots))
         if not rest.isEmpty():
             roots = components(links(rest).union(roots.select("node", "root")))
-    return sketch, classes, roots
+    return roots
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 85, miss: float = 1e-6) -> DataFrame:
