@@ -10,6 +10,7 @@ from intakeyard.llm import (
     hard_negatives,
     line_templates,
     near_dedup,
+    ngram_join,
     quality,
     secret_scan,
     suffix_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_line_templates": line_templates.op10_line_templates,
+    "op11_ngram_join": ngram_join.op11_ngram_join,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_alignment": alignment.op13_alignment,
 }
