@@ -1,27 +1,39 @@
 """CSV records by the quoting rules of Python's ``csv`` module, from files that split.
 
 A record may span lines, so whether a line starts inside a quoted cell depends on all lines before it. A line
-either leaves that state as it is, turns it, or ends in a fixed state; two regexes tell
-which. Within a scan split the state before each line is then a window function, between splits a window over one row
-per split (the same for record numbers), so no task reads more than its split. The lines of a
-record then meet by record number.
+either leaves that state as it is, turns it, or ends in a fixed state; two regexes tell which (lines without a quote need
+none). A first narrow pass sends these flags, not the texts, through one task per scan split, which gives the state after the
+split and the records begun in it for either state before it; a window over one row per split tells the true states and
+numbers. In a second narrow pass each split numbers its own lines and joins those of a record. Only records that lie in
+several splits are left: the splits that they touch are read once more, and one piece per record and split is
+shuffled by record number.
 
 Rules: a quote opens a quoted cell only at the cell's start; inside, two quotes are one and (vendor dialect) a
 backslash takes the next character literally; text after the closing quote belongs to the cell; outside
 quotes a backslash also takes the next character literally. Records without any character are skipped and not numbered.
+A record of more than ``max_record`` bytes (a quote that never closes makes one of the rest of its file) is numbered and named
+in ``error``, without its text: pieces above that size never leave their split, so no task gathers more than a few of them.
 A folder is one logical file in name order; each of its files holds whole records. A line end (``\n`` or
 ``\r\n``) outside quotes ends the record, an escaped one too. All regex loops are possessive, hence linear.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from intakeyard.session import ship_package
 from intakeyard.sources.positions import BROADCAST_LIMIT_BYTES, SEGMENT_BYTES, segment_bound
 
+#: Largest record returned, in bytes of UTF-8.
+MAX_RECORD = 16 << 20
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -80,44 +92,155 @@ def _with_state(df: DataFrame, out0: str, out1: str, by: list[str], order: list[
     return df.select("*", *[((F.coalesce("_fixed", F.lit(s)) + F.col("_turns")) % 2).alias(f"_s{s}") for s in (0, 1)]).drop("_turns", "_fixed")
 
 
-def records(spark: SparkSession, path: str, dialect: Dialect) -> DataFrame:
-    """``(pos, record)``: numbered raw records, the header included as record 1."""
-    text = spark.read.option("lineSep", "\n").text(path)
-    bound = segment_bound(text)
-    lines = text.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
-                        F.monotonically_increasing_id().alias("_m"))
-    lines = lines.select("*", dialect.stays_open(F.col("value")).cast("int").alias("_o0"),
-                         dialect.stays_open(F.concat(F.lit('"'), "value")).cast("int").alias("_o1"),
-                         F.col("value").isin("", "\r").alias("_blank"))
-    lines = _with_state(lines, "_o0", "_o1", ["_f", "_b"], ["_m"])
-    upto = Window.partitionBy("_f", "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    begun = [F.sum(F.when((F.col(f"_s{s}") == 0) & ~F.col("_blank"), 1).otherwise(0)).over(upto).alias(f"_r{s}") for s in (0, 1)]
-    after = [F.when(F.col(f"_s{s}") == 0, F.col("_o0")).otherwise(F.col("_o1")).alias(f"_a{s}") for s in (0, 1)]
-    lines = lines.select("value", "_f", "_b", "_m", "_blank", "_s0", "_s1", *begun, *after)
-    splits = lines.groupBy("_f", "_b").agg(*[F.max_by(f"_a{s}", "_m").alias(f"_a{s}") for s in (0, 1)],
-                                           *[F.max(f"_r{s}").alias(f"_n{s}") for s in (0, 1)])
-    splits = _with_state(splits, "_a0", "_a1", ["_f"], ["_b"])
-    n = F.when(F.col("_s0") == 0, F.col("_n0")).otherwise(F.col("_n1"))
+def _before(o0: np.ndarray, o1: np.ndarray, state: int) -> tuple[np.ndarray, int]:
+    """The state before each line, and after the last, if the first starts in ``state``."""
+    turns = np.concatenate([[0], np.cumsum((o0 == 1) & (o1 == 0))])
+    fixed = np.concatenate([[-1], np.where(o0 == o1, np.arange(len(o0)), -1)])
+    last = np.maximum.accumulate(fixed)  # the last line so far that ends in a fixed state
+    known = np.where(last >= 0, o0[np.maximum(last, 0)] if len(o0) else 0, state)
+    out = (known + turns - np.where(last >= 0, turns[last + 1], 0)) % 2
+    return out[:-1], int(out[-1])
+
+
+def _runs(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of rows with equal keys."""
+    n = len(keys[0])
+    if n:
+        cut = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        yield from zip([0, *cut.tolist()], [*cut.tolist(), n], strict=True)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(_f, _b, _a0, _a1, _n0, _n1)`` per split: state after it and records begun in it, if it starts outside or inside quotes."""
+    now, out = None, []
+    for batch in batches:
+        split, b, o0, o1, blank = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6))
+        for s, e in _runs(split):
+            if now is None or now[0] != split[s]:
+                out += [now] if now else []
+                now = [split[s], batch.column(0)[s].as_py(), b[s], 0, 1, 0, 0]
+            for k in (0, 1):
+                before, now[3 + k] = _before(o0[s:e], o1[s:e], now[3 + k])
+                now[5 + k] += int(((before == 0) & ~blank[s:e]).sum())
+    out += [now] if now else []
+    names = ["_f", "_b", "_a0", "_a1", "_n0", "_n1"]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i + 1] for r in out], t) for i, t in enumerate(kinds)], names=names)
+
+
+_ROW = pa.schema([("pos", pa.int64()), ("_b", pa.int64()), ("size", pa.int64()), ("value", pa.string())])
+
+
+def _numbered(limit: int, crossing: bool):
+    """``(pos, _b, size, value)``: the records that begin and end in this split, or (``crossing``) its pieces of others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, state, begun = None, 0, 0
+        piece = None  # of a record over several lines: number, split start, size, texts, whether it begins here
+
+        def piece_row() -> tuple:
+            return (*piece[:3], "\n".join(piece[3]) if piece[2] <= limit else None)
+
+        for batch in batches:
+            value, split_of = batch.column(0), batch.column(1).to_numpy()
+            b, o0, o1, blank, inside, off = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, 8))
+            size = pc.binary_length(value).to_numpy(zero_copy_only=False).astype(np.int64)
+            for s, e in _runs(split_of):
+                found = []
+                if split != split_of[s]:
+                    if piece and crossing:
+                        found.append(piece_row())
+                    split, state, begun, piece = split_of[s], int(inside[s]), int(off[s]), None
+                before, state = _before(o0[s:e], o1[s:e], state)
+                after = np.concatenate([before[1:], [state]])
+                starts = (before == 0) & ~blank[s:e]
+                pos = begun + np.cumsum(starts)
+                begun = int(pos[-1])
+                for i in np.flatnonzero((before == 1) | (after == 1)).tolist():
+                    n = int(size[s + i])
+                    if piece is None:
+                        piece = [int(pos[i]), int(b[s]), n, [], before[i] == 0]
+                    else:
+                        piece[2] += n + 1
+                    if piece[2] <= limit:
+                        piece[3].append(value[s + i].as_py())
+                    else:
+                        piece[3].clear()
+                    if after[i] == 0:
+                        if piece[4] != crossing:
+                            found.append(piece_row())
+                        piece = None
+                at = np.flatnonzero(starts & (after == 0))
+                if len(at) and not crossing:
+                    texts = pc.if_else(pa.array(size[at + s] <= limit), value.take(pa.array(at + s)), pa.scalar(None, pa.string()))
+                    yield pa.RecordBatch.from_arrays([pa.array(pos[at], pa.int64()), pa.array(b[at + s], pa.int64()), pa.array(size[at + s]), texts], schema=_ROW)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), _ROW.types, strict=True)], schema=_ROW)
+        if piece and crossing:
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(piece_row(), _ROW.types, strict=True)], schema=_ROW)
+
+    return run
+
+
+def _flagged(text: DataFrame, dialect: Dialect) -> DataFrame:
+    """What a line does to the state, as ``_o0`` and ``_o1``: the state after it if it starts outside or inside quotes."""
+    quoted = F.col("value").contains('"')
+    return text.select("*", F.when(quoted, dialect.stays_open(F.col("value"))).otherwise(False).cast("int").alias("_o0"),
+                       F.when(quoted, dialect.stays_open(F.concat(F.lit('"'), "value"))).otherwise(True).cast("int").alias("_o1"),
+                       F.col("value").isin("", "\r").alias("_blank"))
+
+
+def split_states(text: DataFrame, dialect: Dialect) -> DataFrame:
+    """``(_f, _b, _in, _out, _off)`` per scan split: the state before and after it, and how many records begin before it."""
+    found = _flagged(text, dialect).select("_f", "_split", "_b", "_o0", "_o1", "_blank").mapInArrow(
+        _summaries, "_f string, _b bigint, _a0 int, _a1 int, _n0 bigint, _n1 bigint")
+    found = _with_state(found, "_a0", "_a1", ["_f"], ["_b"])
+    n, out = (F.when(F.col("_s0") == 0, F.col(f"{c}0")).otherwise(F.col(f"{c}1")) for c in ("_n", "_a"))
     ahead = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
-    splits = splits.select("_f", "_b", F.col("_s0").alias("_in"), F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias("_off"))
-    if bound * SEGMENT_BYTES <= BROADCAST_LIMIT_BYTES:
-        splits = F.broadcast(splits)
+    return found.select("_f", "_b", F.col("_s0").cast("int").alias("_in"), out.alias("_out"),
+                        F.coalesce(F.sum(n).over(ahead), F.lit(0)).cast("bigint").alias("_off"))
 
-    def by_entry(name: str) -> Column:
-        return F.when(F.col("_in") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
 
-    at = lines.join(splits, ["_f", "_b"]).where(~(F.col("_blank") & (by_entry("_s") == 0)))
-    every = (at.select("value", "_b", "_m", (F.col("_off") + by_entry("_r")).alias("pos")).groupBy("pos")
-             .agg(F.array_sort(F.collect_list(F.struct("_b", "_m", "value"))).alias("l"))
-             .select("pos", F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("record")))
+def records(spark: SparkSession, path: str, dialect: Dialect, max_record: int = MAX_RECORD) -> DataFrame:
+    """``(pos, record, error)``: numbered raw records, the header included as record 1; ``error`` names one that is too long."""
+    ship_package(spark)
+    text = spark.read.option("lineSep", "\n").text(path)
+    few = segment_bound(text) * SEGMENT_BYTES <= BROADCAST_LIMIT_BYTES
+    text = text.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                       F.monotonically_increasing_id().alias("_m")).select("*", F.xxhash64("_f", "_b").alias("_split"))
+    splits = split_states(text, dialect)
+    if few:
+        at = text.join(F.broadcast(splits), ["_f", "_b"])  # keeps the order of lines
+    else:
+        at = text.join(splits, ["_f", "_b"]).sortWithinPartitions("_f", "_b", "_m")
+
+    def numbered(lines: DataFrame, crossing: bool) -> DataFrame:
+        return _flagged(lines, dialect).select("value", "_split", "_b", "_o0", "_o1", "_blank", "_in", "_off").mapInArrow(
+            _numbered(max_record, crossing), "pos bigint, _b bigint, size bigint, value string")
+
+    pieces = (numbered(at.where("_in = 1 OR _out = 1"), True).groupBy("pos")
+              .agg((F.sum("size") + F.count(F.lit(1)) - 1).alias("size"), F.array_sort(F.collect_list(F.struct("_b", "value"))).alias("l")))
+    fits = (F.col("size") <= max_record) & F.forall("l", lambda x: x["value"].isNotNull())
+    crossed = pieces.select("pos", "size", F.when(fits, F.array_join(F.transform("l", lambda x: x["value"]), "\n")).alias("record"))
+    # a record ends with a line end outside quotes; only one that ends with its file may still be open
     ended = F.col("record").endswith("\r") & ~dialect.stays_open(F.col("record"))
-    return every.select("pos", F.when(ended, F.regexp_replace("record", r"\r\z", "")).otherwise(F.col("record")).alias("record"))
+    crossed = crossed.select("pos", "size", F.when(ended, _without_end()).otherwise(F.col("record")).alias("record"))
+    inner = numbered(at, False).select("pos", "size", F.col("value").alias("record")).select("pos", "size", _without_end().alias("record"))
+    error = F.when(F.col("record").isNull(), F.concat(F.lit("record of "), F.col("size").cast("string"), F.lit(f" bytes, over {max_record}")))
+    return inner.union(crossed).select("pos", "record", error.alias("error"))
+
+
+def _without_end() -> Column:
+    return F.when(F.col("record").endswith("\r"), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
 
 
-def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...], dialect: Dialect) -> DataFrame:
-    """``(pos, *columns, n_cells)`` of the data records, numbered from 1; missing cells are null, surplus ones count."""
-    cells = records(spark, path, dialect).where("pos > 1").select((F.col("pos") - 1).alias("pos"), dialect.cells(F.col("record")).alias("c"))
-    return cells.select("pos", *[F.get("c", F.lit(i)).alias(c) for i, c in enumerate(columns)], F.size("c").alias("n_cells"))
+def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...], dialect: Dialect, max_record: int = MAX_RECORD,
+             with_errors: bool = False) -> DataFrame:
+    """``(pos, *columns, n_cells[, error])`` of the data records, numbered from 1; missing cells are null, surplus ones count.
+    A record that is too long has null cells, no count of them, and an ``error``."""
+    cells = records(spark, path, dialect, max_record).where("pos > 1").select((F.col("pos") - 1).alias("pos"), dialect.cells(F.col("record")).alias("c"), "error")
+    return cells.select("pos", *[F.get("c", F.lit(i)).alias(c) for i, c in enumerate(columns)],
+                        F.when(F.col("c").isNotNull(), F.size("c")).alias("n_cells"), *(["error"] if with_errors else []))
 
 
 def header(spark: SparkSession, path: str, dialect: Dialect) -> DataFrame:
