@@ -38,7 +38,7 @@ from intakeyard.session import ship_package
 MARK = "▁"
 #: Pairs that hold at least one in so many of all pair rows go to all tasks.
 HEAVY = 65_536
-CACHE = 100_000
+CACHE = 200_000
 #: Characters of text aligned at a time (one text at least).
 BLOCK_CHARS = 1 << 20
 #: B merges nothing over the start of a run of spaces (checked against its pieces).
@@ -112,13 +112,12 @@ class Links:
         self.n_a, self.n_b = (np.array([len(r) for r in rows], np.int64) for rows in (a_rows, b_rows))
         a, b = (np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64) for rows in (a_rows, b_rows))
         a_end, b_end = np.cumsum(tool.a_size[a]), np.cumsum(tool.b_size[b])
-        cuts = np.union1d(a_end, b_end)
-        at_a, at_b = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
-        both = np.zeros((2, len(cuts)), bool)
-        both[0, at_a] = both[1, at_b] = True
-        common = both[0] & both[1]
-        start = np.concatenate([[0], cuts[:-1]])[:len(cuts)]
-        a_of, b_of = np.searchsorted(a_end, start, "right"), np.searchsorted(b_end, start, "right")
+        mark = np.zeros((a_end[-1] if len(a_end) else 0) + 1, np.uint8)  # one per byte of the texts at hand
+        mark[a_end] |= 1
+        mark[b_end] |= 2
+        ends = mark[np.flatnonzero(mark)]
+        at_a, at_b, common = np.flatnonzero(ends & 1), np.flatnonzero(ends & 2), ends == 3
+        a_of, b_of = np.cumsum(ends & 1) - (ends & 1), np.cumsum(ends >> 1) - (ends >> 1)  # the tokens between a cut and the one before
         self.a, self.b = a[a_of], b[b_of]
         self.doc = np.repeat(np.arange(len(a_rows)), self.n_a)[a_of]
         # a group ends with each common cut; a text ends with one
@@ -138,7 +137,9 @@ class Links:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``(text, a, b, links)``: each pair once per text, in order of text."""
-        key, n = np.unique((self.doc << 48) | (self.a << 24) | self.b, return_counts=True)
+        key = np.sort((self.doc << 48) | (self.a << 24) | self.b)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+        n, key = np.diff(np.append(first, len(key))), key[first]
         return key >> 48, (key >> 24) & 0xFFFFFF, key & 0xFFFFFF, n
 
 
