@@ -116,6 +116,13 @@ def _pack(wanted: np.ndarray):
     return run
 
 
+def packed_texts(rows: DataFrame, needed: DataFrame, carry: list[str]) -> DataFrame:
+    """``(cls, *carry, packed)``: the texts of ``needed`` (``key``, ``cls``, ``carry``), found in ``rows`` (``key``, ``text``)."""
+    needed = saved(needed)
+    texts = rows.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(_pack(_filter(needed)), "key string, packed binary")
+    return texts.join(needed.hint("shuffle_hash"), "key").select("cls", *carry, "packed")
+
+
 def _filter(keys: DataFrame) -> np.ndarray:
     """A Bloom filter of the column ``key``: ``FILTER_BITS`` bits, whatever the number of keys (a full one lets all pass)."""
     h = F.xxhash64("key")
@@ -255,9 +262,8 @@ def linked_classes(rows: DataFrame, classes: DataFrame, members: DataFrame, veri
     ``rows`` has ``(key, text)``, ``classes`` a ``key`` per ``cls`` and the ``carry`` columns that ``verify`` reads."""
 
     def links(tasks: DataFrame) -> DataFrame:
-        needed = saved(classes.join(tasks.select("cls").distinct(), "cls", "left_semi").select("key", "cls", *carry))
-        texts = rows.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(_pack(_filter(needed)), "key string, packed binary")
-        texts = texts.join(needed.hint("shuffle_hash"), "key").select("cls", *carry, "packed")
+        needed = classes.join(tasks.select("cls").distinct(), "cls", "left_semi").select("key", "cls", *carry)
+        texts = packed_texts(rows, needed, carry)
         return tasks.join(texts, "cls").groupBy("bucket", "band", "bi", "bj").applyInArrow(verify, "a binary, b binary")
 
     roots = components(links(within_blocks(members)))

@@ -4,14 +4,17 @@
 2. All n-grams are put in one order, rare ones first as a fixed-size table of counts over all documents tells, then by hash.
    Two sets that link share one of the first ``n - ceil(t * n) + 1`` n-grams of each (``n`` its size, ``t`` the threshold), so
    only these columns of the incidence matrix name the blocks to multiply. The order decides how large blocks get, never
-   what is found, so errors of the table cost nothing but time.
-3. A block holds the documents of such a column (columns with the same documents are one block; a column of very many is cut
-   into blocks that meet through a hub first, then only outside its largest component). A task multiplies the block's
-   incidence matrix, all n-grams of its documents, with its transpose: columns with the same documents are one weighted column,
-   and column block by column block overlaps add up. A pair leaves as soon as its overlap so far and what both sides still
-   have cannot reach the least overlap that their sizes ask for; rows without pairs leave the product.
-4. The full overlaps that reach the bound are links. A task returns a spanning forest of its links, and components come
-   from these by star contraction.
+   what is found, so errors of the table cost nothing but time. A column of very many documents is cut into blocks.
+3. Blocks are multiplied in condensed form first: a document's n-grams counted in ``PROFILE`` column groups. What two documents
+   share is at most the sum of the lesser counts, and a pair whose sum is below the least overlap that the two sizes ask for
+   is discarded without a text being moved. What is left of a block falls into sets of documents; equal sets are one.
+4. A task multiplies the incidence matrix of such a set, all n-grams of its documents, with its transpose: columns with the
+   same documents are one weighted column, and column block by column block overlaps add up. A pair leaves as soon as its
+   overlap so far and what both sides still have cannot reach the least overlap; rows without pairs leave the product. Full
+   overlaps that reach it are links, and a task returns a spanning forest of them.
+5. This is done twice: for the first ``LEADS`` columns of each document only, which joins most of each group of near copies, then
+   for all columns that still hold documents of different components, pairs of one component left out. Components come
+   from the links by star contraction.
 
 Defined results: null, empty and all-white texts have an empty set and link with nothing; a text of fewer words than
 ``width`` is one n-gram; repeated rows link (same set); null ids form no smallest id unless a whole component has none; an
@@ -20,21 +23,25 @@ empty table gives an empty result. Only the id and the text are read, so other n
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from intakeyard.llm.common import documents, keyed, saved
-from intakeyard.llm.near_dedup import _unpacked, linked_classes, members_of
+from intakeyard.llm.components import components
+from intakeyard.llm.near_dedup import _unpacked, across_blocks, members_of, packed_texts, within_blocks
 from intakeyard.llm.shingles import digest, shingle_hashes, words_of
 from intakeyard.llm.textbytes import blocks_of, text_views
 from intakeyard.session import ship_package
 
 #: Cells of the table of counts (its size whatever the number of n-grams), and columns multiplied at a time.
 CELLS, COLUMNS = 1 << 18, 4096
+#: Column groups of the condensed product, and columns of a document in the first round.
+PROFILE, LEADS = 128, 2
 WIDTH = 3
 
 
@@ -76,7 +83,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _sketch(width: int, percent: int, levels: np.ndarray):
-    """``(key, id, cls, n, prefix)`` for batches of ``(key, id, text)``."""
+    """``(key, id, cls, n, prefix, profile)`` for batches of ``(key, id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,10 +96,57 @@ def _sketch(width: int, percent: int, levels: np.ndarray):
                 most = prefix_length(n, percent) * (n > 0)
                 first = x[order][rank < most[doc]]
                 ends = np.concatenate([[0], np.cumsum(most)]).astype(np.int32)
+                cell = (x >> np.uint64(40)).astype(np.int64) & (PROFILE - 1)
+                profile = np.minimum(np.bincount(doc * PROFILE + cell, minlength=(b - a) * PROFILE), 255).astype(np.uint8).reshape(b - a, PROFILE)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([digest(words_of(v)) for v in views[a:b]], pa.binary()),
-                     pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(first.view(np.int64)))],
-                    names=["key", "id", "cls", "n", "prefix"])
+                     pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(first.view(np.int64))),
+                     pa.array([r.tobytes() for r in profile], pa.binary())], names=["key", "id", "cls", "n", "prefix", "profile"])
+
+    return run
+
+
+def least_overlap(size: np.ndarray, percent: int) -> np.ndarray:
+    """The least overlap of a link, for each two rows."""
+    return -(-percent * (size[:, None] + size[None, :]) // (100 + percent))
+
+
+def possible_links(profile: np.ndarray, size: np.ndarray, root: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of different roots whose condensed product reaches the least overlap, as a boolean matrix.
+
+    A count of 255 stands for any larger one; a pair that has it on both sides is never discarded by it."""
+    out = (np.minimum(size[:, None], size[None, :]) >= least_overlap(size, percent)) & (root[:, None] != root[None, :])
+    full = profile == 255
+    for i in np.flatnonzero(out.any(1)):
+        js = np.flatnonzero(out[i, i + 1:]) + i + 1
+        most = np.minimum(profile[i], profile[js]).sum(1, dtype=np.int64)
+        unknown = (full[i] & full[js]).any(1)
+        keep = unknown | ((100 + percent) * most >= percent * (size[i] + size[js]))
+        out[i, i + 1:] = False
+        out[i, js[keep]] = True
+    upper = np.triu(out, 1)
+    return upper | upper.T
+
+
+def _condensed(percent: int):
+    """``(group, cls)``: the sets of a block's documents that its condensed product leaves connected."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cls = table.column("cls").to_pylist()
+        rows = sorted({c: i for i, c in enumerate(cls)}.values())
+        size = table.column("n").to_numpy()[rows]
+        root = np.unique(np.array([table.column("root")[i].as_py() for i in rows], dtype=object), return_inverse=True)[1]
+        profile = np.array([np.frombuffer(table.column("profile")[i].as_py(), np.uint8) for i in rows])
+        pairs = forest(possible_links(profile, size, root, percent))
+        of = np.arange(len(rows))
+        for i, j in pairs:  # a tree's edges come from its first row on
+            of[j] = of[i]
+        out = []
+        for k in np.unique(of[[i for i, _ in pairs]]) if pairs else []:
+            members = sorted(cls[rows[i]] for i in np.flatnonzero(of == k))
+            name = hashlib.blake2b(b"".join(members), digest_size=16).digest()
+            out += [(name, c) for c in members]
+        return pa.table({"group": pa.array([g for g, _ in out], pa.binary()), "cls": pa.array([c for _, c in out], pa.binary())})
 
     return run
 
@@ -102,7 +156,7 @@ def overlap_links(doc: np.ndarray, gram: np.ndarray, size: np.ndarray, percent:
 
     ``size`` is the number of entries of each row."""
     c = len(size)
-    need = -(-percent * (size[:, None] + size[None, :]) // (100 + percent))  # the least overlap of a link
+    need = least_overlap(size, percent)
     open_ = np.minimum(size[:, None], size[None, :]) >= need
     np.fill_diagonal(open_, False)
     open_ &= size[:, None] > 0
@@ -192,15 +246,31 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = keyed(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
     sketch = saved(rows.select("key", "id", "text").mapInArrow(_sketch(width, percent, levels_of(rows, width)),
-                                                               f"key string, id {id_type}, cls binary, n bigint, prefix array<bigint>"))
-    classes = saved(sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key"), F.max("n").alias("n"), F.max("prefix").alias("prefix")))
+                                                               f"key string, id {id_type}, cls binary, n bigint, prefix array<bigint>, profile binary"))
+    classes = saved(sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key"), F.max("n").alias("n"),
+                                                             F.max("prefix").alias("prefix"), F.max("profile").alias("profile")))
     members = saved(members_of(classes.select("cls", F.explode("prefix").alias("bucket")), classes.select("cls", "n")))
-    roots = linked_classes(rows, classes, members, _multiply(width, percent), [])
+
+    def links(tasks: DataFrame, roots: DataFrame) -> DataFrame:
+        known = classes.select("cls", "n", "profile").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+        condensed = tasks.join(known.select("cls", "n", "profile", F.coalesce("root", "cls").alias("root")), "cls")
+        groups = saved(condensed.groupBy("bucket", "band", "bi", "bj").applyInArrow(_condensed(percent), "group binary, cls binary").distinct())
+        texts = packed_texts(rows, classes.select("key", "cls").join(groups.select("cls").distinct(), "cls", "left_semi"), [])
+        return groups.join(texts, "cls").groupBy("group").applyInArrow(_multiply(width, percent), "a binary, b binary")
+
+    first = Window.partitionBy("cls").orderBy("bucket")
+    lead = members.withColumn("k", F.row_number().over(first)).where(F.col("k") <= LEADS).drop("k")
+    roots = components(links(within_blocks(lead), docs.sparkSession.createDataFrame([], "node binary, root binary")))
+    here = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    mixed = here.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("bucket")
+    left = saved(members.join(mixed, "bucket").select(*members.columns))
+    rest = within_blocks(left.where("blocks = 1")).unionByName(across_blocks(left, roots))
+    roots = components(links(rest, roots).union(roots.select("node", "root")))
     linked = roots.join(classes.select(F.col("cls").alias("node"), "id"), "node")
     smallest = linked.groupBy("root").agg(F.min("id").alias("component_id"))
     named = linked.join(smallest, "root").select(F.col("node").alias("cls"), "component_id")
     alone = classes.join(named, "cls", "left_anti").select("cls", F.col("id").alias("component_id"))
-    return (sketch.drop("prefix").join(named.unionByName(alone), "cls", "left")
+    return (sketch.drop("prefix", "profile").join(named.unionByName(alone), "cls", "left")
             .select("key", "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
 
 

@@ -81,6 +81,24 @@ def test_product(monkeypatch, columns):
             assert all(want[i][j] for i, j in tree) and len(tree) == len(sets) - _parts(want)
 
 
+@pytest.mark.parametrize("factor", [1, 300])
+def test_condensed_product_discards_no_link(factor):
+    """Whatever the counts, also above what a byte holds, a pair that links is left."""
+    rng = np.random.default_rng(3)
+    base = rng.random(60 * factor) < 0.6
+    sets = [set(np.flatnonzero(base ^ (rng.random(len(base)) < rng.choice([0.0, 0.03, 0.1, 0.5]))).tolist()) for _ in range(20)]
+    cells = [np.minimum(np.bincount(np.array(sorted(s)) % 3, minlength=ngram_join.PROFILE), 255).astype(np.uint8) for s in sets]
+    size, root = np.array([len(s) for s in sets]), np.arange(20) // 2
+    for percent in (90, 50):
+        got = ngram_join.possible_links(np.array(cells), size, root, percent)
+        assert (got == got.T).all()
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                link = 100 * len(a & b) >= percent * len(a | b)
+                assert got[i, j] or not link or root[i] == root[j]
+                assert not (got[i, j] and root[i] == root[j])
+
+
 def _parts(adj):
     seen, n = set(), 0
     for s in range(len(adj)):
