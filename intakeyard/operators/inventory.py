@@ -2,9 +2,8 @@
 
 Metadata (schemas, file listings) is one row per table or column and is built on
 the driver from the catalog; anything that reads data (counts, key checks) is a
-Spark job per table. Candidate keys are screened with HyperLogLog first
-(``approx_count_distinct``), so only columns that could be unique pay for an exact
-shuffle check.
+Spark job per table. Candidate keys are ruled out on proof only (a null, or a value met twice in a
+bounded number of rows); the columns left pay for one exact shuffle. Keys of several columns are in ``operators.keys``.
 """
 
 from __future__ import annotations
@@ -18,9 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COLUMN_SCHEMA = "table_name string, position int, column_name string, data_type string, nullable boolean"
-# HLL relative error 5% (512 registers: a small, codegen-friendly buffer per column);
-# below 80% distinct (4 sigma) a column cannot be a key. The screen only prunes:
-# survivors are checked exactly.
 PROOF_ROWS = 20_000  # rows in which a repeated value is looked for before the full check
 EMPTY_BUT_LARGE_BYTES = 100 * 1024 * 1024
 SCREEN_THREADS = 4

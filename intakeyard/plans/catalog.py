@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
-from intakeyard.operators import artifacts, compare, inventory, ledger, profile, publish, reports, rules
+from intakeyard.operators import artifacts, compare, inventory, keys, ledger, profile, publish, reports, rules
 from intakeyard.plans.vendor import vendor_csv, vendor_csv_path, vendor_lines, vendor_prepared
 from intakeyard.session import configure
 from intakeyard.sources import csv_records, files, positions, standins, tables
@@ -542,6 +542,12 @@ def inv_candidate_keys(spark, sf_dir):
     return inventory.candidate_keys(spark, _frames(spark, sf_dir))
 
 
+@query
+def inv_composite_keys(spark, sf_dir):
+    """Minimal keys of up to three columns of every table."""
+    return keys.composite_keys(spark, _frames(spark, sf_dir))
+
+
 @query
 def inv_bounded_counts(spark, sf_dir, timeout_s: float = 120.0):
     return inventory.bounded_counts(spark, _frames(spark, sf_dir), timeout_s)

@@ -7,6 +7,8 @@ never with the Spark code under test.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from intakeyard.sources.standins import CSV_HEADER, with_clause
 
 ORACLE: dict[str, str] = {}
@@ -431,26 +433,49 @@ COLUMNS_SQL = f"""SELECT table_name, CAST(ordinal_position AS INTEGER) AS positi
 FROM information_schema.columns WHERE table_name IN {IN_TABLES}"""
 
 
-def _atomic_columns(sf_dir: str = "/root/testdata/sf0.01") -> list[tuple[str, str]]:
-    """Atomic columns per table, from the Parquet footers (no data read)."""
-    import pyarrow.parquet as pq
-    import pyarrow.types as pat
-
-    out = []
-    for t in TABLE_NAMES:
-        for f in pq.read_schema(f"{sf_dir}/{t}.parquet"):
-            if not (pat.is_list(f.type) or pat.is_struct(f.type) or pat.is_map(f.type)):
-                out.append((t, f.name))
-    return out
+# The columns of the given tables that hold single values, in table order.
+ATOMIC_COLUMNS = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "supplier": ("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_returnflag", "l_linestatus", "l_shipdate"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "embeddings": ("vec_id", "label"),
+    "pages": ("page_id", "url", "html"),
+    "benchmark": ("item_id", "text"),
+    "labels": ("doc_id", "quality", "toxic"),
+    "conversations": ("conv_id", "turn", "role", "text"),
+}
 
 
 def _candidate_keys_sql() -> str:
     parts = [f"SELECT '{t}' AS table_name, '{c}' AS column_name FROM {t} "
              f"HAVING count(*) > 0 AND count({c}) = count(*) AND count(DISTINCT {c}) = count(*)"
-             for t, c in _atomic_columns()]
+             for t, cols in ATOMIC_COLUMNS.items() for c in cols]
     return "\nUNION ALL\n".join(parts)
 
 
+def _composite_keys_sql(width: int = 3) -> str:
+    """Every combination counted on its own; of the unique ones those that contain no other."""
+    parts = []
+    for t, cols in ATOMIC_COLUMNS.items():
+        for k in range(1, width + 1):
+            for c in combinations(range(len(cols)), k):
+                names = [cols[i] for i in c]
+                whole = " AND ".join(f"count({n}) = count(*)" for n in names)
+                parts.append(f"SELECT '{t}' AS t, {k} AS k, {sum(1 << i for i in c)} AS m, '{','.join(names)}' AS names, "
+                             f"count(*) > 0 AND {whole} AND count(DISTINCT ({', '.join(names)})) = count(*) AS u FROM {t}")
+    union = "\nUNION ALL\n".join(parts)
+    return f"""WITH c AS MATERIALIZED ({union})
+SELECT a.t AS table_name, a.k AS n_columns, a.names AS key_columns FROM c a
+WHERE a.u AND NOT EXISTS (SELECT 1 FROM c b WHERE b.t = a.t AND b.u AND b.m <> a.m AND (a.m & b.m) = b.m)"""
+
+
 ORACLE.update({
     "inv_relations": f"""SELECT table_name, CAST(count(*) AS INTEGER) AS n_columns
 FROM information_schema.columns WHERE table_name IN {IN_TABLES} GROUP BY table_name""",
@@ -461,16 +486,14 @@ FROM information_schema.columns WHERE table_name IN {IN_TABLES} GROUP BY table_n
         f"SELECT '{t}' AS table_name, count(*) AS exact_rows, CAST(NULL AS VARCHAR) AS count_error FROM {t}"
         for t in TABLE_NAMES),
 })
-try:
-    ORACLE["inv_candidate_keys"] = _candidate_keys_sql()
-    ORACLE["inv_nested"] = f"""WITH c AS ({COLUMNS_SQL}), k AS ({_candidate_keys_sql()})
+ORACLE["inv_candidate_keys"] = _candidate_keys_sql()
+ORACLE["inv_composite_keys"] = _composite_keys_sql()
+ORACLE["inv_nested"] = f"""WITH c AS ({COLUMNS_SQL}), k AS ({_candidate_keys_sql()})
 SELECT c.table_name, CAST(count(*) AS INTEGER) AS n_columns,
   string_agg(column_name || ':' || data_type, ',' ORDER BY position) AS columns,
   coalesce((SELECT string_agg(k.column_name, ',' ORDER BY k.column_name) FROM k
             WHERE k.table_name = c.table_name), '') AS candidate_keys
 FROM c GROUP BY c.table_name"""
-except Exception:  # noqa: BLE001 - footers unavailable: those two fall back to rows-only
-    pass
 
 
 # ---- S, K6, A17, P8 ------------------------------------------------------------------

@@ -33,10 +33,7 @@ def con():
     return c
 
 
-SLOW = {"inv_candidate_keys", "inv_nested"}
-
-
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cur = con.execute(entry.oracle_sql()[name])
