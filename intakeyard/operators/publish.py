@@ -3,9 +3,14 @@
 Data first, ledger row last: lines are parsed once, accepted rows land in a folder of their own while the
 verdicts are counted on the way (an ``Observation``, no second job); uniqueness is checked and the clustered
 ``run_id=`` folder written from there, and its rows are counted again from storage. Only an accepted
-verdict appends the ``succeeded`` ledger row, and that row is the commit. Readers
+verdict adds the ``succeeded`` ledger row, and that row is the commit. Readers
 resolve the current version through the ledger, so a failed or half-written run
 is invisible and the previous version stays current.
+
+The run ledger has numbered commits (``sources.commits``). A run's ending is a compare-and-set: it is decided on a version of the
+ledger and written as the next one only if no other writer came first, else decided anew. So a run ends exactly once, and a
+run that another process has superseded cannot succeed. The source's listing is taken before the load; a file that
+changed, came or went until the commit ends the run as ``failed``.
 """
 
 from __future__ import annotations
@@ -18,8 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intakeyard.operators import rules as R
+from intakeyard.operators import artifacts
 from intakeyard.operators.ledger import SUPERSEDED
 from intakeyard.sources import files
+from intakeyard.sources.commits import CommitLog
 
 COMPANIES_SCHEMA = T.StructType(
     [T.StructField(f, T.IntegerType() if t == "int" else T.StringType(), True)
@@ -116,51 +123,65 @@ def stage(df: DataFrame, table_root: str, run_id: str, *, cluster_by: str = "id"
     return path, int(obs.get["rows"])
 
 
+def runs_log(spark: SparkSession, ledger_path: str) -> CommitLog:
+    return CommitLog(spark, ledger_path, {"": RUNS_SCHEMA})
+
+
+def _run_row(spark: SparkSession, row: dict) -> dict[str, DataFrame]:
+    return {"": spark.createDataFrame([tuple(row.get(f.name) for f in RUNS_SCHEMA.fields)], RUNS_SCHEMA).coalesce(1)}
+
+
 def append_run(spark: SparkSession, ledger_path: str, row: dict) -> None:
-    """Append one ledger row (the commit point for ``succeeded``)."""
-    spark.createDataFrame([tuple(row.get(f.name) for f in RUNS_SCHEMA.fields)], RUNS_SCHEMA) \
-        .coalesce(1).write.mode("append").parquet(ledger_path)
+    """Add one ledger row, whatever else is there."""
+    runs_log(spark, ledger_path).update(lambda seen: _run_row(spark, row))
+
+
+def start_run(spark: SparkSession, ledger_path: str, row: dict) -> None:
+    """D3: one commit that gives the stale runs of the row's target their ``failed`` row and adds the new ``running`` one."""
+    log = runs_log(spark, ledger_path)
+
+    def rows(seen: int) -> dict[str, DataFrame]:
+        runs = log.read(upto=seen).where(F.col("target") == row["target"])
+        open_runs = runs.groupBy("run_id").agg(F.count_if(F.col("status") != "running").alias("_ended"), F.min("snapshot_id").alias("snapshot_id"),
+                                               F.min("started_at").alias("started_at")).where("_ended = 0")
+        stale = open_runs.select("run_id", "snapshot_id", F.lit(row["target"]).alias("target"), F.lit("failed").alias("status"), "started_at",
+                                 F.current_timestamp().alias("finished_at"), F.lit(None).cast("bigint").alias("row_count"),
+                                 F.lit(SUPERSEDED).alias("error"))
+        return {"": stale.unionByName(_run_row(spark, row)[""]).coalesce(1)}
+
+    log.update(rows)
 
 
-def _supersede_stale(spark: SparkSession, ledger_path: str, target: str) -> None:
-    """D3: runs of the target that began and never ended get their ``failed`` row."""
-    if not files.exists(spark, ledger_path):
-        return
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(ledger_path).where(F.col("target") == target)
-    open_runs = runs.groupBy("run_id").agg(F.count_if(F.col("status") != "running").alias("_ended"), F.min("snapshot_id").alias("snapshot_id"),
-                                           F.min("started_at").alias("started_at")).where("_ended = 0")
-    rows = open_runs.select("run_id", "snapshot_id", F.lit(target).alias("target"), F.lit("failed").alias("status"), "started_at",
-                            F.current_timestamp().alias("finished_at"), F.lit(None).cast("bigint").alias("row_count"),
-                            F.lit(SUPERSEDED).alias("error"))
-    if not rows.isEmpty():
-        rows.coalesce(1).write.mode("append").parquet(ledger_path)
+def end_run(spark: SparkSession, ledger_path: str, row: dict) -> bool:
+    """The guarded transition ``running -> succeeded | failed``; false if the run is not running (any more)."""
+    log = runs_log(spark, ledger_path)
 
+    def rows(seen: int) -> dict[str, DataFrame] | None:
+        got = log.read(upto=seen).where(F.col("run_id") == row["run_id"]).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") != "running").alias("ended")).first()
+        return _run_row(spark, row) if got["n"] > 0 and got["ended"] == 0 else None
 
-def _still_running(spark: SparkSession, ledger_path: str, run_id: str) -> bool:
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(ledger_path).where(F.col("run_id") == run_id)
-    return runs.where(F.col("status") != "running").isEmpty()
+    return log.update(rows) is not None
 
 
-def publish(spark: SparkSession, prepared: DataFrame, table_root: str, ledger_path: str, *, target: str, snapshot_id: str) -> dict:
+def publish(spark: SparkSession, prepared: DataFrame, table_root: str, ledger_path: str, *, target: str, snapshot_id: str,
+            source: str | None = None) -> dict:
     """Land, check, cluster, count again, then commit through the ledger; lines are parsed once.
 
     Stale runs of the target are superseded and a ``running`` row comes first; the run ends in one ``succeeded``
     or ``failed`` row, written only while it is still running. An error leaves a ``failed`` row with its tail and
-    is raised again; its folders stay unreferenced. A published version with other columns refuses the load.
+    is raised again; its folders stay unreferenced. A published version with other columns refuses the load. ``source``, the
+    file or folder that ``prepared`` reads, must be the same before the load and at the commit (D8).
     """
     run_id = str(uuid.uuid4())
     started = datetime.now(timezone.utc).replace(tzinfo=None)
+    run = dict(run_id=run_id, snapshot_id=snapshot_id, target=target, started_at=started)
 
-    def record(status: str, **more) -> bool:
-        if status != "running" and not _still_running(spark, ledger_path, run_id):
-            return False
-        done = None if status == "running" else datetime.now(timezone.utc).replace(tzinfo=None)
-        append_run(spark, ledger_path, dict(run_id=run_id, snapshot_id=snapshot_id, target=target, status=status,
-                                            started_at=started, finished_at=done, **more))
-        return True
+    def end(status: str, **more) -> bool:
+        return end_run(spark, ledger_path, dict(run, status=status, finished_at=datetime.now(timezone.utc).replace(tzinfo=None), **more))
 
-    _supersede_stale(spark, ledger_path, target)
-    record("running")
+    before = _identity(spark, source)
+    start_run(spark, ledger_path, dict(run, status="running"))
     landed = f"{table_root.rstrip('/')}/_landing/run_id={run_id}"
     try:
         reason, observed, stored = _target_reason(spark, table_root, ledger_path, target), 0, 0
@@ -173,18 +194,40 @@ def publish(spark: SparkSession, prepared: DataFrame, table_root: str, ledger_pa
             stored = spark.read.schema(COMPANIES_SCHEMA).parquet(path).count()
             if not stored == observed == seen["valid"]:
                 reason = f"wrote {observed} of {seen['valid']} rows but storage holds {stored}"
+        if reason is None:
+            reason = _drifted(spark, source, before)
     except Exception as e:
-        record("failed", error=f"{type(e).__name__}: {e}"[-8000:])
+        end("failed", error=f"{type(e).__name__}: {e}"[-8000:])
         raise
     finally:
         files.remove(spark, landed)
     if reason is not None:
-        record("failed", error=str(reason)[-8000:])
-    elif not record("succeeded", row_count=stored):
+        end("failed", error=str(reason)[-8000:])
+    elif not end("succeeded", row_count=stored):
         reason = SUPERSEDED
     return dict(run_id=run_id, status="succeeded" if reason is None else "failed", rows_observed=observed, rows_stored=stored, reason=reason)
 
 
+_LISTED = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()), T.StructField("modification_time", T.TimestampType())])
+
+
+def _identity(spark: SparkSession, source: str | None) -> DataFrame | None:
+    """The source's listing as it is now, written down (one row per file) so that it stays as it was."""
+    if source is None:
+        return None
+    path = f"{files.scratch_root(spark)}/listings/{uuid.uuid4().hex}"
+    artifacts.listing(spark, source).write.parquet(path)
+    return spark.read.schema(_LISTED).parquet(path)
+
+
+def _drifted(spark: SparkSession, source: str | None, before: DataFrame | None) -> str | None:
+    if before is None:
+        return None
+    changed = artifacts.drift(before, artifacts.listing(spark, source)).where("changed")
+    first = changed.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).first()
+    return None if first["n"] == 0 else f"source changed during the load: {first['n']} files, first {first['path']}"
+
+
 def _target_reason(spark: SparkSession, table_root: str, ledger_path: str, target: str) -> str | None:
     """The published version must have the declared columns, in order and by type."""
     path = current_path(spark, table_root, ledger_path, target)
@@ -196,7 +239,7 @@ def _target_reason(spark: SparkSession, table_root: str, ledger_path: str, targe
 
 def current_path(spark: SparkSession, table_root: str, ledger_path: str, target: str) -> str | None:
     """The folder of the latest succeeded run of ``target`` (None before the first)."""
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(ledger_path)
+    runs = runs_log(spark, ledger_path).read()
     best = (runs.filter((F.col("status") == "succeeded") & (F.col("target") == target))
             .agg(F.max_by("run_id", F.struct("finished_at", "run_id")).alias("r")).first())
     return None if best is None or best["r"] is None else f"{table_root.rstrip('/')}/run_id={best['r']}"
@@ -211,4 +254,4 @@ def orphan_stages(staged_runs: DataFrame, ledger_runs: DataFrame) -> DataFrame:
 def orphan_folders(spark: SparkSession, table_root: str, ledger_path: str) -> DataFrame:
     """K3 on storage: ``(run_id)`` of run folders that hold files and that no succeeded run references."""
     held = files.listing(spark, table_root, "*.parquet").select(F.regexp_extract("path", "/run_id=([^/]+)/", 1).alias("run_id")).distinct()
-    return orphan_stages(held, spark.read.schema(RUNS_SCHEMA).parquet(ledger_path))
+    return orphan_stages(held, runs_log(spark, ledger_path).read())

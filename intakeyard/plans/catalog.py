@@ -396,9 +396,10 @@ def publish_roundtrip(spark, sf_dir):
     bad = vendor_prepared(spark, sf_dir)
     publish.publish(spark, bad, table_root, ledger_path,
                     target=COMPANIES_TARGET, snapshot_id="vendor-defects")
-    good = rules.VENDOR.prepare(positions.read_lines(spark, clean_jsonl(spark, sf_dir)))
+    source = clean_jsonl(spark, sf_dir)
+    good = rules.VENDOR.prepare(positions.read_lines(spark, source))
     publish.publish(spark, good, table_root, ledger_path,
-                    target=COMPANIES_TARGET, snapshot_id="vendor-clean")
+                    target=COMPANIES_TARGET, snapshot_id="vendor-clean", source=source)
     path = publish.current_path(spark, table_root, ledger_path, COMPANIES_TARGET)
     return spark.read.schema(publish.COMPANIES_SCHEMA).parquet(path)
 

@@ -27,6 +27,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, hpath = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder that holds files unless the target is there already (false then); check and rename are one step."""
+    jvm = spark.sparkContext._jvm
+    fs, dst = _fs(spark, target)
+    src = jvm.org.apache.hadoop.fs.Path(source)
+    try:
+        if fs.getUri().getScheme() == "file":  # the system call: it does not replace a folder that holds files
+            options = spark.sparkContext._gateway.new_array(jvm.java.nio.file.CopyOption, 1)
+            options[0] = jvm.java.nio.file.StandardCopyOption.ATOMIC_MOVE
+            local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (src, dst)]
+            jvm.java.nio.file.Files.move(*local, options)
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(src, dst, options)
+    except Exception:
+        if exists(spark, target) and exists(spark, source):
+            return False
+        raise
+    return True
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package's own making, if it is there."""
     fs, hpath = _fs(spark, path)
@@ -35,7 +63,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 # Bump when a file-writing rule changes; the stand-in SQL is part of the key too, so a
 # changed definition never reuses files written by an older one.
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 
 
 def fixture_dir(spark: SparkSession, sf_dir: str, name: str) -> str:

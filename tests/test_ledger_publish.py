@@ -103,3 +103,76 @@ def test_error_leaves_a_failed_row(spark, lines_file, tmp_path):
     assert sorted(r.status for r in runs) == ["failed", "running"] and len({r.run_id for r in runs}) == 1
     assert "broken source" in next(r.error for r in runs if r.status == "failed")
     assert publish.current_path(spark, root, led, "c") is None
+
+
+GOOD = ('{"id":"%s","website":null,"name":"A","founded":1,"size":null,"locality":null,'
+        '"region":null,"country":null,"industry":null,"linkedin_url":null}')
+
+
+def test_a_run_ends_exactly_once(spark, tmp_path):
+    """Many processes end the same run at once: one ending is written, and every other caller is told so."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    led = str(tmp_path / "ledger")
+    run = dict(run_id="r1", snapshot_id="s", target="c")
+    publish.start_run(spark, led, dict(run, status="running"))
+    ends = [dict(run, status="succeeded" if k % 2 else "failed", row_count=k) for k in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        told = list(pool.map(lambda row: publish.end_run(spark, led, row), ends))
+    rows = publish.runs_log(spark, led).read().where("status <> 'running'").collect()
+    assert sum(told) == 1 and len(rows) == 1 and rows[0].row_count == told.index(True)
+    assert not publish.end_run(spark, led, dict(run, status="succeeded"))
+    assert not publish.end_run(spark, led, dict(run, run_id="never started", status="succeeded"))
+
+
+def test_two_publishers_of_one_target(spark, lines_file, tmp_path):
+    """Loads of one target at the same time: whoever starts later supersedes, and each run ends exactly once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    root, led = str(tmp_path / "t"), str(tmp_path / "ledger")
+    feeds = [R.VENDOR.prepare(positions.read_lines(spark, lines_file([GOOD % k], name=f"g{k}"))) for k in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        done = list(pool.map(lambda p: publish.publish(spark, p, root, led, target="c", snapshot_id="s"), feeds))
+    runs = publish.runs_log(spark, led).read()
+    ended = {r.run_id: r.n for r in runs.where("status <> 'running'").groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+    assert set(ended) == {d["run_id"] for d in done} and set(ended.values()) == {1}
+    good = {r.run_id for r in runs.where("status = 'succeeded'").collect()}
+    assert good == {d["run_id"] for d in done if d["status"] == "succeeded"} and len(good) >= 1
+    assert all(d["reason"].startswith("Superseded") for d in done if d["status"] == "failed")
+    assert publish.current_path(spark, root, led, "c").split("run_id=")[1] in good
+
+
+@pytest.mark.parametrize("how", ["touched", "grown", "new", "gone", "same"])
+def test_a_source_that_changes_during_the_load(spark, lines_file, tmp_path, monkeypatch, how):
+    import os
+
+    folder = lines_file([GOOD % "a"], [GOOD % "b"], name="src")
+    prepared = R.VENDOR.prepare(positions.read_lines(spark, folder)).cache()
+    prepared.count()
+    real = publish.stage
+
+    def meddle(*args, **kw):
+        out = real(*args, **kw)
+        first = sorted(os.listdir(folder))[0]
+        if how == "touched":
+            os.utime(f"{folder}/{first}", (1, 1))
+        elif how == "grown":
+            with open(f"{folder}/{first}", "a") as f:
+                f.write("\n")
+        elif how == "new":
+            with open(f"{folder}/zz.txt", "w") as f:
+                f.write("x")
+        elif how == "gone":
+            os.rename(f"{folder}/{first}", f"{tmp_path}/elsewhere")
+        return out
+
+    monkeypatch.setattr(publish, "stage", meddle)
+    root, led = str(tmp_path / "t"), str(tmp_path / "ledger")
+    done = publish.publish(spark, prepared, root, led, target="c", snapshot_id="s", source=folder)
+    prepared.unpersist()
+    if how == "same":
+        assert done["status"] == "succeeded"
+    else:
+        assert done["status"] == "failed" and done["reason"].startswith("source changed during the load: 1 files")
+        assert publish.current_path(spark, root, led, "c") is None
+        assert [r.status for r in publish.runs_log(spark, led).read().where("status <> 'running'").collect()] == ["failed"]
