@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
-from intakeyard.operators import artifacts, compare, inventory, keys, ledger, profile, publish, reports, rules
+from intakeyard.operators import artifacts, compare, inventory, keys, ledger, profile, publish, registry, reports, rules
 from intakeyard.plans.vendor import vendor_csv, vendor_csv_path, vendor_lines, vendor_prepared
 from intakeyard.session import configure
 from intakeyard.sources import csv_records, files, positions, standins, tables
@@ -249,6 +249,31 @@ def register_files(spark, sf_dir):
     return ledger.register(_reg(spark, sf_dir, "reg_requested"), _reg(spark, sf_dir, "reg_stored"))
 
 
+def _registered_twice(spark, sf_dir):
+    """A ledger of its own with the first request, the second, and the second once more, which must add nothing."""
+    log = registry.registry(spark, f"{files.fixture_dir(spark, sf_dir, 'registry')}-{files.fresh_name()}")
+    registry.register(log, _reg(spark, sf_dir, "reg_first_snapshots"), _reg(spark, sf_dir, "reg_first"))
+    out, _ = registry.register(log, _reg(spark, sf_dir, "reg_second_snapshots"), _reg(spark, sf_dir, "reg_second"))
+    again, number = registry.register(log, _reg(spark, sf_dir, "reg_second_snapshots"), _reg(spark, sf_dir, "reg_second"))
+    if number is not None:
+        raise AssertionError("a repeated registration wrote a commit")
+    return log, out
+
+
+@query
+def ledger_registration(spark, sf_dir):
+    """The stored files after two requests, with the commit that added each."""
+    log, _ = _registered_twice(spark, sf_dir)
+    return log.read("files").select("snapshot_id", "role", "sha256", "byte_size", "commit")
+
+
+@query
+def registration_outcomes(spark, sf_dir):
+    """What became of each file of the second request."""
+    _, out = _registered_twice(spark, sf_dir)
+    return out.select("snapshot_id", "role", "status", "refused")
+
+
 @query
 def supersede_runs(spark, sf_dir):
     return ledger.supersede(_reg(spark, sf_dir, "runs"), SUPERSEDE_TARGET)

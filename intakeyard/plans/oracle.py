@@ -549,3 +549,27 @@ SELECT coalesce(e.table_name, o.table_name) AS table_name, coalesce(e.position,
   e.expected_column IS NOT DISTINCT FROM o.observed_column AND e.expected_type IS NOT DISTINCT FROM o.observed_type AS matches
 FROM e FULL OUTER JOIN o ON e.table_name = o.table_name AND e.position = o.position""",
 })
+
+
+# ---- K4, D1, D2, S14: the stored ledger -------------------------------------------------------
+
+# Unique contents, so every file of the first request is stored; the second is judged against them.
+_JUDGED = with_clause(("reg_first", "reg_second", "reg_first_snapshots", "reg_second_snapshots")) + """,
+marked AS (SELECT r.*, s.role IS NOT NULL AS held, s.byte_size = r.byte_size AND s.sha256 = r.sha256 AS same,
+             EXISTS (SELECT 1 FROM reg_first f WHERE f.sha256 = r.sha256) OR EXISTS (SELECT 1 FROM reg_first f WHERE f.object_key = r.object_key) AS owned
+           FROM reg_second r LEFT JOIN reg_first s ON s.snapshot_id = r.snapshot_id AND s.role = r.role),
+judged AS (SELECT *, CASE WHEN held AND same THEN 'verified' WHEN held THEN 'conflict'
+             WHEN owned OR (snapshot_id || ' ' || role) <> (SELECT min(o.snapshot_id || ' ' || o.role) FROM marked o
+                                                             WHERE o.sha256 = m.sha256 AND NOT o.held AND NOT o.owned) THEN 'collision'
+             ELSE 'new' END AS status FROM marked m),
+out AS (SELECT snapshot_id, role, sha256, byte_size, status,
+          snapshot_id IN (SELECT snapshot_id FROM judged WHERE status IN ('conflict', 'collision'))
+          OR snapshot_id IN (SELECT f.snapshot_id FROM reg_first_snapshots f JOIN reg_second_snapshots s USING (snapshot_id)
+                             WHERE f.description IS DISTINCT FROM s.description) AS refused FROM judged)"""
+
+ORACLE.update({
+    "registration_outcomes": _JUDGED + "\nSELECT snapshot_id, role, status, refused FROM out",
+    "ledger_registration": _JUDGED + """
+SELECT snapshot_id, role, sha256, byte_size, CAST(1 AS BIGINT) AS commit FROM reg_first
+UNION ALL SELECT snapshot_id, role, sha256, byte_size, CAST(2 AS BIGINT) FROM out WHERE status = 'new' AND NOT refused""",
+})

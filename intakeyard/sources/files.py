@@ -27,6 +27,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def fresh_name() -> str:
+    return uuid.uuid4().hex
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it is not there."""
     fs, hpath = _fs(spark, path)

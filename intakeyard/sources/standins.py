@@ -147,6 +147,28 @@ SELECT o_orderkey AS run_id, concat('t', o_custkey % 20) AS target, o_orderdate
 FROM {orders}
 """
 
+# Two registration requests on files that differ in content: the second names all files again, those of one snapshot with
+# another size, and adds a snapshot of copies and one of other files.
+REG_UNIQUE = """
+SELECT r.* FROM reg_files r JOIN (SELECT sha256, min(file_id) AS first_id FROM reg_files GROUP BY sha256) u ON r.file_id = u.first_id
+"""
+REG_FIRST = "SELECT * FROM reg_unique WHERE file_id % 3 <> 0"
+REG_SECOND = """
+SELECT file_id, snapshot_id, role, filename, object_key, format, sha256,
+  byte_size + CASE WHEN file_id % 3 = 1 AND snapshot_id = (SELECT min(snapshot_id) FROM reg_files) THEN 1 ELSE 0 END AS byte_size
+FROM reg_unique
+UNION ALL
+SELECT file_id, 'copied' AS snapshot_id, role, filename, concat('copied/', object_key) AS object_key, format, sha256, byte_size
+FROM reg_unique WHERE file_id % 50 = 2
+UNION ALL
+SELECT file_id, 'fresh' AS snapshot_id, role, filename, concat('fresh/', object_key) AS object_key, format, reverse(sha256) AS sha256, byte_size
+FROM reg_unique WHERE file_id % 40 = 3
+"""
+REG_FIRST_SNAPSHOTS = _SNAPSHOT.format(acquired="'2026-01-15'", described="concat('files of ', snapshot_id)", files="reg_first")
+REG_SECOND_SNAPSHOTS = _SNAPSHOT.format(
+    acquired="'2026-01-15'", files="reg_second",
+    described="CASE WHEN snapshot_id = (SELECT max(snapshot_id) FROM reg_files) THEN 'renamed' ELSE concat('files of ', snapshot_id) END")
+
 STANDINS = {
     "vendor_rec": (VENDOR_REC, ()),
     "vendor_json": (VENDOR_JSON, ("vendor_rec",)),
@@ -156,6 +178,11 @@ STANDINS = {
     "reg_requested": (REG_REQUESTED, ()),
     "reg_snapshots": (REG_SNAPSHOTS, ("reg_stored",)),
     "reg_snapshots_requested": (REG_SNAPSHOTS_REQUESTED, ("reg_requested",)),
+    "reg_unique": (REG_UNIQUE, ("reg_files",)),
+    "reg_first": (REG_FIRST, ("reg_unique",)),
+    "reg_second": (REG_SECOND, ("reg_unique",)),
+    "reg_first_snapshots": (REG_FIRST_SNAPSHOTS, ("reg_first",)),
+    "reg_second_snapshots": (REG_SECOND_SNAPSHOTS, ("reg_second", "reg_files")),
     "source_before": (SOURCE_BEFORE, ("reg_files",)),
     "source_after": (SOURCE_AFTER, ("reg_files",)),
     "runs": (RUNS, ()),
