@@ -108,7 +108,7 @@ def _pack(wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h = b.column(2).to_numpy()
-            asked = np.flatnonzero(np.logical_and.reduce([wanted[(h >> (20 * k)) & (FILTER_BITS - 1)] for k in range(FILTER_HASHES)]))
+            asked = np.flatnonzero(named_bits(h, wanted))
             views = list(text_views(b.column(1)))
             packed = [len(views[i]).to_bytes(8, "little") + pa.compress(views[i].tobytes(), codec="zstd", asbytes=True) for i in asked]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(asked)), pa.array(packed, pa.binary())], names=["key", "packed"])
@@ -119,13 +119,17 @@ def _pack(wanted: np.ndarray):
 def packed_texts(rows: DataFrame, needed: DataFrame, carry: list[str]) -> DataFrame:
     """``(cls, *carry, packed)``: the texts of ``needed`` (``key``, ``cls``, ``carry``), found in ``rows`` (``key``, ``text``)."""
     needed = saved(needed)
-    texts = rows.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(_pack(_filter(needed)), "key string, packed binary")
+    texts = rows.select("key", "text", F.xxhash64("key").alias("h")).mapInArrow(_pack(hash_filter(needed, F.xxhash64("key"))), "key string, packed binary")
     return texts.join(needed.hint("shuffle_hash"), "key").select("cls", *carry, "packed")
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """A Bloom filter of the column ``key``: ``FILTER_BITS`` bits, whatever the number of keys (a full one lets all pass)."""
-    h = F.xxhash64("key")
+def named_bits(h: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which hashes the filter ``wanted`` names."""
+    return np.logical_and.reduce([wanted[(h >> (20 * k)) & (FILTER_BITS - 1)] for k in range(FILTER_HASHES)])
+
+
+def hash_filter(keys: DataFrame, h: Column) -> np.ndarray:
+    """A Bloom filter of the hashes ``h``: ``FILTER_BITS`` bits, whatever the number of keys (a full one lets all pass)."""
     at = F.explode(F.array(*[F.shiftright(h, 20 * k).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(FILTER_HASHES)]))
     words = (keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits")).toArrow())
@@ -192,12 +196,14 @@ def candidates(classes: DataFrame) -> DataFrame:
         for b in range(BANDS)])).alias("bucket")), classes)
 
 
-def members_of(named: DataFrame, classes: DataFrame) -> DataFrame:
+def members_of(named: DataFrame, classes: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """``(bucket, band, blocks, own, n, cls)``: members of the buckets to compare and the block each is in.
 
-    ``named`` has ``(cls, bucket)``. Only the members of shared buckets are looked at further, and of buckets with the same members one.
+    ``named`` has ``(cls, bucket)``. Only the members of shared buckets (all of two members or more, unless given) are looked at
+    further, and of buckets with the same members one.
     """
-    shared = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+    if shared is None:
+        shared = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
     members = saved(named.join(shared, "bucket").join(classes.select("cls", "n"), "cls"))
     buckets = (members.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("cls")).alias("x"),

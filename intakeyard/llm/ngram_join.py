@@ -4,7 +4,9 @@
 2. All n-grams are put in one order, rare ones first as a fixed-size table of counts over all documents tells, then by hash.
    Two sets that link share one of the first ``n - ceil(t * n) + 1`` n-grams of each (``n`` its size, ``t`` the threshold), so
    only these columns of the incidence matrix name the blocks to multiply. The order decides how large blocks get, never
-   what is found, so errors of the table cost nothing but time. A column of very many documents is cut into blocks.
+   what is found, so errors of the table cost nothing but time. Where the first n-gram that two sets share stands ``i``-th in the
+   order of one, they share at most ``n - i + 1``: a column of two documents whose sizes and places rule a link out is dropped,
+   as is one that holds no document early enough to be the smaller of a pair. A column of very many is cut into blocks.
 3. Blocks are multiplied in condensed form first: a document's n-grams counted in ``PROFILE`` column groups. What two documents
    share is at most the sum of the lesser counts, and a pair whose sum is below the least overlap that the two sizes ask for
    is discarded without a text being moved. What is left of a block falls into sets of documents; equal sets are one.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.llm.common import documents, keyed, saved
 from intakeyard.llm.components import components
-from intakeyard.llm.near_dedup import _unpacked, across_blocks, members_of, packed_texts, within_blocks
+from intakeyard.llm.near_dedup import _unpacked, across_blocks, hash_filter, members_of, named_bits, packed_texts, within_blocks
 from intakeyard.llm.shingles import digest, shingle_hashes, words_of
 from intakeyard.llm.textbytes import blocks_of, text_views
 from intakeyard.session import ship_package
@@ -238,6 +240,32 @@ def _multiply(width: int, percent: int):
     return run
 
 
+def shared_columns(classes: DataFrame, percent: int) -> DataFrame:
+    """``(bucket)``: columns in which some two classes may have the first n-gram that they share, if sizes and places allow a link."""
+    n, pos = F.col("n"), F.col("pos")
+    least = lambda total: F.ceil(total * F.lit(percent) / F.lit(100 + percent))
+    at = classes.select("n", F.posexplode("prefix").alias("pos", "bucket"))
+    at = at.select("bucket", (n * F.lit(1 << 31) + pos).alias("at"), (n - pos >= least(2 * n)).alias("early"))
+    found = at.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("at").alias("a"), F.max("at").alias("b"), F.max("early").alias("early"))
+    size = lambda c: F.shiftright(c, 31)
+    most = lambda c: size(c) - F.col(c).bitwiseAND(F.lit((1 << 31) - 1))  # noqa: E731  overlap at most
+    need = least(size("a") + size("b"))
+    return found.where("c > 1 AND early").where((F.col("c") > 2) | (F.least(most("a"), most("b")) >= need)).select("bucket")
+
+
+def _in_columns(wanted: np.ndarray):
+    """``(cls, bucket)`` of the columns that the filter names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat = b.column(1).flatten().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(b.column(1).offsets)))
+            at = np.flatnonzero(named_bits(flat, wanted))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[at])), pa.array(flat[at])], names=["cls", "bucket"])
+
+    return run
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 90, width: int = WIDTH) -> DataFrame:
     """``(key, id, n_shingles, component_id)`` for every row of ``docs``; ``key`` is ``common.row_key``.
 
@@ -249,7 +277,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                                f"key string, id {id_type}, cls binary, n bigint, prefix array<bigint>, profile binary"))
     classes = saved(sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key"), F.max("n").alias("n"),
                                                              F.max("prefix").alias("prefix"), F.max("profile").alias("profile")))
-    members = saved(members_of(classes.select("cls", F.explode("prefix").alias("bucket")), classes.select("cls", "n")))
+    shared = saved(shared_columns(classes, percent))
+    named = classes.select("cls", "prefix").mapInArrow(_in_columns(hash_filter(shared, F.col("bucket"))), "cls binary, bucket bigint")
+    members = saved(members_of(named, classes.select("cls", "n"), shared))
 
     def links(tasks: DataFrame, roots: DataFrame) -> DataFrame:
         known = classes.select("cls", "n", "profile").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
