@@ -26,16 +26,21 @@ def listing(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
             .select("path", "length", F.col("modificationTime").alias("modification_time")))
 
 
+def arrow_uri(path: str) -> str:
+    """A Hadoop path as Arrow reads it: Hadoop writes ``file:/x``, ``s3a://x`` and ``/x`` for ``file:///x``, ``s3://x`` and a local path."""
+    if path.startswith("/"):
+        return f"file://{path}"
+    scheme, _, rest = path.partition(":")
+    return f"file:///{rest.lstrip('/')}" if scheme == "file" else f"s3:{rest}" if scheme == "s3a" else path
+
+
 def _stream_sha256(batches):
     import pyarrow.fs as pafs
 
     for pdf in batches:
         out = []
         for p in pdf["path"]:
-            scheme, _, rest = p.partition(":")
-            # Hadoop writes file:/x and s3a://x where Arrow reads file:///x and s3://x
-            uri = f"file:///{rest.lstrip('/')}" if scheme == "file" else f"s3:{rest}" if scheme == "s3a" else p
-            fs, rel = pafs.FileSystem.from_uri(uri)
+            fs, rel = pafs.FileSystem.from_uri(arrow_uri(p))
             h = hashlib.sha256()
             with fs.open_input_stream(rel) as src:
                 while chunk := src.read(CHUNK):

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from intakeyard.functions import json_values as J
 from intakeyard.functions import scalars
-from intakeyard.operators import artifacts, compare, inventory, keys, ledger, profile, publish, registry, reports, rules
-from intakeyard.plans.vendor import vendor_csv, vendor_csv_path, vendor_lines, vendor_prepared
+from intakeyard.operators import archive, artifacts, compare, inventory, keys, ledger, profile, publish, registry, reports, rules
+from intakeyard.plans.vendor import vendor_csv, vendor_csv_path, vendor_json_path, vendor_lines, vendor_prepared
 from intakeyard.session import configure
-from intakeyard.sources import csv_records, files, positions, standins, tables
+from intakeyard.sources import csv_records, files, positions, seek, standins, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,9 +142,7 @@ def sample_records(spark, sf_dir, k: int = 3):
 # ---- C. cross-representation compare --------------------------------------
 
 def _compare_rows(spark, sf_dir, window=None, keep_all=False):
-    csv = vendor_csv(spark, sf_dir)
-    if window is not None:  # S7: first N records of both sides, never a bare limit
-        csv = csv.filter(F.col("pos") <= window)
+    csv = vendor_csv(spark, sf_dir, window=window)  # S7: the first N records of both sides, by reading no more
     return compare.joined(csv, vendor_prepared(spark, sf_dir, window=window), standins.CSV_HEADER, keep_all=keep_all)
 
 
@@ -680,6 +678,15 @@ def schema_probes(spark, sf_dir):
         "fraction", "line_no", F.col("_m").isNotNull().alias("decoded"), _order_ok().alias("order_ok"))
 
 
+@query
+def offset_probes(spark, sf_dir):
+    """The first whole line behind 0/25/50/75/99 % of the feed's bytes, by seeking: decoded, and whether its keys are in order."""
+    configure(spark)
+    found = seek.probe_lines(spark, vendor_json_path(spark, sf_dir), PROBE_FRACTIONS)
+    return rules.VENDOR.prepare(found.select("fraction", F.col("line_offset").alias("line_no"), "value")).select(
+        "fraction", F.col("line_no").alias("line_offset"), F.col("_m").isNotNull().alias("decoded"), _order_ok().alias("order_ok"))
+
+
 @query
 def schema_order_check(spark, sf_dir):
     """F3 over every record: objects whose keys are not in the expected order."""
@@ -700,6 +707,23 @@ def manifest_per_snapshot(spark, sf_dir):
     return artifacts.manifest_digest(artifacts.manifest_lines(stored), stored)
 
 
+def _manifest_document(spark, sf_dir):
+    lines = artifacts.manifest_lines(_reg(spark, sf_dir, "reg_files")).select(F.struct("snapshot_id", "role").alias("at"), "line")
+    return archive.write_document(spark, lines, files.fixture_dir(spark, sf_dir, "manifest_document"))
+
+
+@query
+def manifest_document(spark, sf_dir):
+    """K6: the manifest as written, line by line in order of snapshot and role."""
+    return positions.read_lines(spark, _manifest_document(spark, sf_dir)).select("line_no", F.col("value").alias("line"))
+
+
+@query
+def manifest_tree(spark, sf_dir):
+    """K6: the digests over the manifest document, ranges of lines up to its one root."""
+    return archive.tree(spark, _manifest_document(spark, sf_dir))
+
+
 @query
 def plan_key_check(spark, sf_dir):
     return artifacts.plan_key_check(_reg(spark, sf_dir, "reg_files"))

@@ -573,3 +573,26 @@ ORACLE.update({
 SELECT snapshot_id, role, sha256, byte_size, CAST(1 AS BIGINT) AS commit FROM reg_first
 UNION ALL SELECT snapshot_id, role, sha256, byte_size, CAST(2 AS BIGINT) FROM out WHERE status = 'new' AND NOT refused""",
 })
+
+
+# ---- K6, S8: the manifest's digests, probes by byte offset -----------------------------------------
+
+# Up to 64 ** 4 lines: levels are counted until one holds a single node.
+_TREE_LEVEL = """l{k} AS (SELECT CAST({k} AS INTEGER) AS level, node // 64 AS node, sha256(string_agg(digest, '' ORDER BY node)) AS digest,
+  CAST(sum(size) AS BIGINT) AS size FROM {below} GROUP BY node // 64)"""
+_DOCUMENT = REG + f""", d AS (SELECT row_number() OVER (ORDER BY snapshot_id, role) - 1 AS node, {MANIFEST_LINE} AS line FROM reg_files),
+h AS (SELECT node, sha256(line) AS digest, 1 AS size FROM d)"""
+
+ORACLE.update({
+    "manifest_document": _DOCUMENT + "\nSELECT node + 1 AS line_no, line FROM d",
+    "manifest_tree": _DOCUMENT + ",\n" + ",\n".join(_TREE_LEVEL.format(k=k, below=f"l{k - 1}" if k else "h") for k in range(4)) + """
+SELECT * FROM l0 UNION ALL SELECT * FROM l1 WHERE (SELECT count(*) FROM l0) > 1
+UNION ALL SELECT * FROM l2 WHERE (SELECT count(*) FROM l1) > 1 UNION ALL SELECT * FROM l3 WHERE (SELECT count(*) FROM l2) > 1""",
+    "offset_probes": _vendor() + f""", b AS (SELECT line_no, value, CAST(sum(strlen(value) + 1) OVER (ORDER BY line_no) - strlen(value) - 1 AS BIGINT) AS begins,
+  CAST(sum(strlen(value) + 1) OVER () AS BIGINT) AS total FROM vendor_json),
+p AS (SELECT f AS fraction, (SELECT min(begins) FROM b WHERE begins > CAST(floor(b.total * CAST(f AS DOUBLE)) AS BIGINT) OR CAST(f AS DOUBLE) = 0) AS begins
+      FROM (VALUES ('0.00'), ('0.25'), ('0.50'), ('0.75'), ('0.99')) t(f))
+SELECT p.fraction, p.begins AS line_offset, coalesce(json_valid(b.value) AND json_type(b.value) = 'OBJECT', false) AS decoded,
+  coalesce(json_valid(b.value) AND json_type(b.value) = 'OBJECT' AND json_keys(b.value) = {EXPECTED_ORDER}, false) AS order_ok
+FROM p JOIN b ON b.begins = p.begins""",
+})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.operators.rules import VENDOR, RuleSet
 from intakeyard.session import configure
-from intakeyard.sources import csv_records, files, positions, standins
+from intakeyard.sources import csv_records, files, positions, seek, standins
 
 
 def vendor_json_path(spark: SparkSession, sf_dir: str) -> str:
@@ -25,9 +25,11 @@ def vendor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vendor_prepared(spark: SparkSession, sf_dir: str, rules: RuleSet = VENDOR, window: int | None = None) -> DataFrame:
-    """Parsed lines; a ``window`` (first records only) cuts before the parse."""
-    lines = vendor_lines(spark, sf_dir)
-    return rules.prepare(lines if window is None else lines.filter(F.col("line_no") <= window))
+    """Parsed lines; a ``window`` reads the first lines only."""
+    if window is None:
+        return rules.prepare(vendor_lines(spark, sf_dir))
+    configure(spark)
+    return rules.prepare(seek.first_lines(spark, vendor_json_path(spark, sf_dir), window))
 
 
 def _quoted(c: Column) -> Column:
@@ -52,6 +54,6 @@ def vendor_csv_path(spark: SparkSession, sf_dir: str) -> str:
     return files.write_lines(spark, lines, path)
 
 
-def vendor_csv(spark: SparkSession, sf_dir: str, dialect: csv_records.Dialect = csv_records.VENDOR) -> DataFrame:
-    """``(pos, *header fields, n_cells)`` read back from the CSV files."""
-    return csv_records.read_csv(spark, vendor_csv_path(spark, sf_dir), standins.CSV_HEADER, dialect)
+def vendor_csv(spark: SparkSession, sf_dir: str, dialect: csv_records.Dialect = csv_records.VENDOR, window: int | None = None) -> DataFrame:
+    """``(pos, *header fields, n_cells)`` read back from the CSV files, the first ``window`` records if given."""
+    return csv_records.read_csv(spark, vendor_csv_path(spark, sf_dir), standins.CSV_HEADER, dialect, first=window)

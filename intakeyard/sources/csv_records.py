@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from intakeyard.session import ship_package
+from intakeyard.sources import seek
 from intakeyard.sources.positions import BROADCAST_LIMIT_BYTES, SEGMENT_BYTES, segment_bound
 
 #: Largest record returned, in bytes of UTF-8.
@@ -203,11 +204,31 @@ def split_states(text: DataFrame, dialect: Dialect) -> DataFrame:
 
 def records(spark: SparkSession, path: str, dialect: Dialect, max_record: int = MAX_RECORD) -> DataFrame:
     """``(pos, record, error)``: numbered raw records, the header included as record 1; ``error`` names one that is too long."""
-    ship_package(spark)
     text = spark.read.option("lineSep", "\n").text(path)
     few = segment_bound(text) * SEGMENT_BYTES <= BROADCAST_LIMIT_BYTES
-    text = text.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
-                       F.monotonically_increasing_id().alias("_m")).select("*", F.xxhash64("_f", "_b").alias("_split"))
+    return _records(text.select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                                F.monotonically_increasing_id().alias("_m")), dialect, max_record, few)
+
+
+def first_records(spark: SparkSession, path: str, dialect: Dialect, n: int, max_record: int = MAX_RECORD) -> DataFrame:
+    """The first ``n`` of ``records``, reading the first lines of the file only: as many as the records need, and at most
+    four times as many again. ``n`` is what one task may hold."""
+    lines = n + 8
+    while True:
+        text = seek.first_lines(spark, path, lines).select("value", F.lit(path).alias("_f"), F.lit(0).cast("bigint").alias("_b"), F.col("line_no").alias("_m"))
+        found = _records(text.coalesce(1).sortWithinPartitions("_m"), dialect, max_record, True).where(F.col("pos") <= n + 1)
+        held = text.count()
+        if held < lines:  # that is all there is
+            return found.where(F.col("pos") <= n)
+        if found.agg(F.max("pos")).first()[0] == n + 1:  # the next record has begun, so these are whole
+            return found.where(F.col("pos") <= n)
+        lines *= 4
+
+
+def _records(text: DataFrame, dialect: Dialect, max_record: int, few: bool) -> DataFrame:
+    """Records of lines ``(value, _f, _b, _m)``, in order within each task; ``few`` splits may be sent to all tasks."""
+    ship_package(text.sparkSession)
+    text = text.select("*", F.xxhash64("_f", "_b").alias("_split"))
     splits = split_states(text, dialect)
     if few:
         at = text.join(F.broadcast(splits), ["_f", "_b"])  # keeps the order of lines
@@ -235,14 +256,15 @@ def _without_end() -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...], dialect: Dialect, max_record: int = MAX_RECORD,
-             with_errors: bool = False) -> DataFrame:
+             with_errors: bool = False, first: int | None = None) -> DataFrame:
     """``(pos, *columns, n_cells[, error])`` of the data records, numbered from 1; missing cells are null, surplus ones count.
-    A record that is too long has null cells, no count of them, and an ``error``."""
-    cells = records(spark, path, dialect, max_record).where("pos > 1").select((F.col("pos") - 1).alias("pos"), dialect.cells(F.col("record")).alias("c"), "error")
+    A record that is too long has null cells, no count of them, and an ``error``. ``first`` reads so many records only."""
+    found = records(spark, path, dialect, max_record) if first is None else first_records(spark, path, dialect, first + 1, max_record)
+    cells = found.where("pos > 1").select((F.col("pos") - 1).alias("pos"), dialect.cells(F.col("record")).alias("c"), "error")
     return cells.select("pos", *[F.get("c", F.lit(i)).alias(c) for i, c in enumerate(columns)],
                         F.when(F.col("c").isNotNull(), F.size("c")).alias("n_cells"), *(["error"] if with_errors else []))
 
 
 def header(spark: SparkSession, path: str, dialect: Dialect) -> DataFrame:
-    """One row ``(cells)`` with the cells of the first record; no row for a file without records."""
-    return records(spark, path, dialect).where("pos = 1").select(dialect.cells(F.col("record")).alias("cells"))
+    """One row ``(cells)`` with the cells of the first record, from the first lines; no row for a file without records."""
+    return first_records(spark, path, dialect, 1).select(dialect.cells(F.col("record")).alias("cells"))

@@ -37,6 +37,13 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
 
+def sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """``(path, bytes)`` of a file, or of a folder's data files in name order."""
+    fs, hpath = _fs(spark, path)
+    found = [(s.getPath().toString(), s.getLen()) for s in fs.listStatus(hpath) if s.isFile()]
+    return sorted((p, n) for p, n in found if not p.rsplit("/", 1)[1].startswith(("_", ".")))
+
+
 def move_new(spark: SparkSession, source: str, target: str) -> bool:
     """Rename a folder that holds files unless the target is there already (false then); check and rename are one step."""
     jvm = spark.sparkContext._jvm
