@@ -20,15 +20,10 @@ like any other; an empty table gives an empty result. Only the id and the text a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from intakeyard.llm.common import documents, row_key, saved
-from intakeyard.session import ship_package
 
 VARIABLE = "<*>"
 DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT, LONG_LINE, LONG_DOCS = 3, 10, 3, 0.75, 50, 5
@@ -137,31 +132,20 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     With ``classes`` (``near_dedup.near_classes``) the rule is that of ``spread_lines`` (the pipeline's stage,
     which knows no ``min_tokens``), else that of ``ORACLE``."""
-    ship_package(docs.sparkSession)
-    added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())]
-    carried = [c for c in carry or [] if c.lower() not in {f.name for f in added}]
+    added = ["n_lines", "n_dropped", "kept_text"]
+    carried = [c for c in carry or [] if c.lower() not in added]
     if classes is None:
         found = recurring_lines(docs, id_col, text_col, depth, min_docs, min_tokens, constant, long_line, long_docs)
     else:
         found = spread_lines(docs, classes, id_col, text_col, depth, min_docs, constant, long_line, long_docs)
     gone = found.groupBy("key").agg(F.collect_set("at").alias("__gone"))
     source = (docs.select(*[F.col(f"`{c}`") for c in carried], F.col(text_col).alias("__text"), row_key(id_col, text_col).alias("__key"))
-              .join(gone.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left").select(*[F.col(f"`{c}`") for c in carried], "__text", "__gone"))
-    schema = T.StructType([*[source.schema[c] for c in carried], *added])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.num_columns
-            total, dropped, kept = [], [], []
-            for text, gone_lines in zip(b.column(n - 2).to_pylist(), b.column(n - 1).to_pylist(), strict=True):
-                parts, out = (text or "").split("\n"), set(gone_lines or ())
-                total.append(len(parts) if text else 0)
-                dropped.append(len(out))
-                kept.append("\n".join(p for i, p in enumerate(parts) if i not in out) if out else text)
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n - 2)] + [
-                pa.array(total, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())], names=[f.name for f in schema])
-
-    return source.mapInArrow(run, schema)
+              .join(gone.withColumnRenamed("key", "__key").hint("shuffle_hash"), "__key", "left"))
+    kept = F.array_join(F.filter(F.split("__text", "\n"), lambda line, at: ~F.array_contains("__gone", at)), "\n")
+    total = F.when(F.coalesce(F.length("__text"), F.lit(0)) > 0, F.size(F.split("__text", "\n"))).otherwise(0)
+    return source.select(*[F.col(f"`{c}`") for c in carried], total.cast("bigint").alias("n_lines"),
+                         F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("n_dropped"),
+                         F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(kept).alias("kept_text"))
 
 
 def op10_line_templates(spark, sf_dir):
