@@ -54,3 +54,31 @@ def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (3, None), (3, None), (4, "")], "doc_id long, text string")
     out = corpus_pipeline.near_dedup_stage(spark, docs, SF)
     assert sorted((r.doc_id, r.text or "") for r in out.collect()) == [(1, "a b c d e f g"), (3, ""), (4, "")]
+
+
+CLASHES = ["score", "predicted", "n_hit", "n_words", "n_items", "items_sha256", "contaminated", "kept_text", "n_lines", "n_dropped", "__key", "__row",
+           "__n", "__text", "__gone", "key", "row", "n", "component_id", "column_0"]
+
+
+def test_columns_that_clash_pass_through(spark, tmp_path):
+    """Columns named like what a stage adds or uses come out as they went in, with their types."""
+    from pyspark.sql import functions as F
+
+    docs = load(spark, SF, "documents").limit(60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in CLASHES])
+    docs.write.parquet(f"{tmp_path}/in")
+    docs = before = spark.read.parquet(f"{tmp_path}/in")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        assert [(f.name, f.dataType) for f in docs.schema] == [(f.name, f.dataType) for f in before.schema]
+    assert docs.count() > 0
+    assert all(r[c] == f"{c} of {r.doc_id}" for r in docs.collect() for c in CLASHES)
+
+
+def test_empty_table(spark, tmp_path):
+    for t in ("documents", "labels", "benchmark"):
+        part = load(spark, SF, t)
+        (part.limit(0) if t == "documents" else part).coalesce(1).write.parquet(f"{tmp_path}/{t}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "text", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
