@@ -129,3 +129,16 @@ def test_texts_made_to_collide(spark):
 def test_shingles_of_few_words():
     x, n = shingle_hashes([[b"a", b"b"], [b"b", b"a"], [b"a"], [], [b"a", b"b", b"c"], [b"ab"], [b"a", b"b", b"c", b"d"]], 3)
     assert n.tolist() == [1, 1, 1, 0, 1, 1, 2] and len(set(x.tolist())) == 6 and x[3] == x[5]
+
+
+def test_repeats_made_to_collide(spark):
+    """Windows whose polynomial hashes collide are told apart by their bytes, whole runs by their digest."""
+    from intakeyard.llm import suffix_dedup
+    from tests.llm.test_operators import brute_repeats
+
+    one, two = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    for width, rows in ((1024, [(1, one), (2, two), (3, "x" + one[:1500]), (4, two[300:] + "y")]), (2048, [(1, one), (2, two), (3, "x" + two)])):
+        got = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=width).collect()
+        assert bag(got) == bag(brute_repeats(rows, width))
+    with pytest.raises(ValueError):
+        suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=70_000)
