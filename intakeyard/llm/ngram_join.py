@@ -130,25 +130,65 @@ def possible_links(profile: np.ndarray, size: np.ndarray, root: np.ndarray, perc
     return upper | upper.T
 
 
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    """The bytes of a column whose values all have ``width`` of them, a row each."""
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]].reshape(-1, width)
+
+
 def _condensed(percent: int):
-    """``(group, cls)``: the sets of a block's documents that its condensed product leaves connected."""
+    """``(group, cls)``: the sets of a block's documents that its condensed product leaves connected.
 
-    def run(table: pa.Table) -> pa.Table:
-        cls = table.column("cls").to_pylist()
-        rows = sorted({c: i for i, c in enumerate(cls)}.values())
-        size = table.column("n").to_numpy()[rows]
-        root = np.unique(np.array([table.column("root")[i].as_py() for i in rows], dtype=object), return_inverse=True)[1]
-        profile = np.array([np.frombuffer(table.column("profile")[i].as_py(), np.uint8) for i in rows])
-        pairs = forest(possible_links(profile, size, root, percent))
-        of = np.arange(len(rows))
-        for i, j in pairs:  # a tree's edges come from its first row on
-            of[j] = of[i]
+    Rows ``(bucket, band, bi, bj, cls, n, profile, root)`` come in order of their blocks. Blocks of two documents, by far the
+    most, are multiplied all at once, others one by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            starts = bounds(table)
+            last = int(starts[-1]) if len(starts) else 0  # the last block may go on in the next batch
+            held = table.slice(last)
+            yield from blocks(table.slice(0, last), starts[:-1])
+        if held is not None and len(held):
+            yield from blocks(held, np.array([0]))
+
+    def bounds(table: pa.Table) -> np.ndarray:
+        if len(table) == 0:
+            return np.empty(0, np.int64)
+        keys = [table.column(c).to_numpy() for c in ("bucket", "band", "bi", "bj")]
+        return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]))
+
+    def blocks(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(starts) == 0:
+            return
+        cls, size = table.column("cls").combine_chunks(), table.column("n").to_numpy()
+        profile = _fixed(table.column("profile").combine_chunks(), PROFILE)
+        root = np.ascontiguousarray(_fixed(table.column("root").combine_chunks(), 16)).view("<u8")
+        count = np.diff(np.append(starts, len(table)))
+        left = starts[count == 2]
+        right = left + 1
+        most = np.minimum(profile[left], profile[right]).sum(1, dtype=np.int64)
+        unknown = ((profile[left] == 255) & (profile[right] == 255)).any(1)
+        total = size[left] + size[right]
+        need = -(-percent * total // (100 + percent))
+        keep = (root[left] != root[right]).any(1) & (np.minimum(size[left], size[right]) >= need) & (unknown | (most >= need))
+        found = [[i, i + 1] for i in left[keep].tolist()]
+        for s, n in zip(starts[count > 2].tolist(), count[count > 2].tolist(), strict=True):
+            own = root[s:s + n]
+            same = np.unique(own, axis=0, return_inverse=True)[1].ravel()
+            of = np.arange(n)
+            pairs = forest(possible_links(profile[s:s + n], size[s:s + n], same, percent))
+            for i, j in pairs:  # a tree's edges come from its first row on
+                of[j] = of[i]
+            for k in (np.unique(of[[i for i, _ in pairs]]) if pairs else []):
+                found.append((s + np.flatnonzero(of == k)).tolist())
         out = []
-        for k in np.unique(of[[i for i, _ in pairs]]) if pairs else []:
-            members = sorted(cls[rows[i]] for i in np.flatnonzero(of == k))
+        for rows in found:
+            members = sorted({cls[i].as_py() for i in rows})
             name = hashlib.blake2b(b"".join(members), digest_size=16).digest()
             out += [(name, c) for c in members]
-        return pa.table({"group": pa.array([g for g, _ in out], pa.binary()), "cls": pa.array([c for _, c in out], pa.binary())})
+        yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], pa.binary()), pa.array([c for _, c in out], pa.binary())], names=["group", "cls"])
 
     return run
 
@@ -244,7 +284,9 @@ def shared_columns(classes: DataFrame, percent: int) -> DataFrame:
     """``(bucket)``: columns in which some two classes may have the first n-gram that they share, if sizes and places allow a link."""
     n, pos = F.col("n"), F.col("pos")
     least = lambda total: F.ceil(total * F.lit(percent) / F.lit(100 + percent))
-    at = classes.select("n", F.posexplode("prefix").alias("pos", "bucket"))
+    # columns of one document, nearly all, leave by a plain count; only rows of the others carry their size and place
+    many = classes.select(F.explode("prefix").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    at = classes.select("n", "prefix").mapInArrow(_in_columns(hash_filter(many.select("bucket"), F.col("bucket"))), "n bigint, bucket bigint, pos int")
     at = at.select("bucket", (n * F.lit(1 << 31) + pos).alias("at"), (n - pos >= least(2 * n)).alias("early"))
     found = at.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("at").alias("a"), F.max("at").alias("b"), F.max("early").alias("early"))
     size = lambda c: F.shiftright(c, 31)
@@ -254,14 +296,16 @@ def shared_columns(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _in_columns(wanted: np.ndarray):
-    """``(cls, bucket)`` of the columns that the filter names."""
+    """``(first column, bucket, pos)`` of the columns that the filter names, for rows of a first column and their prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            flat = b.column(1).flatten().to_numpy()
-            row = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(b.column(1).offsets)))
+            flat, size = b.column(1).flatten().to_numpy(), np.diff(np.asarray(b.column(1).offsets))
+            row = np.repeat(np.arange(b.num_rows), size)
+            pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
             at = np.flatnonzero(named_bits(flat, wanted))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[at])), pa.array(flat[at])], names=["cls", "bucket"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[at])), pa.array(flat[at]), pa.array(pos[at].astype(np.int32))],
+                                             names=[b.schema.names[0], "bucket", "pos"])
 
     return run
 
@@ -278,13 +322,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = saved(sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("key").alias("key"), F.max("n").alias("n"),
                                                              F.max("prefix").alias("prefix"), F.max("profile").alias("profile")))
     shared = saved(shared_columns(classes, percent))
-    named = classes.select("cls", "prefix").mapInArrow(_in_columns(hash_filter(shared, F.col("bucket"))), "cls binary, bucket bigint")
+    named = classes.select("cls", "prefix").mapInArrow(_in_columns(hash_filter(shared, F.col("bucket"))), "cls binary, bucket bigint, pos int").drop("pos")
     members = saved(members_of(named, classes.select("cls", "n"), shared))
 
     def links(tasks: DataFrame, roots: DataFrame) -> DataFrame:
         known = classes.select("cls", "n", "profile").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
         condensed = tasks.join(known.select("cls", "n", "profile", F.coalesce("root", "cls").alias("root")), "cls")
-        groups = saved(condensed.groupBy("bucket", "band", "bi", "bj").applyInArrow(_condensed(percent), "group binary, cls binary").distinct())
+        block = ["bucket", "band", "bi", "bj"]
+        condensed = condensed.select(*block, "cls", "n", "profile", "root").repartition(*block).sortWithinPartitions(*block)
+        groups = saved(condensed.mapInArrow(_condensed(percent), "group binary, cls binary").distinct())
         texts = packed_texts(rows, classes.select("key", "cls").join(groups.select("cls").distinct(), "cls", "left_semi"), [])
         return groups.join(texts, "cls").groupBy("group").applyInArrow(_multiply(width, percent), "a binary, b binary")
 
