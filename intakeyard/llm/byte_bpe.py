@@ -5,8 +5,8 @@ The rank file is turned into a ``tokenizers`` BPE: every byte gets a printable c
 becomes a merge, in rank order, which is what merging by rank does. Texts are cut where the
 pattern must cut (a run of non-space with at most one space before it, or a run of
 space); each distinct piece is encoded once per task and looked up from
-then on. Only the lookup table (bounded by ``cache``) and one Arrow batch are in memory, there is no
-shuffle, and a lost task is simply run again.
+then on, long pieces (texts without spaces are one) each time they come. Only the lookup table, about ``cache`` pieces of 64
+characters at most, and one Arrow batch are in memory, there is no shuffle, and a lost task is simply run again.
 
 Decoding maps ids to the characters of the table and back to bytes; characters whose bytes
 are split over tokens come together because whole byte runs are joined before UTF-8 is read.
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from intakeyard.llm.pieces import PieceIds
 from intakeyard.session import ship_package
 
 #: White space of the pattern's ``\s`` (Unicode White_Space).
@@ -71,35 +72,14 @@ class Codec:
             back[r] = bytes(byte_of[c] for c in show[t])  # the byte table, reversed
         self.token_bytes = pa.array(back, pa.large_binary())
         self.token_text = pa.array([f"{i}," for i in range(len(back))], pa.large_string())
-        self.cache = cache
-        self.forget()
-
-    def forget(self) -> None:
-        self.code: dict[str, int] = {}
-        self.ids = pa.array([], pa.large_list(pa.int32()))
+        self.pieces = PieceIds(lambda p: [e.ids for e in self.model.encode_batch_fast(p, add_special_tokens=False)], cache)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one run, and the token count of each text."""
         pieces = [PIECES.findall(t) for t in texts]
-        new = {p for row in pieces for p in row}
-        new.difference_update(self.code)
-        if len(self.code) + len(new) > self.cache:
-            self.forget()
-            new = {p for row in pieces for p in row}
-        if new:
-            fresh = list(new)
-            self.code.update(zip(fresh, range(len(self.code), len(self.code) + len(fresh)), strict=True))
-            found = []
-            for at in range(0, len(fresh), 2000):  # encodings are large objects; few at a time
-                found += [e.ids for e in self.model.encode_batch_fast(fresh[at:at + 2000], add_special_tokens=False)]
-            self.ids = pa.concat_arrays([self.ids, pa.array(found, pa.large_list(pa.int32()))])
-        code = self.code
-        flat = np.fromiter((code[p] for row in pieces for p in row), np.int64, sum(map(len, pieces)))
-        lists = self.ids.take(pa.array(flat))
-        per_piece = np.diff(np.asarray(lists.offsets))
+        ids, per_piece = self.pieces.of([p for row in pieces for p in row])
         ends = np.concatenate([[0], np.cumsum(per_piece)])
-        text_ends = np.cumsum([0] + [len(row) for row in pieces])
-        return np.asarray(lists.flatten()), np.diff(ends[text_ends])
+        return ids, np.diff(ends[np.cumsum([0] + [len(row) for row in pieces])])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids; ``.decode()`` of the whole gives the text, split characters included."""

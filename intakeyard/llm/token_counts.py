@@ -9,7 +9,8 @@ spaces become the mark, a mark is put in front, a word begins at each mark; a be
 scores the longest last piece (the path found first); a character that is no piece itself may be unknown at
 the lowest score minus 10, and neighbouring unknown pieces count as one.
 
-Texts are scored where they are read: no shuffle, memory bounded by the word table (``cache``) and a batch.
+Texts are scored where they are read: no shuffle, memory bounded by the word table (``cache`` words of 64 characters
+at most; longer words are scored each time they come) and a batch.
 Defined results: null and empty texts count zero pieces with score zero; repeated rows and null
 ids pass through; very long words cost time in proportion to their length; an empty table gives an empty result;
 other columns are not read unless named in ``carry``.
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intakeyard.llm.common import documents
+from intakeyard.llm.pieces import LONGEST
 from intakeyard.session import ship_package
 
 MARK, APART, PENALTY = "▁", "\0", 10.0
@@ -61,7 +63,7 @@ class Counter:
         self.cache = cache
         self.known: dict[str, tuple[int, float]] = {}
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str]) -> list[tuple[int, float]]:
         """Run the automaton once over all words; U+0000, in no piece, keeps matches inside words."""
         line = APART.join(words)
         size = len(line)
@@ -97,22 +99,26 @@ class Counter:
             if best[end] is None or score > best[end]:
                 best[end], count[end], fused[end] = score, count[start] + 1, False
         settle(size)
-        at = 0
+        at, out = 0, []
         for w in words:
             end = at + len(w)
-            self.known[w] = (count[end], best[end])
+            out.append((count[end], best[end]))
             at = end + 1
+        return out
 
     def totals(self, texts: list[str]) -> tuple[list[int], list[float]]:
         rows = [words_of(t) for t in texts]
         new = {w for row in rows for w in row}
         if len(new) + len(self.known) > self.cache:
             self.known.clear()
-        new.difference_update(self.known)
+        new = list(new.difference(self.known))
         if new:
-            self.learn(list(new))
+            self.known.update(zip(new, self.learn(new), strict=True))
         known = self.known
         found = [[known[w] for w in row] for row in rows]
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
         return [sum(c for c, _ in f) for f in found], [float(sum(s for _, s in f)) for f in found]
 
 
