@@ -9,6 +9,7 @@ bounded number of rows); the columns left pay for one exact shuffle. Keys of sev
 from __future__ import annotations
 
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -20,6 +21,7 @@ COLUMN_SCHEMA = "table_name string, position int, column_name string, data_type
 PROOF_ROWS = 20_000  # rows in which a repeated value is looked for before the full check
 EMPTY_BUT_LARGE_BYTES = 100 * 1024 * 1024
 SCREEN_THREADS = 4
+COUNT_THREADS = 16  # tables counted at a time; their tasks share the cluster
 ATOMIC = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType,
           T.TimestampType, T.TimestampNTZType, T.BooleanType, T.DecimalType, T.DoubleType,
           T.FloatType)
@@ -45,32 +47,39 @@ def exact_counts(frames: dict[str, DataFrame]) -> DataFrame:
         for t, df in frames.items()])
 
 
-def bounded_counts(spark: SparkSession, frames: dict[str, DataFrame], timeout_s: float
-                   ) -> DataFrame:
-    """Exact count per table under a time bound; on timeout keep an error, go on.
+def bounded_counts(spark: SparkSession, frames: dict[str, DataFrame], timeout_s: float, threads: int = COUNT_THREADS) -> DataFrame:
+    """Exact count per table under a time bound, or the reason why there is none; one failure leaves the others alone.
 
-    Each count runs under its own job tag; a timer cancels that tag only.
-    """
-    rows = []
-    for t, df in frames.items():
-        tag = f"intakeyard-count-{t}"
-        spark.addTag(tag)
-        late = threading.Event()
+    Tables are counted at the same time, each job under a tag of its own that a timer of its own cancels, so all of it takes about
+    as long as the slowest table (or its bound). The bound runs from the moment a count is started."""
+    sc = spark.sparkContext
 
-        def stop(tg=tag, late=late):
+    def count(item: tuple[str, DataFrame]) -> tuple[str, int | None, str | None]:
+        name, df = item
+        tag, late, over = f"intakeyard-count-{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+        def stop() -> None:
             late.set()
-            spark.interruptTag(tg)
+            while not over.is_set():  # again, as a job may only be submitted after this
+                sc.cancelJobsWithTag(tag)
+                over.wait(0.2)
 
         timer = threading.Timer(timeout_s, stop)
+        sc.addJobTag(tag)
         timer.start()
         try:
-            rows.append((t, df.count(), None))
-        except Exception as e:  # noqa: BLE001 - a cancelled job surfaces as a Py4J/Spark error
-            why = f"timed out after {timeout_s:g} seconds" if late.is_set() else f"{type(e).__name__}: {str(e)[:2000]}"
-            rows.append((t, None, why))
+            return name, df.count(), None
+        except Exception as e:  # noqa: BLE001 - a cancelled job surfaces as a Spark error
+            return name, None, f"timed out after {timeout_s:g} seconds" if late.is_set() else f"failed: {type(e).__name__}: {str(e)[:2000]}"
         finally:
+            over.set()
             timer.cancel()
-            spark.removeTag(tag)
+            sc.removeJobTag(tag)
+
+    if timeout_s <= 0:
+        raise ValueError("the time bound must be above zero")
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(frames)))) as pool:
+        rows = list(pool.map(count, frames.items()))
     return spark.createDataFrame(rows, "table_name string, exact_rows bigint, count_error string")
 
 

@@ -299,13 +299,15 @@ def current_version(spark, sf_dir):
 
 @query
 def lineage(spark, sf_dir):
+    """Target -> its current run -> the run's stored snapshot -> its files; a target whose snapshot is not stored shows no dataset."""
     cur = ledger.current_version(_reg(spark, sf_dir, "runs")).withColumn(
         "snapshot_id", F.concat(F.lit("src"), F.expr("substr(target, 2)")))
-    files = _reg(spark, sf_dir, "reg_files").groupBy("snapshot_id").agg(
+    snapshots = _reg(spark, sf_dir, "reg_snapshots").select("snapshot_id", "dataset", "acquired_at")
+    held = _reg(spark, sf_dir, "reg_files").groupBy("snapshot_id").agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("byte_size").alias("total_bytes"))
-    return cur.join(files, "snapshot_id", "left").select(
-        "target", "run_id", "snapshot_id", F.coalesce("n_files", F.lit(0)).alias("n_files"),
-        F.coalesce("total_bytes", F.lit(0)).cast("bigint").alias("total_bytes"))
+    found = cur.join(snapshots.join(held, "snapshot_id", "left"), "snapshot_id", "left")
+    return found.select("target", "run_id", "snapshot_id", "dataset", "acquired_at", F.coalesce("n_files", F.lit(0)).alias("n_files"),
+                        F.coalesce("total_bytes", F.lit(0)).cast("bigint").alias("total_bytes"))
 
 
 @query
@@ -455,6 +457,19 @@ def orphan_stages(spark, sf_dir):
     return publish.orphan_stages(runs.select("run_id", "target", "status"), runs)
 
 
+@query
+def orphan_folders(spark, sf_dir):
+    """K3 on storage: folders of a table root that hold files and that no succeeded run of the ledger references."""
+    root = f"{files.fixture_dir(spark, sf_dir, 'staged')}-{files.fresh_name()}"
+    runs = _reg(spark, sf_dir, "runs").where("target = 't7'").select("run_id", "target", "status", "row_count", "started_at")
+    runs.withColumn("id", F.col("run_id")).write.partitionBy("run_id").parquet(f"{root}/table")  # what each run has staged
+    log = publish.runs_log(spark, f"{root}/runs")
+    log.try_commit({"": runs.select(F.col("run_id").cast("string").alias("run_id"), F.lit(None).cast("string").alias("snapshot_id"), "target", "status",
+                                    F.col("started_at").cast("timestamp").alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"),
+                                    "row_count", F.lit(None).cast("string").alias("error"))}, 0)
+    return publish.orphan_folders(spark, f"{root}/table", f"{root}/runs")
+
+
 # ---- X. scalar functions over the given tables ---------------------------------
 
 @query
@@ -786,44 +801,22 @@ def schema_assert(spark, sf_dir):
 
 @query
 def inspect_report(spark, sf_dir):
-    """R1 as a long table; every figure comes from a registered aggregate above."""
+    """R1 as one ordered table; every line is selected from the aggregate it states."""
     prepared = vendor_prepared(spark, sf_dir)
-    values = profile.field_values(prepared)
-    # Fields of the first object record, in the order they are written.
-    first = (prepared.filter(F.col("_m").isNotNull())
-             .agg(F.min_by(F.json_object_keys("value"), F.col("line_no")).alias("k")).first()["k"])
-    json_first = list(first or [])
-    samples = (vendor_lines(spark, sf_dir).filter(F.col("line_no") <= 3)
-               .select("line_no", scalars.render_value(F.col("value")).alias("rendered")).collect())
-    rows = _compare_rows(spark, sf_dir, keep_all=True).cache()
-    try:
-        summary = compare.summary(rows).first()
-        mismatches = compare.field_mismatches(rows.where("in_csv AND in_json"), standins.CSV_HEADER).collect()
-    finally:
-        rows.unpersist()
-    head = csv_records.header(spark, vendor_csv_path(spark, sf_dir), csv_records.VENDOR).first()
-    header = head["cells"] if head else []
+    first = prepared.filter(F.col("_m").isNotNull()).agg(F.min_by(F.json_object_keys("value"), F.col("line_no")).alias("fields"))
+    rows = _compare_rows(spark, sf_dir, keep_all=True)
     return reports.inspection(
-        spark, header=header, expected_header=standins.CSV_HEADER, first_fields=json_first,
-        expected_fields=standins.JSON_FIELDS, probes=schema_probes(spark, sf_dir).collect(),
-        profile=profile.field_profile(values).collect(), samples=samples, summary=summary,
-        mismatches=mismatches, divergence=default_dialect_divergence(spark, sf_dir).first())
+        header=csv_records.header(spark, vendor_csv_path(spark, sf_dir), csv_records.VENDOR), expected_header=standins.CSV_HEADER,
+        first_fields=first, expected_fields=standins.JSON_FIELDS, probes=schema_probes(spark, sf_dir),
+        profile=profile.field_profile(profile.field_values(prepared)),
+        samples=sample_records(spark, sf_dir).select("line_no", scalars.render_value(F.col("value")).alias("rendered")),
+        summary=compare.summary(rows), mismatches=compare.field_mismatches(rows.where("in_csv AND in_json"), standins.CSV_HEADER),
+        divergence=default_dialect_divergence(spark, sf_dir))
 
 
 @query
-def inv_report(spark, sf_dir):
-    """R2 as a long table."""
+def inv_report(spark, sf_dir, timeout_s: float = 120.0):
+    """R2 as one ordered table."""
     fr = _frames(spark, sf_dir)
-    counts = {r["table_name"]: r["exact_rows"] for r in inventory.exact_counts(fr).collect()}
-    size_rows = _sizes(spark, sf_dir)
-    sizes = {r["table_name"]: r["total_bytes"] for r in size_rows.collect()}
-    formatted = {r["table_name"]: r["f"] for r in size_rows.select(
-        "table_name", scalars.format_bytes(F.col("total_bytes")).alias("f")).collect()}
-    formatted["__total__"] = spark.range(1).select(
-        scalars.format_bytes(F.lit(sum(sizes.values()))).alias("f")).first()["f"]
-    keys: dict[str, list[str]] = {}
-    for r in inventory.candidate_keys(spark, fr).collect():
-        keys.setdefault(r["table_name"], []).append(r["column_name"])
-    return reports.inventory(spark, relations=list(fr), counts=counts, sizes=sizes,
-                             columns=[r.asDict() for r in inventory.columns(spark, fr).collect()],
-                             keys=keys, formatted=formatted, threshold=inventory.EMPTY_BUT_LARGE_BYTES)
+    return reports.inventory(counts=inventory.bounded_counts(spark, fr, timeout_s), sizes=_sizes(spark, sf_dir), columns=inventory.columns(spark, fr),
+                             keys=inventory.candidate_keys(spark, fr), threshold=inventory.EMPTY_BUT_LARGE_BYTES)

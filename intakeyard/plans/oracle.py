@@ -284,9 +284,10 @@ QUALIFY row_number() OVER (PARTITION BY target ORDER BY started_at DESC, run_id
   QUALIFY row_number() OVER (PARTITION BY target ORDER BY started_at DESC, run_id DESC) = 1),
 f AS (SELECT snapshot_id, count(*) AS n_files, CAST(sum(byte_size) AS BIGINT) AS total_bytes
   FROM reg_files GROUP BY snapshot_id)
-SELECT cur.target, cur.run_id, 'src' || substr(cur.target, 2) AS snapshot_id,
-  coalesce(f.n_files, 0) AS n_files, coalesce(f.total_bytes, 0) AS total_bytes
-FROM cur LEFT JOIN f ON f.snapshot_id = 'src' || substr(cur.target, 2)""",
+SELECT cur.target, cur.run_id, 'src' || substr(cur.target, 2) AS snapshot_id, s.dataset, s.acquired_at,
+  coalesce(CASE WHEN s.snapshot_id IS NOT NULL THEN f.n_files END, 0) AS n_files,
+  coalesce(CASE WHEN s.snapshot_id IS NOT NULL THEN f.total_bytes END, 0) AS total_bytes
+FROM cur LEFT JOIN reg_snapshots s ON s.snapshot_id = 'src' || substr(cur.target, 2) LEFT JOIN f ON f.snapshot_id = s.snapshot_id""",
     "fk_orphans": REG + """
 SELECT 'lineitem.l_orderkey -> orders[o_orderstatus <> P]' AS edge, count(*) AS child_rows,
   count(*) FILTER (WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN
@@ -361,6 +362,7 @@ SELECT {COMPANY_COLS}, 'id' AS lookup FROM vendor_rec WHERE id = '7'
 UNION ALL SELECT {COMPANY_COLS}, 'website' FROM vendor_rec WHERE website = 'c8.example.com'
 UNION ALL SELECT {COMPANY_COLS}, 'linkedin_url' FROM vendor_rec WHERE linkedin_url = 'linkedin.com/company/10'""",
     "orphan_stages": REG + "\nSELECT run_id, target, status FROM runs WHERE status <> 'succeeded'",
+    "orphan_folders": REG + "\nSELECT CAST(run_id AS VARCHAR) AS run_id FROM runs WHERE target = 't7' AND status <> 'succeeded'",
 })
 
 
@@ -596,3 +598,37 @@ SELECT p.fraction, p.begins AS line_offset, coalesce(json_valid(b.value) AND jso
   coalesce(json_valid(b.value) AND json_type(b.value) = 'OBJECT' AND json_keys(b.value) = {EXPECTED_ORDER}, false) AS order_ok
 FROM p JOIN b ON b.begins = p.begins""",
 })
+
+
+# ---- R1: the inspection report, line by line from the oracles above ------------------------------------
+
+def _number(x: str) -> str:
+    return f"coalesce(format('{{:,}}', CAST({x} AS BIGINT)), 'none')"
+
+
+def _report_lines(source: str, rank: int, section: str, *items: tuple[int, str, str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT {rank} AS section_rank, CAST({r} AS BIGINT) AS row_rank, '{section}' AS section, '{i}' AS item, {v} AS value FROM {source}"
+                                for r, i, v in items)
+
+
+_REPORT = f"""WITH head AS ({ORACLE["header_check"]}), probes AS ({ORACLE["schema_probes"]}), prof AS ({ORACLE["json_field_profile"]}),
+samples AS ({ORACLE["sample_records"]}), summary AS ({ORACLE["compare_summary"]}), mism AS ({ORACLE["field_mismatches"]}),
+div AS ({ORACLE["default_dialect_divergence"]}),
+first AS ({_vendor()} SELECT json_keys(value) AS fields FROM vendor_json WHERE json_valid(value) AND json_type(value) = 'OBJECT' ORDER BY line_no LIMIT 1)"""
+
+ORACLE["inspect_report"] = _REPORT + "\n" + "\nUNION ALL\n".join([
+    _report_lines("head", 1, "csv", (1, "column order", "replace(header, ',', ', ')"), (2, "column order as declared", "expected_header")),
+    _report_lines("first", 2, "json", (1, "fields of line 1", "array_to_string(fields, ', ')"),
+                  (2, "fields as declared", f"CASE WHEN fields = {EXPECTED_ORDER} THEN 'yes' ELSE 'NO' END")),
+    _report_lines("probes", 2, "json", (3, "lines probed for field order",
+                                        "CAST(count(*) FILTER (WHERE NOT order_ok) AS VARCHAR) || ' of ' || CAST(count(*) AS VARCHAR) || ' differ'")),
+    f"""SELECT 3, CAST(CASE WHEN list_position(first.fields, prof.field) > 0 THEN list_position(first.fields, prof.field) ELSE 1000000 END AS BIGINT), 'field',
+  prof.field, replace(observed_types, ',', ', ') || ' (null in ' || {_number("null_count")} || ' of ' || {_number("observed_count")} || ')' FROM prof, first""",
+    """SELECT 4, line_no, 'example line', CAST(line_no AS VARCHAR), CASE WHEN length(value) <= 80 THEN value ELSE substr(value, 1, 79) || '…' END FROM samples""",
+    _report_lines("summary", 5, "csv against json", (1, "pairs of records", _number("records_compared")), (2, "pairs with other ids", _number("id_mismatches")),
+                  (3, "json ids seen again", _number("duplicate_json_ids")), (4, "csv rows with too many cells", _number("malformed_csv_rows")),
+                  (8, "nested values", _number("structured_values"))),
+    _report_lines("mism", 5, "csv against json", (5, "differing cells by field", f"coalesce(string_agg(field || '=' || {_number('n')}, ', ' ORDER BY field), 'none')")),
+    _report_lines("div", 5, "csv against json", (6, "plain dialect: first row too wide", _number("first_malformed_row")),
+                  (7, "plain dialect: first other id", _number("first_id_mismatch"))),
+]) + "\nORDER BY 1, 2, 4"
