@@ -5,8 +5,8 @@ letters, digits and all non-ASCII characters) joined by single spaces; every win
 ``window`` consecutive item words (the whole item if it is shorter) is a pattern with a space
 at both ends, so a byte occurrence is a word occurrence. The machine is built once per
 worker from the benchmark windows, sent to the tasks only after their size has been counted; documents are
-scanned where they are read, without a shuffle. A benchmark above ``limit`` bytes is
-joined by window instead (``_by_join``), with the same rows.
+scanned where they are read, without a shuffle. Windows of more than ``limit`` bytes are dealt into shards of about that size, with a
+machine each; the documents are scanned once a shard, one shard being sent at a time, and what the shards found is put together.
 
 Defined results: null or wordless texts have no words, no hits and are not contaminated;
 null or wordless items have no window; a null item id is written as an empty string; items with the same
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intakeyard.llm.common import BROADCAST_LIMIT, documents, keyed
+from intakeyard.llm.common import BROADCAST_LIMIT, documents, saved
 from intakeyard.llm.textbytes import blocks_of, text_views
 from intakeyard.llm.wu_manber import WuManber
 from intakeyard.session import ship_package
@@ -35,7 +35,8 @@ from intakeyard.sources.tables import load
 #: A-Z to a-z; digits, a-z and every byte of a non-ASCII character stay; all else is a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                    for b in range(256))
-#: The same in the JVM, for the join form.
+#: The same in the JVM, for windows in shards; a shard holds so many bytes at least.
+MIN_SHARD = 1 << 10
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -74,7 +75,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     carried = [c for c in carry or [] if c.lower() not in names]
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
     if size * window > limit:
-        return _by_join(docs, items, text_col, carried, window, share)
+        return _by_shards(docs, items, text_col, carried, window, share, limit)
     owners: dict[bytes, set[str]] = {}
     for row in items.collect():  # bounded by the size just counted
         for p in windows_of(row.text.encode(), window):
@@ -127,39 +128,58 @@ def _scan(views: list[np.ndarray], machine: WuManber, lengths: np.ndarray, owner
             pa.array((n_hit > 0) & (n_hit >= share * n - 1e-9), pa.bool_())]
 
 
-def _by_join(docs: DataFrame, items: DataFrame, text_col: str, carried: list[str], window: int, share: float) -> DataFrame:
-    """The same result by joining windows, for a benchmark too large to send to every task."""
+def _shard_hits(sent, tag: str):
+    """``(row, words, items)`` of the texts in which a shard's windows occur: positions of hit words, items of the windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, lengths, owner = sent.value
+        machine = _machine(tag, found)
+        for batch in batches:
+            out = []
+            for row, view in zip(batch.column(0).to_pylist(), text_views(batch.column(1)), strict=True):
+                raw = b" " + b" ".join(view.tobytes().translate(WORD_BYTES).split()) + b" "
+                hits = machine.search(raw)
+                if hits:
+                    spaces = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
+                    words = np.unique(np.concatenate([np.arange(lengths[p]) + np.searchsorted(spaces, at) for at, p in hits]))
+                    out.append((row, words.tolist(), sorted({i for _, p in hits for i in owner[p]})))
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in out], pa.int64()), pa.array([w for _, w, _ in out], pa.list_(pa.int32())),
+                                              pa.array([i for _, _, i in out], pa.list_(pa.string()))], names=["row", "words", "items"])
+
+    return run
+
+
+def _by_shards(docs: DataFrame, items: DataFrame, text_col: str, carried: list[str], window: int, share: float, limit: int) -> DataFrame:
+    """The same result with the windows in shards of about ``limit`` bytes (at least ``MIN_SHARD``)."""
+    spark = docs.sparkSession
+    ship_package(spark)
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.array_remove(F.split(F.regexp_replace(lower, NOT_WORD, " "), " "), "")
-
-    def cut(df: DataFrame, size) -> DataFrame:
-        """One row per window of ``size`` words, with its first word's position."""
-        return df.select("*", F.posexplode(F.transform(
-            F.sequence(F.lit(0), F.size("words") - size), lambda i: F.concat_ws(" ", F.slice("words", i + 1, size)))).alias("at", "win"))
-
-    pats = cut(items.select("item", words.alias("words")).where("size(words) > 0").withColumn(
-        "len", F.least(F.size("words"), F.lit(window))), F.col("len")).select("item", "len", "win").distinct()
-    sizes = [r.len for r in pats.select("len").distinct().orderBy("len").collect()]  # at most ``window`` rows
-    rows = docs.select(*[F.col(f"`{c}`") for c in carried], F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       F.monotonically_increasing_id().alias("row"))
-    seen = rows.select("row", words.alias("words"))
+    size = F.least(F.size("words"), F.lit(window))
+    cut = items.select("item", words.alias("words")).where("size(words) > 0").select("item", F.explode(F.transform(
+        F.sequence(F.lit(0), F.size("words") - size), lambda i: F.concat_ws(" ", F.slice("words", i + 1, size)))).alias("win"))
+    windows = saved(cut.groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    total = windows.agg(F.coalesce(F.sum(F.octet_length("win")), F.lit(0))).first()[0]
+    shards = max(1, -(-total // max(limit, MIN_SHARD)))
+    rows = saved(docs.select(*[F.col(f"`{c}`") for c in carried], F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
+        F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+    texts = rows.select("row", "doc.text")
     hits = None
-    for size in sizes:
-        part = (cut(seen.where(F.size("words") >= size), F.lit(size)).select("row", "at", "win")
-                .join(pats.where(F.col("len") == size).groupBy("win").agg(F.collect_set("item").alias("items")), "win")
-                .select("row", F.explode(F.sequence(F.col("at"), F.col("at") + size - 1)).alias("word"), "items"))
-        hits = part if hits is None else hits.unionByName(part)
-    base = rows.withColumn("n_words", F.size(words).cast("long")).drop("text")
-    if hits is None:
-        base = base.withColumn("n_hit", F.lit(0).cast("long")).withColumn("items", F.array().cast("array<string>"))
-    else:
-        base = base.join(hits.groupBy("row").agg(F.countDistinct("word").alias("n_hit"),
-                                                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")), "row", "left")
-    n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    found = F.coalesce("items", F.array().cast("array<string>"))
-    return base.select(*[F.col(f"`{c}`") for c in carried], "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"),
-                       F.sha2(F.concat_ws(",", found), 256).alias("items_sha256"),
-                       ((n_hit > 0) & (n_hit >= share * F.col("n_words") - 1e-9)).alias("contaminated"))
+    for k in range(shards):
+        part = windows.where(F.pmod(F.xxhash64("win"), F.lit(shards)) == k).collect()  # about ``limit`` bytes
+        found = [b" " + r.win.encode() + b" " for r in part]
+        sent = spark.sparkContext.broadcast((found, [p.count(b" ") - 1 for p in found], [r["items"] for r in part]))
+        now = saved(texts.mapInArrow(_shard_hits(sent, uuid.uuid4().hex), "row bigint, words array<int>, items array<string>"))
+        sent.destroy()
+        hits = now if hits is None else hits.unionByName(now)
+    n_hit = hits.select("row", F.explode("words").alias("word")).distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
+    held = hits.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))  # one list a shard
+    base = rows.select("row", *[F.col(f"doc.`{c}`") for c in carried], "doc.text").withColumn("n_words", F.size(words).cast("long")).drop("text")
+    n = F.coalesce("n_hit", F.lit(0)).cast("long")
+    of = F.coalesce("items", F.array().cast("array<string>"))
+    return (base.join(n_hit, "row", "left").join(held, "row", "left")
+            .select(*[F.col(f"`{c}`") for c in carried], "n_words", n.alias("n_hit"), F.size(of).cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", of), 256).alias("items_sha256"), ((n > 0) & (n >= share * F.col("n_words") - 1e-9)).alias("contaminated")))
 
 
 def op7_decontaminate(spark, sf_dir):
