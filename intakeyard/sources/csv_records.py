@@ -230,23 +230,25 @@ def _records(text: DataFrame, dialect: Dialect, max_record: int, few: bool) -> D
     ship_package(text.sparkSession)
     text = text.select("*", F.xxhash64("_f", "_b").alias("_split"))
     splits = split_states(text, dialect)
-    if few:
-        at = text.join(F.broadcast(splits), ["_f", "_b"])  # keeps the order of lines
-    else:
-        at = text.join(splits, ["_f", "_b"]).sortWithinPartitions("_f", "_b", "_m")
+
+    def located(some: DataFrame) -> DataFrame:
+        if few:
+            return text.join(F.broadcast(some), ["_f", "_b"])  # keeps the order of lines
+        return text.join(some, ["_f", "_b"]).sortWithinPartitions("_f", "_b", "_m")
 
     def numbered(lines: DataFrame, crossing: bool) -> DataFrame:
         return _flagged(lines, dialect).select("value", "_split", "_b", "_o0", "_o1", "_blank", "_in", "_off").mapInArrow(
             _numbered(max_record, crossing), "pos bigint, _b bigint, size bigint, value string")
 
-    pieces = (numbered(at.where("_in = 1 OR _out = 1"), True).groupBy("pos")
+    # if no split is entered or left inside quotes, this side is found empty and its lines are not read at all
+    pieces = (numbered(located(splits.where("_in = 1 OR _out = 1")), True).groupBy("pos")
               .agg((F.sum("size") + F.count(F.lit(1)) - 1).alias("size"), F.array_sort(F.collect_list(F.struct("_b", "value"))).alias("l")))
     fits = (F.col("size") <= max_record) & F.forall("l", lambda x: x["value"].isNotNull())
     crossed = pieces.select("pos", "size", F.when(fits, F.array_join(F.transform("l", lambda x: x["value"]), "\n")).alias("record"))
     # a record ends with a line end outside quotes; only one that ends with its file may still be open
     ended = F.col("record").endswith("\r") & ~dialect.stays_open(F.col("record"))
     crossed = crossed.select("pos", "size", F.when(ended, _without_end()).otherwise(F.col("record")).alias("record"))
-    inner = numbered(at, False).select("pos", "size", F.col("value").alias("record")).select("pos", "size", _without_end().alias("record"))
+    inner = numbered(located(splits), False).select("pos", "size", F.col("value").alias("record")).select("pos", "size", _without_end().alias("record"))
     error = F.when(F.col("record").isNull(), F.concat(F.lit("record of "), F.col("size").cast("string"), F.lit(f" bytes, over {max_record}")))
     return inner.union(crossed).select("pos", "record", error.alias("error"))
 
