@@ -9,7 +9,7 @@
    ``n`` places and a flat prior, the similarity is Beta(m + 1, n - m + 1); a pair is
    pruned once its chance to reach the threshold is below ``miss``. Survivors are
    verified exactly on their full shingle sets, unless they are already linked through verified links,
-   so a task returns a forest: fewer links than rows, with the same components.
+   so a task returns stars: fewer links than rows, with the same components.
 4. Components come from the verified links by star contraction.
 
 With 24 bands of 5 places a pair at similarity 0.85 misses every band with probability
@@ -142,6 +142,26 @@ def _unpacked(packed: bytes) -> bytes:
     return pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
 
 
+def stars(names: list[bytes], links: list[tuple[int, int]]) -> pa.Table:
+    """``(a, b)``: the components of ``links`` as stars around their smallest names, which contract in few rounds."""
+    near: dict[int, list[int]] = {}
+    for i, j in links:
+        near.setdefault(i, []).append(j)
+        near.setdefault(j, []).append(i)
+    out, seen = [], set()
+    for s in near:
+        if s not in seen:
+            seen.add(s)
+            members = [s]
+            for i in members:
+                new = [j for j in near[i] if j not in seen]
+                seen.update(new)
+                members += new
+            least = min(names[i] for i in members)
+            out += [(least, names[i]) for i in members if names[i] != least]
+    return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+
+
 def _verify(percent: int, miss: float):
     steps = least_matches(percent / 100, miss)
 
@@ -183,8 +203,8 @@ def _verify(percent: int, miss: float):
                 a, b = find(i), find(j)
                 if a != b and _linked(texts[i], texts[j], percent):
                     root[a] = b
-                    links.append((cls[rows[i]], cls[rows[j]]))
-        return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+                    links.append((i, j))
+        return stars([cls[i] for i in rows], links)
 
     return run
 

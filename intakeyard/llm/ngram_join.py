@@ -13,7 +13,7 @@
 4. A task multiplies the incidence matrix of such a set, all n-grams of its documents, with its transpose: columns with the
    same documents are one weighted column, and column block by column block overlaps add up. A pair leaves as soon as its
    overlap so far and what both sides still have cannot reach the least overlap; rows without pairs leave the product. Full
-   overlaps that reach it are links, and a task returns a spanning forest of them.
+   overlaps that reach it are links, and a task returns their components as stars.
 5. This is done twice: for the first ``LEADS`` columns of each document only, which joins most of each group of near copies, then
    for all columns that still hold documents of different components, pairs of one component left out. Components come
    from the links by star contraction.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from intakeyard.llm.common import documents, keyed, saved
 from intakeyard.llm.components import components
-from intakeyard.llm.near_dedup import _unpacked, across_blocks, hash_filter, members_of, named_bits, packed_texts, within_blocks
+from intakeyard.llm.near_dedup import _unpacked, across_blocks, hash_filter, members_of, named_bits, packed_texts, stars, within_blocks
 from intakeyard.llm.shingles import digest, shingle_hashes, words_of
 from intakeyard.llm.textbytes import blocks_of, text_views
 from intakeyard.session import ship_package
@@ -275,7 +275,7 @@ def _multiply(width: int, percent: int):
         packed = table.column("packed")
         doc, gram = _sets([_unpacked(packed[i].as_py()) for i in rows], width)
         links = forest(overlap_links(doc, gram, np.bincount(doc, minlength=len(rows)), percent))
-        return pa.table({"a": pa.array([cls[rows[i]] for i, _ in links], pa.binary()), "b": pa.array([cls[rows[j]] for _, j in links], pa.binary())})
+        return stars([cls[i] for i in rows], links)
 
     return run
 
