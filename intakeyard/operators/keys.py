@@ -3,9 +3,12 @@
 A combination is a key if none of its columns holds a null and no two rows agree on all of it. The search goes up level by
 level. A combination that contains a key is not minimal and never looked at; one that lies within an agree set, the columns on
 which some pair of rows agrees, is no key. Agree sets come first from neighbours within a bounded number of rows (they
-can only rule out), then from a violating pair of every combination that the whole table refutes. What is left of a level is
-checked over the whole table in one shuffle of ``(combination, values)`` pairs with partial counts, a hot value being one
-row a task. The driver holds column sets and two rows' agreement per refuted combination, never data.
+can only rule out), then from a violating pair of every combination refuted. A level is looked at in slices by the values of a
+combination's column of most values: rows that agree on the combination agree on that column, so a slice holds all of them or
+none, and an eighth of the rows finds an eighth of the violating pairs. Only what small slices leave open is checked over the
+whole table, in a shuffle of ``(combination, 64-bit hash)`` with partial counts, a hot value being one row a task. No hash met
+twice proves a key; a hash met twice is settled by the values of its rows. The driver holds column sets, a hash and two rows'
+agreement per refuted combination, never data.
 """
 
 from __future__ import annotations
@@ -23,24 +26,27 @@ from intakeyard.operators.inventory import ATOMIC, SCREEN_THREADS
 
 #: Rows in which pairs that agree are looked for before whole-table checks: proof against a key only.
 EVIDENCE_ROWS = 20_000
+#: Parts of the values of a column of which one is looked at before the whole table.
+SLICES = (64, 8)
+#: Combinations that one job looks at: more make a method that the JVM does not compile.
+SETS_AT_ONCE = 10
 KEYS_SCHEMA = "table_name string, n_columns int, key_columns string"
 
 
+def plain_value(field_: T.StructField) -> Column:
+    """A value as it is, the two zeros as one."""
+    c = F.col(f"`{field_.name}`")
+    return F.when(c == 0, F.lit(0.0).cast(field_.dataType)).otherwise(c) if isinstance(field_.dataType, (T.DoubleType, T.FloatType)) else c
+
+
 def exact_value(field_: T.StructField) -> Column:
     """A value as bytes that are equal if and only if the values are: short types by their text, strings by SHA-256."""
-    c = F.col(f"`{field_.name}`")
+    c = plain_value(field_)
     if isinstance(field_.dataType, T.StringType):
         return F.unhex(F.sha2(c, 256))
-    if isinstance(field_.dataType, (T.DoubleType, T.FloatType)):
-        c = F.when(c == 0, F.lit(0.0)).otherwise(c)
     return c.cast("string").cast("binary")
 
 
-def _joined(names: list[str]) -> Column:
-    """Several values as one, each behind its length."""
-    return F.concat(*[F.concat(F.lpad(F.length(n).cast("string"), 4, "0").cast("binary"), F.col(n)) for n in names])
-
-
 @dataclass
 class Search:
     """Column sets as bit masks: what is known to be a key, and what is known to agree."""
@@ -77,25 +83,50 @@ def neighbour_agreements(rows: DataFrame, names: list[str]) -> list[int]:
     return [r["mask"] for r in both.select(mask.alias("mask")).distinct().collect()]  # sets of columns, not rows
 
 
-def check_level(rows: DataFrame, names: list[str], open_sets: list[int]) -> tuple[list[int], list[int]]:
-    """``(keys, agree sets)`` of these combinations over all rows: one shuffle decides, one scan shows a pair for each that fails."""
-    if not open_sets:
+def _hash(members: list[str]) -> Column:
+    """Equal values give equal hashes; ``h<name>`` is a column's own hash, so long values are hashed once a row."""
+    return F.xxhash64(*[F.col(f"h{n}") for n in members])
+
+
+def _refuted(rows: DataFrame, names: list[str], sets: list[int], pivots: dict[int, str], parts: int) -> tuple[list[int], list[int]]:
+    """``(refuted sets, agree sets)`` among the rows that fall into one of ``parts`` slices by the hash of a set's pivot column.
+
+    Rows that agree on a set agree on its pivot, so a slice holds all of them or none; one part is the whole table."""
+    members = {m: [n for i, n in enumerate(names) if m >> i & 1] for m in sets}
+    asked = [F.when(F.pmod(F.col(f"h{pivots[m]}"), F.lit(parts)) == 0, F.struct(F.lit(m).cast("bigint").alias("set"), _hash(members[m]).alias("h"))) for m in sets]
+    pairs = rows.select(F.explode(F.array(*asked)).alias("p")).where("p IS NOT NULL").select("p.set", "p.h")
+    twice = pairs.groupBy("set", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").groupBy("set").agg(F.min("h").alias("h"))
+    shown = {r["set"]: r["h"] for r in twice.collect()}  # a hash per set
+    if not shown:
         return [], []
-    sets = [F.struct(F.lit(m).cast("bigint").alias("set"), _joined([n for i, n in enumerate(names) if m >> i & 1]).alias("v")) for m in open_sets]
-    pairs = rows.select(F.explode(F.array(*sets)).alias("p"), *names)
-    twice = (pairs.groupBy("p.set", "p.v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-             .groupBy("set").agg(F.min("v").alias("v")))
-    shown = twice.persist()
-    try:
-        failed = {r["set"] for r in shown.select("set").collect()}
-        if not failed:
-            return open_sets, []
-        held = pairs.select("p.set", "p.v", F.struct(*names).alias("row")).join(F.broadcast(shown), ["set", "v"])  # a row per combination at most
-        two = held.groupBy("set").agg(F.min("row").alias("a"), F.max("row").alias("b"))
-        masks = two.select(_agreement([F.col(f"a.{n}") for n in names], [F.col(f"b.{n}") for n in names]).alias("mask")).collect()
-    finally:
-        shown.unpersist()
-    return [m for m in open_sets if m not in failed], [r["mask"] for r in masks]
+    at = [F.when(_hash(members[m]) == F.lit(h), F.lit(m).cast("bigint")) for m, h in shown.items()]
+    held = rows.select(F.explode(F.array(*at)).alias("set"), *names).where("set IS NOT NULL").select("set", F.struct(*names).alias("row"))
+    two = held.groupBy("set").agg(F.min("row").alias("a"), F.max("row").alias("b"))
+    masks = {r["set"]: r["mask"] for r in two.select("set", _agreement([F.col(f"a.{n}") for n in names], [F.col(f"b.{n}") for n in names]).alias("mask")).collect()}
+    refuted, agree = [], []
+    for m in shown:
+        if masks[m] & m == m:
+            refuted.append(m)
+            agree.append(masks[m])
+        elif not rows.groupBy(*members[m]).count().where("count > 1").isEmpty():  # unlike values of one hash: the values decide
+            refuted.append(m)
+            agree.append(m)
+    return refuted, agree
+
+
+def check_level(rows: DataFrame, names: list[str], search: Search, width: int, n_rows: int, distinct: list[int]) -> None:
+    """Settles all combinations of ``width`` columns: small slices refute most, what they leave open the whole table decides."""
+    for parts in (*[p for p in SLICES if n_rows >= p * EVIDENCE_ROWS // 4], 1):
+        todo = search.open(width)
+        for at in range(0, len(todo), SETS_AT_ONCE):
+            sets = [m for m in todo[at:at + SETS_AT_ONCE] if not any(m & a == m for a in search.agree)]
+            if not sets:
+                continue
+            pivots = {m: names[max((i for i in range(len(names)) if m >> i & 1), key=distinct.__getitem__)] for m in sets}
+            refuted, agree = _refuted(rows, names, sets, pivots, parts)
+            search.add_agree(agree)
+            if parts == 1:
+                search.keys += [m for m in sets if m not in refuted]
 
 
 def minimal_keys(df: DataFrame, width: int = 3) -> list[tuple[str, ...]]:
@@ -103,20 +134,21 @@ def minimal_keys(df: DataFrame, width: int = 3) -> list[tuple[str, ...]]:
     fields = [f for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
     if not fields:
         return []
-    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)]).first()
-    whole = [f for i, f in enumerate(fields) if counts["_n"] > 0 and counts[f"n{i}"] == counts["_n"]]
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)],
+                    *[F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f"d{i}") for i, f in enumerate(fields)]).first()
+    at = [i for i in range(len(fields)) if counts["_n"] > 0 and counts[f"n{i}"] == counts["_n"]]
+    whole = [fields[i] for i in at]
     if not whole:
         return []
     if len(whole) > 62:
         raise ValueError(f"{len(whole)} columns without nulls; column sets are 62 bits")
     names = [f"c{i}" for i in range(len(whole))]
-    rows = df.select(*[exact_value(f).alias(n) for f, n in zip(whole, names, strict=True)])
     search = Search(len(whole))
-    search.add_agree(neighbour_agreements(rows, names))
+    search.add_agree(neighbour_agreements(df.select(*[exact_value(f).alias(n) for f, n in zip(whole, names, strict=True)]), names))
+    values = df.select(*[plain_value(f).alias(n) for f, n in zip(whole, names, strict=True)])
+    rows = values.select("*", *[F.xxhash64(n).alias(f"h{n}") for n in names])
     for level in range(1, width + 1):
-        keys, agree = check_level(rows, names, search.open(level))
-        search.keys += keys
-        search.add_agree(agree)
+        check_level(rows, names, search, level, counts["_n"], [counts[f"d{i}"] for i in at])
     return [tuple(f.name for i, f in enumerate(whole) if m >> i & 1) for m in search.keys]
 
 

@@ -59,3 +59,24 @@ def test_key_of_two_columns(spark):
     found = {(r.table_name, r.key_columns) for r in keys.composite_keys(spark, frames, 2).collect()}
     assert ("conversations", "conv_id,turn") in found
     assert ("lineitem", "l_orderkey,l_linenumber") not in found  # the given rows repeat these pairs
+
+
+def test_slices_refute_before_the_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(keys, "EVIDENCE_ROWS", 20)
+    asked, refuted = [], keys._refuted
+    monkeypatch.setattr(keys, "_refuted", lambda rows, names, sets, pivots, parts: asked.append((parts, list(sets))) or refuted(rows, names, sets, pivots, parts))
+    r = random.Random(3)  # of any two columns some rows agree, rarely enough to escape the first rows
+    rows = [(r.randrange(300), r.randrange(300), r.randrange(300), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int")
+    assert sorted(keys.minimal_keys(df, 2)) == brute(rows, "abcd", 2) == [("d",)]
+    assert {p for p, _ in asked} > {64, 1}
+    assert [s for p, sets in asked for s in sets if p == 1] == [0b1000]
+
+
+def test_unlike_values_of_one_hash(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(keys, "_hash", lambda members: F.pmod(F.xxhash64(*[F.col(f"h{n}") for n in members]), F.lit(3)))
+    rows = [(i, i % 7, i // 7, i % 2) for i in range(49)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int")
+    assert sorted(keys.minimal_keys(df, 3)) == brute(rows, "abcd", 3)
