@@ -176,3 +176,19 @@ def test_a_source_that_changes_during_the_load(spark, lines_file, tmp_path, monk
         assert done["status"] == "failed" and done["reason"].startswith("source changed during the load: 1 files")
         assert publish.current_path(spark, root, led, "c") is None
         assert [r.status for r in publish.runs_log(spark, led).read().where("status <> 'running'").collect()] == ["failed"]
+
+
+def test_a_listing_task_lists_many_folders(spark, tmp_path):
+    from intakeyard.sources import files
+
+    for i in range(100):
+        (tmp_path / f"run_id={i}").mkdir()
+        (tmp_path / f"run_id={i}" / "a.parquet").write_bytes(b"x")
+    spark.sparkContext.setJobGroup("listing", "many folders")
+    try:
+        found = files.listing(spark, str(tmp_path), "*.parquet")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert found.count() == 100 and tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
