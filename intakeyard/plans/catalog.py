@@ -249,10 +249,23 @@ def register_files(spark, sf_dir):
 
 def _registered_twice(spark, sf_dir):
     """A ledger of its own with the first request, the second, and the second once more, which must add nothing."""
-    log = registry.registry(spark, f"{files.fixture_dir(spark, sf_dir, 'registry')}-{files.fresh_name()}")
-    registry.register(log, _reg(spark, sf_dir, "reg_first_snapshots"), _reg(spark, sf_dir, "reg_first"))
-    out, _ = registry.register(log, _reg(spark, sf_dir, "reg_second_snapshots"), _reg(spark, sf_dir, "reg_second"))
-    again, number = registry.register(log, _reg(spark, sf_dir, "reg_second_snapshots"), _reg(spark, sf_dir, "reg_second"))
+    root = f"{files.fixture_dir(spark, sf_dir, 'registry')}-{files.fresh_name()}"
+    log = registry.registry(spark, root)
+    written: dict[str, str] = {}
+
+    def asked(name: str) -> DataFrame:
+        """A request as it came in, written down: the texts are read and hashed once, not by every comparison."""
+        path = f"{root}-requests/{name}"
+        standins.standin(spark, sf_dir, name, written).write.parquet(path)
+        written[name] = path
+        return spark.read.parquet(path)
+
+    for name in ("reg_files", "reg_unique", "reg_first", "reg_second"):
+        asked(name)
+    first, second = ((asked(f"{n}_snapshots"), spark.read.parquet(written[n])) for n in ("reg_first", "reg_second"))
+    registry.register(log, *first)
+    out, _ = registry.register(log, *second)
+    again, number = registry.register(log, *second)
     if number is not None:
         raise AssertionError("a repeated registration wrote a commit")
     return log, out

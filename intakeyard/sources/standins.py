@@ -209,8 +209,9 @@ def _order(names: tuple[str, ...]) -> list[str]:
     return out
 
 
-def with_clause(names: tuple[str, ...], engine: str = "duckdb", sf_dir: str | None = None) -> str:
-    """``WITH a AS (...), b AS (...)`` for the stand-ins (and their inputs)."""
+def with_clause(names: tuple[str, ...], engine: str = "duckdb", sf_dir: str | None = None, written: dict[str, str] | None = None) -> str:
+    """``WITH a AS (...), b AS (...)`` for the stand-ins (and their inputs); those ``written`` are read from their Parquet folder."""
+    written = written or {}
     if engine == "duckdb":
         refs = {t: t for t in TABLES}
         refs["sha_text"] = "sha256(text)"
@@ -220,10 +221,11 @@ def with_clause(names: tuple[str, ...], engine: str = "duckdb", sf_dir: str | No
         refs["sha_text"] = "sha2(text, 256)"
     parts = []
     for n in _order(names):
-        parts.append(f"{n} AS ({_fill(STANDINS[n][0], refs)})")
+        sql = f"SELECT * FROM parquet.`{written[n]}`" if n in written else _fill(STANDINS[n][0], refs)
+        parts.append(f"{n} AS ({sql})")
     return "WITH " + ",\n".join(parts)
 
 
-def standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The stand-in as a Spark DataFrame, planned from the parquet tables."""
-    return spark.sql(f"{with_clause((name,), 'spark', sf_dir)}\nSELECT * FROM {name}")
+def standin(spark: SparkSession, sf_dir: str, name: str, written: dict[str, str] | None = None) -> DataFrame:
+    """The stand-in as a Spark DataFrame, planned from the parquet tables and from stand-ins already ``written``."""
+    return spark.sql(f"{with_clause((name,), 'spark', sf_dir, written)}\nSELECT * FROM {name}")

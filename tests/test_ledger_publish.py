@@ -192,3 +192,13 @@ def test_a_listing_task_lists_many_folders(spark, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     assert found.count() == 100 and tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_requests_do_not_read_the_texts_again(spark, monkeypatch):
+    from intakeyard.operators import registry
+    from intakeyard.plans import catalog
+
+    got, register = [], registry.register
+    monkeypatch.setattr(registry, "register", lambda log, snapshots, requested: got.extend((snapshots, requested)) or register(log, snapshots, requested))
+    catalog.QUERIES["registration_outcomes"](spark, "/root/testdata/sf0.001")
+    assert len(got) == 6 and not any("documents.parquet" in f for df in got for f in df.inputFiles())
