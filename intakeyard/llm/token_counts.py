@@ -10,7 +10,7 @@ scores the longest last piece (the path found first); a character that is no pie
 the lowest score minus 10, and neighbouring unknown pieces count as one.
 
 Texts are scored where they are read: no shuffle, memory bounded by the word table (``cache`` words of 64 characters
-at most; longer words are scored each time they come) and a batch.
+at most, those that came again stay longest; longer words are scored each time they come) and a batch.
 Defined results: null and empty texts count zero pieces with score zero; repeated rows and null
 ids pass through; very long words cost time in proportion to their length; an empty table gives an empty result;
 other columns are not read unless named in ``carry``.
@@ -18,7 +18,9 @@ other columns are not read unless named in ``carry``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ from intakeyard.llm.pieces import LONGEST
 from intakeyard.session import ship_package
 
 MARK, APART, PENALTY = "▁", "\0", 10.0
+#: Words kept per Python worker, at most some 150 MB of them.
+CACHE = 400_000
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -41,9 +45,13 @@ def read_pieces(path: str) -> list[tuple[str, float]]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
 
 
+def bare_words_of(text: str) -> list[str]:
+    """Words without the mark that each begins with."""
+    return text.replace(" ", MARK).removeprefix(MARK).split(MARK) if text else []
+
+
 def words_of(text: str) -> list[str]:
-    marked = text.replace(" ", MARK)
-    return [MARK + w for w in marked.removeprefix(MARK).split(MARK)] if text else []
+    return [MARK + w for w in bare_words_of(text)]
 
 
 class Counter:
@@ -58,74 +66,80 @@ class Counter:
                 raise ValueError("a piece holds U+0000")
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.single = {p for p, _ in pieces if len(p) == 1}
+        single = "".join(re.escape(p) for p, _ in pieces if len(p) == 1)
+        self.apart = re.compile(f"[^{single}]" if single else ".", re.DOTALL)
         self.unknown = min(s for _, s in pieces) - PENALTY
         self.cache = cache
-        self.known: dict[str, tuple[int, float]] = {}
+        # counts and scores by the word without its mark; in two, as the garbage collector visits every pair kept but no number
+        self.known: dict[str, int] = {}
+        self.score: dict[str, float] = {}
+        self.again: set[str] = set()
 
-    def learn(self, words: list[str]) -> list[tuple[int, float]]:
-        """Run the automaton once over all words; U+0000, in no piece, keeps matches inside words."""
+    def learn(self, words: list[str]) -> tuple[list[int], list[float]]:
+        """Counts and scores: run the automaton once over all words; U+0000, in no piece, keeps matches inside words."""
         line = APART.join(words)
         size = len(line)
-        best: list[float | None] = [None] * (size + 1)
-        count, fused = [0] * (size + 1), [False] * (size + 1)
-        single, unknown = self.single, self.unknown
-        starts = set()
-        at = 0
-        for w in words:
-            starts.add(at)
-            at += len(w) + 1
+        best = [float("-inf")] * (size + 1)
+        count, fused = [0] * (size + 1), bytearray(size + 1)
+        unknown = self.unknown
+        starts = set(accumulate((len(w) + 1 for w in words), initial=0))
+        # positions behind a character that is no piece: the unknown path competes last there, or a word starts afresh
+        odd = iter([m.end() for m in self.apart.finditer(line)] + [size + 1])
         best[0] = 0.0
-        done = 0
-
-        def settle(upto: int) -> None:
-            """Positions up to ``upto``: the unknown path competes last; words start afresh."""
-            nonlocal done
-            while done < upto:
-                done += 1
-                if done in starts:
-                    best[done], count[done], fused[done] = 0.0, 0, False
-                elif line[done - 1] not in single:
-                    score = best[done - 1] + unknown
-                    if best[done] is None or score > best[done]:
-                        best[done], count[done], fused[done] = score, count[done - 1] + (not fused[done - 1]), True
+        at = next(odd)
+
+        def settle(upto: int, at: int) -> int:
+            while at <= upto:
+                if at in starts:
+                    best[at], count[at], fused[at] = 0.0, 0, 0
+                else:
+                    score = best[at - 1] + unknown
+                    if score > best[at]:
+                        best[at], count[at], fused[at] = score, count[at - 1] + (not fused[at - 1]), 1
+                at = next(odd)
+            return at
 
         for end, (length, piece) in self.automaton.iter(line):
             end += 1
-            if done < end - 1:
-                settle(end - 1)
-            start = end - length
-            score = best[start] + piece
-            if best[end] is None or score > best[end]:
-                best[end], count[end], fused[end] = score, count[start] + 1, False
-        settle(size)
-        at, out = 0, []
-        for w in words:
-            end = at + len(w)
-            out.append((count[end], best[end]))
-            at = end + 1
-        return out
+            if at < end:
+                at = settle(end - 1, at)
+            score = best[end - length] + piece
+            if score > best[end]:
+                best[end] = score
+                count[end] = count[end - length] + 1
+        settle(size, at)
+        ends = [end - 1 for end in accumulate(len(w) + 1 for w in words)]
+        return [count[end] for end in ends], [best[end] for end in ends]
 
     def totals(self, texts: list[str]) -> tuple[list[int], list[float]]:
-        rows = [words_of(t) for t in texts]
-        new = {w for row in rows for w in row}
-        if len(new) + len(self.known) > self.cache:
-            self.known.clear()
-        new = list(new.difference(self.known))
-        if new:
-            self.known.update(zip(new, self.learn(new), strict=True))
+        rows = [bare_words_of(t) for t in texts]
+        met = set().union(*rows)
+        if len(met) + len(self.known) > self.cache:
+            self._thin(self.cache - len(met))
         known = self.known
-        found = [[known[w] for w in row] for row in rows]
+        self.again.update(met.intersection(known))
+        new = list(met.difference(known))
+        if new:
+            counts, scores = self.learn([MARK + w for w in new])
+            known.update(zip(new, counts, strict=True))
+            self.score.update(zip(new, scores, strict=True))
+        counts, scores = ([sum(map(of.__getitem__, row)) for row in rows] for of in (known, self.score))
         for w in new:
-            if len(w) > LONGEST:
-                del known[w]
-        return [sum(c for c, _ in f) for f in found], [float(sum(s for _, s in f)) for f in found]
+            if len(w) >= LONGEST:
+                del known[w], self.score[w]
+        return counts, [float(s) for s in scores]
+
+    def _thin(self, room: int) -> None:
+        """Words that came again since the last time stay, unless they fill half the room by themselves."""
+        stay = self.again if len(self.again) <= min(room, self.cache // 2) else ()
+        self.known, self.score = ({w: of[w] for w in stay} for of in (self.known, self.score))
+        self.again = set()
 
 
 _COUNTERS: dict[tuple, Counter] = {}
 
 
-def token_counts(docs: DataFrame, model_path: str, *, text_col: str = "text", carry: list[str] | None = None, cache: int = 150_000) -> DataFrame:
+def token_counts(docs: DataFrame, model_path: str, *, text_col: str = "text", carry: list[str] | None = None, cache: int = CACHE) -> DataFrame:
     """``carry`` columns with ``n_tokens`` and the Viterbi ``score``; added names win over carried ones."""
     ship_package(docs.sparkSession)
     carried = [c for c in carry or [] if c.lower() not in ("n_tokens", "score")]

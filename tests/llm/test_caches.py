@@ -48,3 +48,18 @@ def test_pieces_that_come_again_stay():
         assert flat.tolist() == [v for p in pieces for v in (len(p), ord(p[0]))] and n.tolist() == [2] * 5
         assert len(ids.code) == len(ids.kept) == len(ids.again) <= 24
     assert asked.count("often") == 1 and asked.count("x" * 100) == 200
+
+
+def test_words_that_come_again_are_scored_once():
+    counter = token_counts.Counter(token_counts.read_pieces(P.path("piece_bpe_32k.model")), 20)
+    learned, learn = [], counter.learn
+    counter.learn = lambda words: learned.extend(words) or learn(words)
+    found = {tuple(counter.totals(["often here"])[0]) for k in range(100) if counter.totals([f"often here once{k} x\0y{k}"])}
+    assert len(found) == 1 and learned.count("▁often") == learned.count("▁here") == 1
+    assert len(counter.known) <= 20
+
+
+def test_zero_characters_do_not_begin_words():
+    counter = token_counts.Counter([("▁", -1.0), ("a", -2.0), ("aa", -2.5)], 20)
+    unknown = counter.unknown
+    assert counter.totals(["aa\0\0a a"]) == ([4 + 2], [-1.0 - 2.5 + 2 * unknown - 2.0 - 1.0 - 2.0])
