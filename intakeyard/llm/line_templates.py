@@ -31,27 +31,44 @@ DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT, LONG_LINE, LONG_DOCS = 3, 10, 3, 0.75, 50
 LONG_SAME = 2
 
 
-def tokens_of(line: Column) -> Column:
-    """Tokens of a line, variable ones masked."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*[0-9][^\x20\x09-\x0D]*", VARIABLE)).otherwise(line)
-    return _cut(masked)
+def masked(line: Column) -> Column:
+    """A line's tokens with one space between them, variable ones masked. Most lines are their own result."""
+    plain = ~(line.rlike(r"[0-9\t\r\x0b\x0c]") | _uneven(line))
+    return F.when(plain, line).otherwise(_even(F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*[0-9][^\x20\x09-\x0D]*", VARIABLE)))
 
 
-def _cut(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " "), "")
+def _uneven(line: Column) -> Column:
+    return F.contains(line, F.lit("  ")) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+
+
+def _even(line: Column) -> Column:
+    return F.array_join(F.array_remove(F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " "), ""), " ")
+
+
+def _once(c: Column) -> Column:
+    """``c`` made nondeterministic at no cost (a partition id is never negative): a filter on it is not pushed below its projection,
+    where it would parse every line a second time."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
+def _parsed(docs: DataFrame, id_col: str, text_col: str, depth: int, long_line: int) -> DataFrame:
+    """``(key, same, at, line, n, leaf, tokens)`` of every line: ``n`` tokens, joined by spaces; ``same`` tells texts apart.
+    The lowest bit of a leaf says if its lines are long."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    tokens = F.col("tokens")
+    n = F.when(tokens == "", 0).otherwise(F.length(tokens) - F.length(F.replace(tokens, F.lit(" "), F.lit(""))) + 1)
+    leaf = F.xxhash64("n", F.slice(F.split(tokens, " ", depth + 1), 1, depth)).bitwiseAND(F.lit(~1)).bitwiseOR((F.col("n") > long_line).cast("bigint"))
+    return (docs.select(row_key(id_col, text_col).alias("key"), F.xxhash64(text).alias("same"), text.alias("text"))
+            .select("key", "same", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+            .select("key", "same", "at", "line", _once(masked(F.col("line"))).alias("tokens"))
+            .select("*", _once(n).alias("n")).select("*", leaf.alias("leaf")))
 
 
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, min_tokens: int, constant: float,
                     long_line: int, long_docs: int) -> DataFrame:
     """``(key, at)`` of every line (0-based) that falls on a recurring template. The lowest bit of a leaf says if its lines are long."""
     enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
-    rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-             .select("key", "same", "at", tokens_of(F.col("line")).alias("tokens"))
-             .where(F.size("tokens") >= min_tokens)
-             .select("key", "same", "at", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
-                     .bitwiseOR((F.size("tokens") > long_line).cast("bigint")).alias("leaf"),
-                     F.array_join("tokens", " ").alias("tokens")))  # a string is half the size of its array
+    lines = _parsed(docs, id_col, text_col, depth, long_line).where(F.col("n") >= min_tokens).select("key", "same", "at", "leaf", "tokens")
     leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
               .where(F.col("texts") >= enough).select("leaf"))
     inside = saved(lines.join(leaves, "leaf").withColumn("line", F.xxhash64("tokens")))
@@ -85,13 +102,9 @@ def spread_lines(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str
     """
     least = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(LONG_SAME)).otherwise(F.lit(min_docs))
     enough = F.when(F.col("leaf").bitwiseAND(F.lit(1)) == 1, F.lit(long_docs)).otherwise(F.lit(min_docs))
-    rows = docs.select(row_key(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = (rows.select("key", F.xxhash64("text").alias("same"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-             .select("key", "same", "at", F.xxhash64(_cut(F.col("line"))).alias("own"), tokens_of(F.col("line")).alias("tokens"))
-             .where(F.size("tokens") > 0)
-             .select("key", "same", "at", "own", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).bitwiseAND(F.lit(~1))
-                     .bitwiseOR((F.size("tokens") > long_line).cast("bigint")).alias("leaf"),
-                     F.array_join("tokens", " ").alias("tokens")))
+    own = F.when(F.col("line").rlike("[0-9]"), F.xxhash64(_even(F.col("line")))).otherwise(F.xxhash64("tokens"))  # no digits: nothing was masked
+    lines = (_parsed(docs, id_col, text_col, depth, long_line).where(F.col("n") > 0)
+             .select("key", "same", "at", own.alias("own"), "leaf", "tokens"))
     leaves = (lines.select("leaf", "same").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("texts"))
               .where(F.col("texts") >= least).select("leaf"))
     groups = classes.select("key", F.xxhash64("component").alias("group"))
