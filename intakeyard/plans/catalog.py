@@ -475,9 +475,7 @@ def orphan_folders(spark, sf_dir):
     """K3 on storage: folders of a table root that hold files and that no succeeded run of the ledger references."""
     root = f"{files.fixture_dir(spark, sf_dir, 'staged')}-{files.fresh_name()}"
     runs = _reg(spark, sf_dir, "runs").where("target = 't7'").select("run_id", "target", "status", "row_count", "started_at")
-    # what each run has staged: a folder a run, made and put in place by many tasks
-    (runs.withColumn("id", F.col("run_id")).repartition(4 * spark.sparkContext.defaultParallelism, "run_id")
-     .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("run_id").parquet(f"{root}/table"))
+    files.write_folders(spark, runs.withColumn("id", F.col("run_id")), f"{root}/table", "run_id")  # what each run has staged: a folder a run
     log = publish.runs_log(spark, f"{root}/runs")
     log.try_commit({"": runs.select(F.col("run_id").cast("string").alias("run_id"), F.lit(None).cast("string").alias("snapshot_id"), "target", "status",
                                     F.col("started_at").cast("timestamp").alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"),

@@ -202,3 +202,58 @@ def test_requests_do_not_read_the_texts_again(spark, monkeypatch):
     monkeypatch.setattr(registry, "register", lambda log, snapshots, requested: got.extend((snapshots, requested)) or register(log, snapshots, requested))
     catalog.QUERIES["registration_outcomes"](spark, "/root/testdata/sf0.001")
     assert len(got) == 6 and not any("documents.parquet" in f for df in got for f in df.inputFiles())
+
+
+def test_folders_are_made_as_partition_by_makes_them(spark, tmp_path):
+    """Same folders and rows, keys spelled alike, a folder's rows whole across Arrow batches (of 1,000 rows)."""
+    from intakeyard.sources import files
+
+    keys = [None, "", "a b", "x/y:z=%", "7"]
+    df = spark.createDataFrame([(keys[i % 5] if i < 40 else "hot", i, f"v{i}") for i in range(3000)], "k string, i bigint, v string")
+    df = df.withColumn("at", F.timestamp_seconds("i"))
+    df.write.partitionBy("k").parquet(str(tmp_path / "want"))
+    files.write_folders(spark, df, str(tmp_path / "got"), "k")
+    held = {n: {p.name for p in (tmp_path / n).iterdir() if not p.name.startswith((".", "_SUCCESS"))} for n in ("want", "got")}
+    assert held["got"] == held["want"] and len(held["got"]) == 5
+    assert all(sum(1 for _ in (tmp_path / "got" / n).iterdir()) == 1 for n in held["got"])
+    want, got = (sorted(map(tuple, spark.read.parquet(str(tmp_path / n)).select("i", "v", "at", "k").collect())) for n in ("want", "got"))
+    assert got == want and len(got) == 3000
+
+
+def test_making_folders_starts_no_process_a_file(spark, tmp_path):
+    """Hadoop without its native library starts a ``chmod`` for every local file and one for its checksum."""
+    from intakeyard.sources import files
+
+    def started():
+        with open("/proc/stat") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("processes"))
+
+    df = spark.range(600).withColumn("v", F.col("id") * 2)
+    files.write_folders(spark, df.limit(3), str(tmp_path / "warm"), "id")
+    before = started()
+    files.write_folders(spark, df, str(tmp_path / "t"), "id")
+    assert started() - before < 600 and spark.read.parquet(str(tmp_path / "t")).where("v = id * 2").count() == 600
+
+
+@pytest.mark.parametrize("glob", ["*", "*.parquet"])
+def test_a_listing_finds_what_spark_finds(spark, tmp_path, glob):
+    from intakeyard.operators import artifacts
+    from intakeyard.sources import files
+
+    for name in ("a.parquet", "b.txt", "run_id=1/a.parquet", "run_id=1/.a.parquet.crc", "_landing/run_id=2/a.parquet", "_k=1/a.parquet", "x y/deep/er/ä.parquet",
+                 "run_id=3/empty.parquet", "run_id=4/_staged.parquet", "run_id=5/c.parquet._COPYING_"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "empty" in name else name.encode())
+    (tmp_path / "run_id=6").mkdir()
+    want = sorted(map(tuple, artifacts.listing(spark, str(tmp_path), glob).collect()))
+    assert sorted(map(tuple, files.listing(spark, str(tmp_path), glob).collect())) == want and len(want) == (5 if glob == "*" else 4)
+
+
+def test_a_listing_is_read_by_few_tasks(spark, tmp_path):
+    from intakeyard.sources import files
+
+    for i in range(300):
+        (tmp_path / f"run_id={i}").mkdir()
+        (tmp_path / f"run_id={i}" / "a.parquet").write_bytes(b"x")
+    found = files.listing(spark, str(tmp_path), "*.parquet")
+    assert found.count() == 300 and found.rdd.getNumPartitions() < 50
