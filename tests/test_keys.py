@@ -80,3 +80,51 @@ def test_unlike_values_of_one_hash(spark, monkeypatch):
     rows = [(i, i % 7, i // 7, i % 2) for i in range(49)]
     df = spark.createDataFrame(rows, "a int, b int, c int, d int")
     assert sorted(keys.minimal_keys(df, 3)) == brute(rows, "abcd", 3)
+
+
+@pytest.mark.parametrize("few_rows, modulus", [(1 << 20, None), (40, None), (1 << 20, 3)])
+def test_large_tables_against_all_combinations(spark, monkeypatch, few_rows, modulus):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(keys, "EVIDENCE_ROWS", 3)
+    monkeypatch.setattr(keys, "LARGE_ROWS", 1)
+    monkeypatch.setattr(keys, "FEW_ROWS", few_rows)
+    if modulus:
+        monkeypatch.setattr(keys, "_hash", lambda members: F.pmod(F.xxhash64(*[F.col(f"h{n}") for n in members]), F.lit(modulus)))
+    r = random.Random(8)
+    for shape in ((40, 30, 12, 9, 7), (90, 90, 90, 2, 2)):
+        rows = [(*(r.randrange(n) for n in shape[:-1]), str(r.randrange(shape[-1]))) for _ in range(300)]
+        df = spark.createDataFrame(rows, "a int, b int, c int, d int, e string").repartition(3)
+        assert sorted(keys.minimal_keys(df, 3)) == brute(rows, "abcde", 3)
+
+
+def test_rows_that_share_a_part_decide(spark, monkeypatch):
+    """A few rows agree on two columns; what contains these is never asked of the whole table."""
+    monkeypatch.setattr(keys, "EVIDENCE_ROWS", 20)
+    monkeypatch.setattr(keys, "LARGE_ROWS", 1000, raising=False)
+    asked, refuted = [], keys._refuted
+    monkeypatch.setattr(keys, "_refuted", lambda rows, names, sets, pivots, parts:
+                        asked.append((getattr(rows, "df", rows).count(), parts, list(sets))) or refuted(rows, names, sets, pivots, parts))
+    r = random.Random(4)
+    rows = [(r.randrange(300), r.randrange(3000), r.randrange(50), r.randrange(1000), r.randrange(400)) for _ in range(6000)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
+    found = sorted(keys.minimal_keys(df, 3))
+    assert found == brute(rows, "abcde", 3) and ("a", "b", "d") in found
+    assert [m for n, parts, sets in asked for m in sets if n == 6000 and parts == 1 and m & 0b11 == 0b11 and m.bit_count() == 3] == []
+
+
+def test_a_hot_value_far_from_the_first_rows_is_met_first(spark, monkeypatch):
+    """Hashes are counted behind the shuffle only, so no column with a hot value may come that far."""
+    monkeypatch.setattr(keys, "EVIDENCE_ROWS", 200)
+    asked, refuted = [], keys._refuted
+    monkeypatch.setattr(keys, "_refuted", lambda rows, names, sets, pivots, parts: asked.extend(sets) or refuted(rows, names, sets, pivots, parts))
+    df = spark.range(4000).selectExpr("CASE WHEN id < 2000 THEN id ELSE -1 END AS a", "id AS b")
+    assert keys.minimal_keys(df, 2) == [("b",)] and set(asked) == {0b10}
+
+
+def test_a_hash_is_counted_once_and_behind_the_shuffle(spark):
+    rows = keys.hashed(spark.range(1000).selectExpr("id AS c0", "id % 7 AS c1"), ["c0", "c1"], 1000)
+    met = keys._met(rows, ["c0", "c1"], [0b01, 0b10, 0b11], {0b01: "c0", 0b10: "c1", 0b11: "c0"}, 1)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("HashAggregate") < plan.index("Exchange")
+    assert sorted(r.c for r in met.collect()) == [1] * 2000 + [142] + [143] * 6
